@@ -28,7 +28,7 @@ from caseload.plans.batch import extract_all  # noqa: E402
 from caseload.plans.cohorts import Cohorts  # noqa: E402
 from caseload.session import ensure_checkpoint_dir  # noqa: E402
 from caseload.sources import dataset as names  # noqa: E402
-from caseload.sources.testdata import FACTOR_YEARS, raw, testdata_dataset  # noqa: E402
+from caseload.sources.testdata import FACTOR_YEARS, raw, mapped_dataset  # noqa: E402
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 
@@ -60,7 +60,7 @@ def _scope(spark: SparkSession, sf_dir: str, level: str) -> Scope:
 
 def _cohorts(spark: SparkSession, sf_dir: str, level: str, year: int = YEAR) -> Cohorts:
     ensure_checkpoint_dir(spark)
-    return Cohorts(testdata_dataset(spark, sf_dir), _scope(spark, sf_dir, level), year,
+    return Cohorts(mapped_dataset(spark, sf_dir), _scope(spark, sf_dir, level), year,
                    factor_years=REGION_FACTOR_YEARS)
 
 
@@ -86,12 +86,12 @@ def _factors(level: str, method: str) -> Callable[[SparkSession, str], DataFrame
 
 def _stable_row_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     keys = ["attendance_type", "sushrg_trimmed", "imd_quintile"]
-    op = testdata_dataset(spark, sf_dir).table(names.OP)
+    op = mapped_dataset(spark, sf_dir).table(names.OP)
     return stable_id(op.select(*keys).distinct(), keys)
 
 
 def _wide_to_long(spark: SparkSession, sf_dir: str) -> DataFrame:
-    wide = testdata_dataset(spark, sf_dir).table(names.DEMOGRAPHIC_FACTORS)
+    wide = mapped_dataset(spark, sf_dir).table(names.DEMOGRAPHIC_FACTORS)
     wide = _as_double(wide.select("variant", "age", "sex", *FACTOR_YEARS), FACTOR_YEARS)
     return wide_to_long(wide, ["variant", "age", "sex"], list(FACTOR_YEARS))
 
@@ -107,7 +107,7 @@ def _provider_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _batch(kind: str, level: str = "provider") -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         ensure_checkpoint_dir(spark)
-        return extract_all(testdata_dataset(spark, sf_dir), _provider_requests(spark, sf_dir), kind, level)
+        return extract_all(mapped_dataset(spark, sf_dir), _provider_requests(spark, sf_dir), kind, level)
     return run
 
 

@@ -186,7 +186,7 @@ class _Tables:
                 .agg(F.count(F.lit(1)).alias("activity")))
 
 
-def testdata_dataset(spark: SparkSession, sf_dir: str) -> Dataset:
+def mapped_dataset(spark: SparkSession, sf_dir: str) -> Dataset:
     """A :class:`Dataset` whose tables are derived lazily from the test tables in ``sf_dir``."""
     t = _Tables(spark, sf_dir)
 
