@@ -19,6 +19,8 @@ NULL_MARK = "N"  # token of a NULL value
 SAMPLE_SEPARATOR = "|"  # between seed and key in the sample hash
 
 _TWO_32 = 4294967296  # 2**32
+# Largest input numbered by a single window task in dense_id(method="auto").
+WINDOW_ROWS = 1_000_000
 
 
 # --------------------------------------------------------------------------------------------
@@ -49,13 +51,26 @@ def sample_predicate(rate: float, seed: int, key: str | Column = "rn") -> Column
     return _sample_hash(key_col, F.lit(int(seed))) < F.lit(sample_threshold(rate))
 
 
+def sample_threshold_col(rate: Column) -> Column:
+    """Column form of :func:`sample_threshold`, with the bounds folded in: rate <= 0 gives ``''``
+    (no hash sorts below it) and rate >= 1 gives ``'g'`` (every hex hash sorts below it)."""
+    hex_bound = F.lower(F.lpad(F.hex(F.floor(rate * F.lit(float(_TWO_32))).cast("long")), 8, "0"))
+    return F.when(rate <= 0, F.lit("")).when(rate >= 1, F.lit("g")).otherwise(hex_bound)
+
+
+def seed_prefix_col(seed: Column) -> Column:
+    return F.concat(seed.cast("string"), F.lit(SAMPLE_SEPARATOR))
+
+
+def sample_predicate_prepared(key: str | Column, seed_prefix: Column, threshold: Column) -> Column:
+    """Per-row test against a threshold and seed prefix computed once per request row."""
+    key_col = F.col(key) if isinstance(key, str) else key
+    return F.substring(F.md5(F.concat(seed_prefix, key_col.cast("string"))), 1, 8) < threshold
+
+
 def sample_predicate_col(rate: Column, seed: Column, key: str | Column = "rn") -> Column:
     """Column form of :func:`sample_predicate`, for a rate and seed read from a request row."""
-    key_col = F.col(key) if isinstance(key, str) else key
-    threshold = F.lower(F.lpad(F.hex(F.floor(rate * F.lit(float(_TWO_32))).cast("long")), 8, "0"))
-    return (F.when(rate <= 0, F.lit(False))
-            .when(rate >= 1, F.lit(True))
-            .otherwise(_sample_hash(key_col, seed) < threshold))
+    return sample_predicate_prepared(key, seed_prefix_col(seed), sample_threshold_col(rate))
 
 
 def sample_rows(df: DataFrame, rate: float, seed: int, key: str = "rn", method: str = "hash") -> DataFrame:
@@ -114,13 +129,14 @@ def dense_id(
     keys: Sequence[str],
     within: Sequence[str] = (),
     name: str = "rn",
-    method: str = "range",
+    method: str = "auto",
     partitions: int | None = None,
+    window_rows: int = WINDOW_ROWS,
 ) -> DataFrame:
     """0-based position of each row in the order of its name-sorted ``keys`` (NULLs last),
     restarting for each value of ``within`` (e.g. a request id).
 
-    ``method="range"`` (default) scales to any result size: rows are range-partitioned on
+    ``method="range"`` scales to any result size: rows are range-partitioned on
     (``within``, keys), sorted inside each partition and checkpointed (range bounds are sampled, so
     the layout is fixed once before it is counted). Each row's position is its offset inside its
     partition plus the number of rows of the same ``within`` group in earlier partitions. The
@@ -129,9 +145,14 @@ def dense_id(
 
     ``method="window"`` is ``row_number()`` over one window; without ``within`` that runs in a
     single task, so it is only for results known to be small.
+
+    ``method="auto"`` uses the window only when a bounded count proves the input has at most
+    ``window_rows`` rows (one task sorts that easily), and the range method otherwise.
     """
     within = list(within)
     sort_keys = sorted(keys)
+    if method == "auto":
+        method = "window" if df.limit(window_rows + 1).count() <= window_rows else "range"
     if method == "window":
         spec = Window.partitionBy(*within) if within else Window.partitionBy()
         spec = spec.orderBy(*_order(sort_keys))

@@ -17,9 +17,19 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from caseload.functions.rows import dense_id, sample_predicate_col, stable_id
-from caseload.functions.scope import NATION, PROVIDER, REGION, Scope, collapse, exclude_prefix, fyear_code_col, relabel
-from caseload.operators.joins import DEFAULT_BROADCAST_ROWS, small_side
+from caseload.functions.rows import dense_id, sample_predicate_prepared, sample_threshold_col, seed_prefix_col, stable_id
+from caseload.functions.scope import (
+    NATION,
+    PROVIDER,
+    REGION,
+    Scope,
+    collapse,
+    exclude_prefix,
+    fyear_code,
+    fyear_code_col,
+    relabel,
+)
+from caseload.operators.joins import DEFAULT_BROADCAST_ROWS, fits, small_side
 from caseload.operators.measure import mean_by, roll_up, sum_factors
 from caseload.operators.shape import keys_except, long_to_wide, year_columns
 from caseload.plans.cohorts import (
@@ -38,6 +48,7 @@ from caseload.sources.dataset import Dataset
 KINDS = ("ip", "strategies_activity_avoidance", "strategies_efficiencies", "op", "aae", "birth_factors",
          "demographic_factors", "hsa_activity", "inequalities")
 _SCOPE_COLUMN = {PROVIDER: "dataset", REGION: "icb"}
+NATIONAL_REQUEST_COLUMNS = ("sample_rate", "seed", "_seed_prefix", "_threshold")
 # Scope objects only used for their level in relabel().
 _LEVEL_SCOPE = {PROVIDER: Scope.provider("-"), REGION: Scope.region("-"), NATION: Scope.national()}
 
@@ -54,14 +65,23 @@ class _Batch:
         self.factor_years = factor_years
         self.id_method = id_method
         cols = ["request_id", "fyear"] + (["sample_rate", "seed"] if level == NATION else ["code"])
-        self.requests = small_side(requests.select(*cols), max_requests)
+        req = requests.select(*cols)
+        if level == NATION:
+            # Per-request sampling constants, computed once per request rather than per data row.
+            req = req.withColumns({"_seed_prefix": seed_prefix_col(F.col("seed")),
+                                   "_threshold": sample_threshold_col(F.col("sample_rate"))})
+        small = fits(req, max_requests)
+        self.requests = F.broadcast(req) if small else req
+        # A proven-small request table also gives the requested years as literals, which reach the
+        # scan as partition filters (the join alone gets no dynamic pruning from a request table).
+        self.years = sorted(r[0] for r in req.select("fyear").distinct().collect() if r[0] is not None) if small else None
 
     # ---- helpers -------------------------------------------------------------------------------------
     def _req(self, code_as: str | None = None, year_expr=None) -> DataFrame:
         """Request columns renamed to the data's column names for a USING join."""
         cols = [F.col("request_id"), (year_expr if year_expr is not None else F.col("fyear")).alias("fyear")]
         if self.level == NATION:
-            cols += [F.col("sample_rate"), F.col("seed")]
+            cols += [F.col(c) for c in NATIONAL_REQUEST_COLUMNS]
         elif code_as:
             cols.append(F.col("code").alias(code_as))
         return self.requests.select(*cols)
@@ -69,8 +89,20 @@ class _Batch:
     def _years(self, year_expr=None) -> DataFrame:
         return self.requests.select((year_expr if year_expr is not None else F.col("fyear")).alias("fyear")).distinct()
 
+    def _in_years(self, table: DataFrame, coded: bool = False, semi: bool = False) -> DataFrame:
+        """Rows of the requested years: a static filter (a partition filter on fyear-partitioned
+        tables) when the request table is proven small, else a semi join when ``semi``."""
+        if self.years is None:
+            if not semi:
+                return table
+            year = fyear_code_col(F.col("fyear")) if coded else F.col("fyear")
+            return table.join(self._years(year), "fyear", "left_semi")
+        values = [fyear_code(y) for y in self.years] if coded else self.years
+        return table.filter(F.col("fyear").isin(values))
+
     def _scoped(self, table: DataFrame, by_code: bool = True, year_expr=None) -> DataFrame:
         """Join ``table`` to its requests on (scope column, fyear) or fyear alone."""
+        table = self._in_years(table, coded=year_expr is not None)
         on = ["fyear"]
         code_as = None
         if by_code and self.level in _SCOPE_COLUMN:
@@ -86,8 +118,8 @@ class _Batch:
     def ip(self) -> DataFrame:
         df = self._scoped(self.data.table(names.IP))
         if self.level == NATION:
-            key = self.keys[0]
-            df = df.filter(sample_predicate_col(F.col("sample_rate"), F.col("seed"), key)).drop("sample_rate", "seed")
+            keep = sample_predicate_prepared(self.keys[0], F.col("_seed_prefix"), F.col("_threshold"))
+            df = df.filter(keep).drop(*NATIONAL_REQUEST_COLUMNS)
         return self._relabel(df)
 
     def strategies(self, kind: str) -> DataFrame:
@@ -95,7 +127,7 @@ class _Batch:
         # semi join per request, without fanning every strategy out to every request of its year.
         match = ["fyear", *self.keys] + (["dataset"] if self.level == PROVIDER else [])
         cohort = self.ip().select("request_id", *match).dropDuplicates()
-        table = self.data.table(names.STRATEGY_TABLES[kind])
+        table = self._in_years(self.data.table(names.STRATEGY_TABLES[kind]))
         return table.join(cohort, match)
 
     def activity(self, table_name: str, measures: Sequence[str], national_collapse: dict | None) -> DataFrame:
@@ -109,7 +141,7 @@ class _Batch:
             id_keys = [k for k in keys if k != "request_id"]
             return dense_id(totals, id_keys, within=["request_id"], method=self.id_method)
         keys = keys_except(source, [ROW_INDEX, "fyear", *measures])
-        rows = self._relabel(source.join(small_side(self._years()), "fyear", "left_semi"), include_icb=True)
+        rows = self._relabel(self._in_years(source, semi=True), include_icb=True)
         if national_collapse:
             rows = collapse(rows, national_collapse)
         by_year = roll_up(rows, measures, [*keys, "fyear"])
@@ -128,9 +160,9 @@ class _Batch:
                 joined = joined.withColumn("sex", F.lit(sex))
             ids = ["request_id", "age", "sex", F.col("projection").alias("variant")]
             return long_to_wide(joined, ids, F.col("value") * F.col("pcnt"), self.factor_years)
-        wide = exclude_prefix(self.data.table(wide_name).join(small_side(self._years()), "fyear", "left_semi"), "variant")
+        wide = exclude_prefix(self._in_years(self.data.table(wide_name), semi=True), "variant")
         by_year = sum_factors(wide, ["fyear", *FACTOR_IDS], year_columns(wide))
-        return by_year.join(self._req(), "fyear").drop("fyear", "sample_rate", "seed")
+        return by_year.join(self._req(), "fyear").drop("fyear", *NATIONAL_REQUEST_COLUMNS)
 
     def hsa_activity(self) -> DataFrame:
         if self.level == PROVIDER:
@@ -139,13 +171,13 @@ class _Batch:
         if self.level == REGION:
             rows = self._scoped(self.data.table(names.HSA_ACTIVITY_REGION), year_expr=code)
             return mean_by(rows, ["request_id", *HSA_KEYS], "activity")
-        table = self.data.table(names.HSA_ACTIVITY_NATIONAL).join(small_side(self._years(code)), "fyear", "left_semi")
+        table = self._in_years(self.data.table(names.HSA_ACTIVITY_NATIONAL), coded=True, semi=True)
         by_year = mean_by(table, ["fyear", *HSA_KEYS], "activity")
-        return by_year.join(self._req(year_expr=code), "fyear").drop("fyear", "sample_rate", "seed")
+        return by_year.join(self._req(year_expr=code), "fyear").drop("fyear", *NATIONAL_REQUEST_COLUMNS)
 
     def inequalities(self) -> DataFrame:
         df = self._scoped(self.data.table(names.INEQUALITIES))
-        return df.drop("sample_rate", "seed") if self.level == NATION else df
+        return df.drop(*NATIONAL_REQUEST_COLUMNS) if self.level == NATION else df
 
 
 def extract_all(
@@ -157,7 +189,7 @@ def extract_all(
     keys: Sequence[str] = ("rn",),
     projection_year: int = DEFAULT_PROJECTION_YEAR,
     factor_years: Sequence | None = None,
-    id_method: str = "range",
+    id_method: str = "auto",
     max_requests: int = DEFAULT_BROADCAST_ROWS,
 ) -> DataFrame:
     """Extract ``kind`` (one of :data:`KINDS`) for every request of ``level`` in one plan."""

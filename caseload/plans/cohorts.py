@@ -48,7 +48,8 @@ class Cohorts:
     Parameters beyond the reference's:
       * ``keys``: episode key joining strategies to episodes (default ``rn``);
       * ``sample_method``: ``"hash"`` (partition-independent, default) or ``"bernoulli"``;
-      * ``id_method``: how region op/aae ids are numbered (``"range"`` scales, ``"window"`` is one task);
+      * ``id_method``: how region op/aae ids are numbered (``"auto"``: one window task when a
+        bounded count proves the result small, else ``"range"``, which scales; see ``dense_id``);
       * ``projection_year``: vintage of the population projections (default 2022);
       * ``factor_years``: year columns of the region factor pivots (found from the data when None).
     """
@@ -61,7 +62,7 @@ class Cohorts:
         *,
         keys: Sequence[str] = ("rn",),
         sample_method: str = "hash",
-        id_method: str = "range",
+        id_method: str = "auto",
         projection_year: int = DEFAULT_PROJECTION_YEAR,
         factor_years: Sequence | None = None,
     ):

@@ -151,17 +151,18 @@ def test_sample_and_ids_independent_of_partitioning(spark):
     assert rows(stable_id(one, ["a", "b"], "h")) == rows(stable_id(eight, ["b", "a"], "h"))
     groups1 = one.groupBy("a", "b").count()
     groups8 = eight.groupBy("a", "b").count()
-    assert rows(dense_id(groups1, ["a", "b"], partitions=1)) == rows(dense_id(groups8, ["a", "b"], partitions=5))
+    assert rows(dense_id(groups1, ["a", "b"], method="range", partitions=1)) == rows(dense_id(groups8, ["a", "b"], method="range", partitions=5))
 
 
 def test_dense_id_range_equals_window(spark):
     df = spark.range(500).select((F.col("id") % 13).alias("req"), F.col("id").alias("k"),
                                  F.when(F.col("id") % 50 == 0, None).otherwise(F.col("id") % 11).alias("j"))
     for within in ([], ["req"]):
-        ranged = dense_id(df, ["k", "j"], within=within, partitions=6)
+        ranged = dense_id(df, ["k", "j"], within=within, method="range", partitions=6)
         window = dense_id(df, ["k", "j"], within=within, method="window")
-        assert rows(ranged) == rows(window)
-    ids = [r["rn"] for r in dense_id(df, ["k"], partitions=4).collect()]
+        auto = dense_id(df, ["k", "j"], within=within, window_rows=100)  # over the bound: range
+        assert rows(ranged) == rows(window) == rows(auto)
+    ids = [r["rn"] for r in dense_id(df, ["k"], method="range", partitions=4).collect()]
     assert sorted(ids) == list(range(500))
 
 
@@ -169,7 +170,7 @@ def test_dense_id_hot_group_split_over_partitions(spark):
     # one request holds most rows: its ids still run 0..n-1 while its rows span several partitions
     df = spark.range(3000).select(F.when(F.col("id") < 2500, F.lit("hot")).otherwise(F.lit("cold")).alias("req"),
                                   F.col("id").alias("k"))
-    out = dense_id(df, ["k"], within=["req"], partitions=8)
+    out = dense_id(df, ["k"], within=["req"], method="range", partitions=8)
     hot = sorted(r["rn"] for r in out.where("req = 'hot'").collect())
     assert hot == list(range(2500))
 
