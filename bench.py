@@ -89,12 +89,19 @@ def main() -> None:
             c = Cohorts(data, scope, year, factor_years=(1999, 2000))
             times[f"{level}_{kind}"] = timed(lambda c=c, kind=kind: run(extract(c, kind)))
 
-    # one plan for many requests against one plan per request
-    nations = [r[0] for r in raw(spark, sf_dir, "nation").select("n_name").orderBy("n_name").collect()]
-    provider_reqs = [(f"{n}-{y}", n, y) for n in nations for y in (1999, 2000)]
-    req_df = spark.createDataFrame(provider_reqs, "request_id string, code string, fyear int")
-    national_reqs = [(f"n{i}", 2000, 0.05 * (i + 1), i) for i in range(8)]
-    nat_df = spark.createDataFrame(national_reqs, "request_id string, fyear int, sample_rate double, seed long")
+    # one plan for many requests against one plan per request; request tables derived by Spark
+    # from the nation and region tables (every provider for two years; one national request per
+    # region with its own rate and seed)
+    years = F.array(F.lit(1999), F.lit(2000))
+    req_df = (raw(spark, sf_dir, "nation").select(F.col("n_name").alias("code"), F.explode(years).alias("fyear"))
+              .select(F.concat_ws("-", "code", F.col("fyear").cast("string")).alias("request_id"), "code", "fyear"))
+    provider_reqs = [tuple(r) for r in req_df.collect()]
+    nat_df = raw(spark, sf_dir, "region").select(
+        F.concat(F.lit("n"), F.col("r_regionkey").cast("string")).alias("request_id"),
+        F.lit(2000).alias("fyear"),
+        ((F.col("r_regionkey") + 1) / 20.0).alias("sample_rate"),
+        F.col("r_regionkey").cast("long").alias("seed"))
+    national_reqs = [tuple(r) for r in nat_df.collect()]
     for kind in ("ip", "op", "strategies_activity_avoidance"):
         times[f"batch_provider_{kind}"] = timed(lambda kind=kind: run(extract_all(data, req_df, kind, "provider")))
         times[f"loop_provider_{kind}"] = timed(lambda kind=kind: [

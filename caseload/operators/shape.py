@@ -61,7 +61,12 @@ def long_to_wide(
 
     Pass ``years`` to skip the discovery job and to fix the output schema: every listed year gets
     a column even when no row has it, and rows with a NULL or unlisted year are left out.
+
+    Written as one conditional sum per year rather than ``groupBy().pivot()``: the same values
+    (NULL where a group has no row for a year), but one partial/final aggregation with a single
+    shuffle, where the pivot plans an aggregation by (ids, year) and a second by ids.
     """
     if years is None:
         years = discover_values(df, year_col)
-    return df.groupBy(*ids).pivot(year_col, list(years)).agg(F.sum(value))
+    year = F.col(year_col)
+    return df.groupBy(*ids).agg(*[F.sum(F.when(year == F.lit(y), value)).alias(str(y)) for y in years])
