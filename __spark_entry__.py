@@ -40,6 +40,9 @@ SEED = 42
 RATE = 0.25
 REGION_FACTOR_YEARS = (1999, 2000)
 BATCH_YEARS = (1999, 2000)
+REQUEST_YEARS = (1999, 2000, 2024)
+BATCH_KINDS = ("ip", "strategies_activity_avoidance", "strategies_efficiencies", "op", "aae", "birth_factors",
+               "demographic_factors", "hsa_activity", "inequalities")
 
 
 # ------------------------------------------------------------------------------------------------
@@ -111,6 +114,39 @@ def _batch(kind: str, level: str = "provider") -> Callable[[SparkSession, str],
     return run
 
 
+def _level_requests(spark: SparkSession, sf_dir: str, level: str) -> DataFrame:
+    """Request tables for the batch checks, derived from the nation and region tables.
+
+    provider: every nation for each of REQUEST_YEARS; region: every region for each year;
+    national: one request per region and year, rate (regionkey+1)/8 and seed regionkey+40.
+    """
+    years = F.explode(F.array(*[F.lit(y) for y in REQUEST_YEARS])).alias("fyear")
+    if level == "provider":
+        base = raw(spark, sf_dir, "nation").select(F.col("n_name").alias("code"), years)
+    else:
+        base = raw(spark, sf_dir, "region").select("r_regionkey", F.col("r_name").alias("code"), years)
+    if level != "national":
+        return base.select(F.concat_ws("-", "code", F.col("fyear").cast("string")).alias("request_id"), "code", "fyear")
+    key = F.col("r_regionkey")
+    return base.select(
+        F.concat(F.lit("n"), key.cast("string"), F.lit("-"), F.col("fyear").cast("string")).alias("request_id"),
+        "fyear",
+        ((key + 1).cast("double") / 8.0).alias("sample_rate"),
+        (key + 40).cast("long").alias("seed"),
+    )
+
+
+def _batch_level(kind: str, level: str) -> Callable[[SparkSession, str], DataFrame]:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ensure_checkpoint_dir(spark)
+        df = extract_all(mapped_dataset(spark, sf_dir), _level_requests(spark, sf_dir, level), kind, level,
+                         factor_years=REGION_FACTOR_YEARS)
+        if kind.endswith("factors"):
+            df = _as_double(df, [str(y) for y in REGION_FACTOR_YEARS] if level == "region" else FACTOR_YEARS)
+        return df
+    return run
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
     for level in ("provider", "region", "national"):
@@ -126,6 +162,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q["stable_row_id"] = _stable_row_id
     q["batch_provider_ip"] = _batch("ip")
     q["wide_to_long"] = _wide_to_long
+    for level in ("provider", "region", "national"):
+        for kind in BATCH_KINDS:
+            name = f"batch_{level}_requests_{kind}"
+            q[name] = _batch_level(kind, level)
     return q
 
 
@@ -223,8 +263,90 @@ for _level, (_where, _cohort) in _COHORT.items():
         QUERIES[f"{_level}_strategies_{_kind}"] = _STRATEGY.format(table=_table, where=_where, cohort=_cohort)
 
 
-def _with_views(sql: str) -> str:
-    """Prefix ``sql`` with the views it needs (transitively), in dependency order."""
+# Batch oracles: the request table ``q`` (as built by _level_requests) joined to each table.
+_YEARS_SQL = " UNION ALL ".join(f"SELECT {y} AS y" for y in REQUEST_YEARS)
+_REQ_SQL = {
+    "provider": f"SELECT n_name||'-'||CAST(y AS VARCHAR) AS request_id, n_name AS code, y AS fyear FROM nation CROSS JOIN ({_YEARS_SQL}) yy",
+    "region": f"SELECT r_name||'-'||CAST(y AS VARCHAR) AS request_id, r_name AS code, y AS fyear FROM region CROSS JOIN ({_YEARS_SQL}) yy",
+    "national": f"SELECT 'n'||CAST(r_regionkey AS VARCHAR)||'-'||CAST(y AS VARCHAR) AS request_id, y AS fyear, CAST(r_regionkey+1 AS DOUBLE)/8 AS sample_rate, CAST(r_regionkey+40 AS BIGINT) AS seed FROM region CROSS JOIN ({_YEARS_SQL}) yy",
+}
+_Q_SAMPLE = ("substr(md5(concat(CAST(q.seed AS VARCHAR),'|',CAST({rn} AS VARCHAR))),1,8) < "
+             "lower(lpad(hex(CAST(floor(q.sample_rate*4294967296) AS BIGINT)),8,'0'))")
+_ON = {"provider": "{t}.dataset=q.code AND {t}.fyear=q.fyear", "region": "{t}.icb=q.code AND {t}.fyear=q.fyear",
+       "national": "{t}.fyear=q.fyear"}
+_FACTOR_COLS = ", ".join(f'CAST("{y}" AS DOUBLE) AS "{y}"' for y in FACTOR_YEARS)
+_FACTOR_SUMS = ", ".join(f'CAST(sum("{y}") AS DOUBLE) AS "{y}"' for y in FACTOR_YEARS)
+_PIVOT_SUMS = ", ".join(f'CAST(sum(CASE WHEN "year"={y} THEN "value"*pcnt END) AS DOUBLE) AS "{y}"' for y in REGION_FACTOR_YEARS)
+_NATIONAL_KEYS_OP = f"sha256(concat({_tok('attendance_type')},chr(31),'VNATIONAL',chr(31),'VNATIONAL',chr(31),'V0',chr(31),'VNATIONAL',chr(31),'VHRG'))"
+_NATIONAL_KEYS_AAE = f"sha256(concat({_tok('CAST(acuity AS VARCHAR)')},chr(31),{_tok('aedepttype')},chr(31),'VNATIONAL',chr(31),'VNATIONAL',chr(31),'VNATIONAL'))"
+
+
+def _batch_sql(level: str, kind: str) -> str:
+    on = _ON[level].format(t="t")
+    if kind == "ip":
+        if level == "provider":
+            body = f"SELECT q.request_id, t.* FROM ip t JOIN q ON {on}"
+        elif level == "region":
+            body = f"SELECT q.request_id, t.rn, t.fyear, t.icb AS dataset, t.dataset AS sitetret, t.icb, t.admigroup, t.cost FROM ip t JOIN q ON {on}"
+        else:
+            body = (f"SELECT q.request_id, t.rn, t.fyear, 'NATIONAL' AS dataset, 'NATIONAL' AS sitetret, t.icb, t.admigroup, t.cost "
+                    f"FROM ip t JOIN q ON {on} WHERE " + _Q_SAMPLE.format(rn="t.rn"))
+    elif kind.startswith("strategies_"):
+        table = "ip_" + kind[len("strategies_"):] + "_strategies"
+        s_on = _ON[level if level == "provider" else "national"].format(t="s")
+        cohort = _ON[level].format(t="ip") + (" AND " + _Q_SAMPLE.format(rn="ip.rn") if level == "national" else "")
+        body = (f"SELECT q.request_id, s.rn, s.dataset, s.fyear, s.strategy, s.sample_rate FROM {table} s JOIN q ON {s_on} "
+                f"WHERE EXISTS (SELECT 1 FROM ip WHERE ip.rn=s.rn AND {cohort})")
+    elif kind in ("op", "aae"):
+        detail = "sushrg_trimmed, imd_quintile, attendance_type" if kind == "op" else "aedepttype, acuity"
+        measures = ["attendances", "tele_attendances"] if kind == "op" else ["arrivals"]
+        if level == "provider":
+            body = (f'SELECT q.request_id, t."index" AS rn, t.fyear, t.dataset, t.sitetret, t.icb, {detail}, '
+                    f"{', '.join(measures)} FROM {kind} t JOIN q ON {on}")
+        elif level == "region":
+            order = ("attendance_type, fyear, icb, imd_quintile, provider, sushrg_trimmed" if kind == "op"
+                     else "acuity, aedepttype, fyear, icb, provider")
+            order = ", ".join(f"{c} NULLS LAST" for c in order.split(", "))
+            sums = ", ".join(f"CAST(coalesce(sum({m}),0) AS BIGINT) AS {m}" for m in measures)
+            body = (f"SELECT request_id, fyear, code AS dataset, provider AS sitetret, icb, {detail}, {sums}, "
+                    f"CAST(row_number() OVER (PARTITION BY request_id ORDER BY {order})-1 AS BIGINT) AS rn "
+                    f"FROM (SELECT q.request_id, q.code, t.fyear, t.dataset AS provider, t.icb, {detail}, {', '.join(measures)} "
+                    f"FROM {kind} t JOIN q ON {on}) x GROUP BY request_id, code, fyear, provider, icb, {detail}")
+        else:
+            consts = "'NATIONAL' AS dataset, 'NATIONAL' AS sitetret, 'NATIONAL' AS icb"
+            if kind == "op":
+                consts += ", 'HRG' AS sushrg_trimmed, 0 AS imd_quintile"
+                group, rid = "attendance_type", _NATIONAL_KEYS_OP
+            else:
+                group, rid = "aedepttype, acuity", _NATIONAL_KEYS_AAE
+            sums = ", ".join(f"CAST(sum({m}) AS DOUBLE)*q.sample_rate AS {m}" for m in measures)
+            body = (f"SELECT q.request_id, {consts}, {group}, {sums}, {rid} AS rn FROM {kind} t JOIN q ON {on} "
+                    f"GROUP BY q.request_id, q.sample_rate, {group}")
+    elif kind.endswith("factors"):
+        wide, long_ = ("birth_factors", "births") if kind == "birth_factors" else ("demographic_factors", "demographics")
+        if level == "provider":
+            body = f"SELECT q.request_id, t.fyear, t.variant, t.age, t.sex, {_FACTOR_COLS} FROM {wide} t JOIN q ON {on}"
+        elif level == "region":
+            sex, group = ("2 AS sex", "age, projection") if kind == "birth_factors" else ("sex", "age, sex, projection")
+            body = (f"SELECT q.request_id, age, {sex}, projection AS variant, {_PIVOT_SUMS} FROM {long_} JOIN icb_catchments c "
+                    f"USING (area_code) JOIN q ON c.icb=q.code WHERE projection_year=2022 GROUP BY q.request_id, {group}")
+        else:
+            body = (f"SELECT q.request_id, variant, age, sex, {_FACTOR_SUMS} FROM {wide} t JOIN q ON {on} "
+                    f"WHERE variant NOT LIKE 'custom%' GROUP BY q.request_id, variant, age, sex")
+    elif kind == "hsa_activity":
+        if level == "provider":
+            body = f"SELECT q.request_id, t.icb, t.hsagrp, t.sex, t.age, t.activity FROM hsa_activity_tables t JOIN q ON {on}"
+        else:
+            code = "t.fyear=q.fyear*100+(q.fyear+1)%100" + (" AND t.icb=q.code" if level == "region" else "")
+            body = (f"SELECT q.request_id, hsagrp, sex, age, avg(activity) AS activity FROM hsa_activity_tables_icb t "
+                    f"JOIN q ON {code} GROUP BY q.request_id, hsagrp, sex, age")
+    else:
+        body = f"SELECT q.request_id, t.* FROM inequalities t JOIN q ON {on}"
+    return body
+
+
+def _with_views(sql: str, extra: dict[str, str] | None = None) -> str:
+    """Prefix ``sql`` with the views it needs (transitively), in dependency order, then ``extra``."""
     needed: set[str] = set()
     pending = [sql]
     while pending:
@@ -234,8 +356,23 @@ def _with_views(sql: str) -> str:
                 needed.add(name)
                 pending.append(body)
     ctes = [f"{name} AS ({body})" for name, body in VIEWS.items() if name in needed]
+    ctes += [f"{name} AS ({body})" for name, body in (extra or {}).items()]
     return ("WITH " + ",\n".join(ctes) + "\n" + sql) if ctes else sql
 
 
+for _level in ("provider", "region", "national"):
+    for _kind in BATCH_KINDS:
+        QUERIES[f"batch_{_level}_requests_{_kind}"] = _batch_sql(_level, _kind)
+
+
 def oracle_sql() -> dict[str, str]:
-    return {name: _with_views(sql) for name, sql in QUERIES.items() if name in queries()}
+    out = {}
+    for name, sql in QUERIES.items():
+        if name not in queries():
+            continue
+        if name.startswith("batch_") and "_requests_" in name:
+            level = name.split("_")[1]
+            out[name] = _with_views(sql, extra={"q": _REQ_SQL[level]})
+        else:
+            out[name] = _with_views(sql)
+    return out

@@ -29,7 +29,7 @@ from caseload.functions.scope import (
     fyear_code_col,
     relabel,
 )
-from caseload.operators.joins import DEFAULT_BROADCAST_ROWS, fits, small_side
+from caseload.operators.joins import DEFAULT_BROADCAST_ROWS, small_side
 from caseload.operators.measure import mean_by, roll_up, sum_factors
 from caseload.operators.shape import keys_except, long_to_wide, year_columns
 from caseload.plans.cohorts import (
@@ -70,11 +70,14 @@ class _Batch:
             # Per-request sampling constants, computed once per request rather than per data row.
             req = req.withColumns({"_seed_prefix": seed_prefix_col(F.col("seed")),
                                    "_threshold": sample_threshold_col(F.col("sample_rate"))})
-        small = fits(req, max_requests)
+        # One bounded job: at most max_requests + 1 rows are counted and their distinct years kept.
+        probe = req.limit(max_requests + 1).agg(F.count(F.lit(1)).alias("n"),
+                                                  F.collect_set("fyear").alias("years")).first()
+        small = probe["n"] <= max_requests
         self.requests = F.broadcast(req) if small else req
         # A proven-small request table also gives the requested years as literals, which reach the
         # scan as partition filters (the join alone gets no dynamic pruning from a request table).
-        self.years = sorted(r[0] for r in req.select("fyear").distinct().collect() if r[0] is not None) if small else None
+        self.years = sorted(probe["years"]) if small else None
 
     # ---- helpers -------------------------------------------------------------------------------------
     def _req(self, code_as: str | None = None, year_expr=None) -> DataFrame:
