@@ -98,7 +98,7 @@ def main() -> None:
     provider_reqs = [tuple(r) for r in req_df.collect()]
     nat_df = raw(spark, sf_dir, "region").select(
         F.concat(F.lit("n"), F.col("r_regionkey").cast("string")).alias("request_id"),
-        F.lit(2000).alias("fyear"),
+        F.when(F.col("r_regionkey") % 2 == 0, F.lit(2000)).otherwise(F.lit(1999)).alias("fyear"),
         ((F.col("r_regionkey") + 1) / 20.0).alias("sample_rate"),
         F.col("r_regionkey").cast("long").alias("seed"))
     national_reqs = [tuple(r) for r in nat_df.collect()]

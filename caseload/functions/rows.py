@@ -9,6 +9,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -147,19 +148,36 @@ def dense_id(
     single task, so it is only for results known to be small.
 
     ``method="auto"`` uses the window only when a bounded count proves the input has at most
-    ``window_rows`` rows (one task sorts that easily), and the range method otherwise.
+    ``window_rows`` rows (one task sorts that easily), and the range method otherwise; the input
+    is computed once (persisted while it is probed) and the result is checkpointed.
     """
     within = list(within)
     sort_keys = sorted(keys)
-    if method == "auto":
-        method = "window" if df.limit(window_rows + 1).count() <= window_rows else "range"
     if method == "window":
-        spec = Window.partitionBy(*within) if within else Window.partitionBy()
-        spec = spec.orderBy(*_order(sort_keys))
-        return df.withColumn(name, (F.row_number().over(spec) - 1).cast("long"))
-    if method != "range":
+        return _window_ids(df, sort_keys, within, name)
+    if method == "range":
+        return _range_ids(df, sort_keys, within, name, partitions)
+    if method != "auto":
         raise ValueError(f"unknown dense id method {method!r}")
+    # The input is usually an aggregation over a large scan: keep it for the size probe and
+    # whichever path follows (range sampling reads it twice), then materialise the result so the
+    # scan is not repeated when the ids are read.
+    df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        if df.limit(window_rows + 1).count() <= window_rows:
+            return _window_ids(df, sort_keys, within, name).checkpoint(eager=True)
+        return _range_ids(df, sort_keys, within, name, partitions)
+    finally:
+        df.unpersist()
 
+
+def _window_ids(df: DataFrame, sort_keys: list[str], within: list[str], name: str) -> DataFrame:
+    spec = Window.partitionBy(*within) if within else Window.partitionBy()
+    spec = spec.orderBy(*_order(sort_keys))
+    return df.withColumn(name, (F.row_number().over(spec) - 1).cast("long"))
+
+
+def _range_ids(df: DataFrame, sort_keys: list[str], within: list[str], name: str, partitions: int | None) -> DataFrame:
     spark = df.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     lead = _order(within + sort_keys)

@@ -49,13 +49,14 @@ KINDS = ("ip", "strategies_activity_avoidance", "strategies_efficiencies", "op",
          "demographic_factors", "hsa_activity", "inequalities")
 _SCOPE_COLUMN = {PROVIDER: "dataset", REGION: "icb"}
 NATIONAL_REQUEST_COLUMNS = ("sample_rate", "seed", "_seed_prefix", "_threshold")
+DEFAULT_SALT_BUCKETS = 32
 # Scope objects only used for their level in relabel().
 _LEVEL_SCOPE = {PROVIDER: Scope.provider("-"), REGION: Scope.region("-"), NATION: Scope.national()}
 
 
 class _Batch:
     def __init__(self, data: Dataset, requests: DataFrame, level: str, keys: Sequence[str],
-                 projection_year: int, factor_years, id_method: str, max_requests: int):
+                 projection_year: int, factor_years, id_method: str, max_requests: int, salt_buckets: int):
         if level not in (PROVIDER, REGION, NATION):
             raise ValueError(f"unknown level {level!r}")
         self.data = data
@@ -74,6 +75,8 @@ class _Batch:
         probe = req.limit(max_requests + 1).agg(F.count(F.lit(1)).alias("n"),
                                                   F.collect_set("fyear").alias("years")).first()
         small = probe["n"] <= max_requests
+        self.small = small
+        self.salt_buckets = salt_buckets
         self.requests = F.broadcast(req) if small else req
         # A proven-small request table also gives the requested years as literals, which reach the
         # scan as partition filters (the join alone gets no dynamic pruning from a request table).
@@ -111,7 +114,15 @@ class _Batch:
         if by_code and self.level in _SCOPE_COLUMN:
             code_as = _SCOPE_COLUMN[self.level]
             on = [code_as, "fyear"]
-        return table.join(self._req(code_as, year_expr), on)
+        req = self._req(code_as, year_expr)
+        if self.small:
+            return table.join(req, on)
+        # Too many requests to broadcast: a shuffle join on (code, year) or year alone would send
+        # all rows of a large provider, or of a whole year, to one task. Each data row gets one of
+        # ``salt_buckets`` salts from a hash of its values and each request is repeated per salt.
+        salt = F.pmod(F.xxhash64(*[F.col(c) for c in table.columns]), F.lit(self.salt_buckets))
+        salted_req = req.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(self.salt_buckets - 1))))
+        return table.withColumn("_salt", salt).join(salted_req, [*on, "_salt"]).drop("_salt")
 
     def _relabel(self, df: DataFrame, include_icb: bool = False) -> DataFrame:
         code = F.col("icb") if self.level == REGION else None
@@ -129,7 +140,8 @@ class _Batch:
         # Cohort membership as distinct (request, key) pairs, then an equi-join: the same rows as a
         # semi join per request, without fanning every strategy out to every request of its year.
         match = ["fyear", *self.keys] + (["dataset"] if self.level == PROVIDER else [])
-        cohort = self.ip().select("request_id", *match).dropDuplicates()
+        # Partitioned on the join keys, so the de-duplication and the join share one shuffle.
+        cohort = self.ip().select("request_id", *match).repartition(*match).dropDuplicates()
         table = self._in_years(self.data.table(names.STRATEGY_TABLES[kind]))
         return table.join(cohort, match)
 
@@ -194,9 +206,14 @@ def extract_all(
     factor_years: Sequence | None = None,
     id_method: str = "auto",
     max_requests: int = DEFAULT_BROADCAST_ROWS,
+    salt_buckets: int = DEFAULT_SALT_BUCKETS,
 ) -> DataFrame:
-    """Extract ``kind`` (one of :data:`KINDS`) for every request of ``level`` in one plan."""
-    b = _Batch(data, requests, level, keys, projection_year, factor_years, id_method, max_requests)
+    """Extract ``kind`` (one of :data:`KINDS`) for every request of ``level`` in one plan.
+
+    ``max_requests`` bounds the request table that is broadcast; above it the joins are salted
+    shuffle joins with ``salt_buckets`` salts.
+    """
+    b = _Batch(data, requests, level, keys, projection_year, factor_years, id_method, max_requests, salt_buckets)
     if kind == "ip":
         return b.ip()
     if kind.startswith("strategies_"):

@@ -57,3 +57,14 @@ def test_batch_equals_single(spark, level, kind):
         total += len(want)
     assert batch.count() == total
     batch.unpersist()
+
+
+@pytest.mark.parametrize("level", ["provider", "national"])
+def test_salted_path_equals_broadcast_path(spark, level):
+    """Above the broadcast bound the joins are salted; the rows are the same."""
+    data = mapped_dataset(spark, SF_SMALL)
+    reqs = _requests(spark, level)
+    for kind in ("ip", "op", "inequalities"):
+        small = extract_all(data, reqs, kind, level, factor_years=FACTOR_YEARS)
+        salted = extract_all(data, reqs, kind, level, factor_years=FACTOR_YEARS, max_requests=1, salt_buckets=4)
+        assert rows(salted) == rows(small)

@@ -68,3 +68,26 @@ def test_serve_queue_end_to_end(spark, tmp_path):
     assert spark.read.parquet(str(bad)).count() == 1
     runs = spark.read.json(str(out / "_runs"))
     assert runs.count() == 2
+
+
+def test_write_extracts_replaces_only_touched_partitions(spark, tmp_path):
+    from caseload.sources.sinks import write_extracts
+
+    out = str(tmp_path / "out")
+    first = spark.createDataFrame(
+        [("v1", "A", "s", "t1", 1), ("v1", "B", "s", "t1", 2)],
+        "app_version string, run_dataset string, scenario string, create_datetime string, x int")
+    write_extracts(first, out)
+    write_extracts(spark.createDataFrame([("v1", "A", "s", "t1", 10)], first.schema), out)
+    got = sorted((r["run_dataset"], r["x"]) for r in spark.read.parquet(out).collect())
+    assert got == [("A", 10), ("B", 2)]
+
+
+def test_cached_releases(spark):
+    from caseload.sources.dataset import cached
+
+    df = spark.range(10)
+    with cached(df) as kept:
+        assert kept.is_cached
+        assert kept.count() == 10
+    assert not df.is_cached
