@@ -91,3 +91,23 @@ def test_cached_releases(spark):
         assert kept.is_cached
         assert kept.count() == 10
     assert not df.is_cached
+
+
+def test_clean_source_archives_after_commit(spark, tmp_path):
+    """A params file leaves the queue only after the batch that read it is committed (the next
+    run archives it); it is never read twice."""
+    queue, ckpt, archive = tmp_path / "queue", tmp_path / "ckpt", tmp_path / "archive"
+    queue.mkdir()
+    seen = []
+
+    def collect(batch, _batch_id):
+        seen.extend(r["params_path"] for r in batch.select("params_path").collect())
+
+    for i in range(2):
+        _write(queue, f"r{i}.json", {"dataset": f"NATION_{i}"})
+    drain_queue(spark, str(queue), str(ckpt), collect, clean_source="archive", archive_dir=str(archive))
+    _write(queue, "r9.json", {"dataset": "NATION_9"})
+    drain_queue(spark, str(queue), str(ckpt), collect, clean_source="archive", archive_dir=str(archive))
+    assert len(seen) == 3
+    assert sorted(p.name for p in queue.iterdir()) == ["r9.json"]
+    assert sorted(p.name for p in archive.rglob("*.json")) == ["r0.json", "r1.json"]
