@@ -82,11 +82,14 @@ def apportion(
     """Join projections to catchment weights (an area may serve several regions) and return the
     joined rows with the weighted value expression ``value * weight``.
 
-    The catchment side is broadcast only after a bounded count proves it small; otherwise the
-    join is left to Catalyst and AQE.
+    By default the join strategy is left to Catalyst and AQE, which broadcast the catchment side
+    only within ``spark.sql.autoBroadcastJoinThreshold`` (file-size statistics when planning, the
+    measured shuffle size at run time). With ``max_catchment_rows`` the side is broadcast after a
+    bounded count proves it at most that many rows (for catchments without statistics).
     """
-    kwargs = {} if max_catchment_rows is None else {"max_rows": max_catchment_rows}
-    joined = projections.join(small_side(catchments, **kwargs), key)
+    if max_catchment_rows is not None:
+        catchments = small_side(catchments, max_catchment_rows)
+    joined = projections.join(catchments, key)
     return joined, F.col(value) * F.col(weight)
 
 
