@@ -87,6 +87,10 @@ def _factors(level: str, method: str) -> Callable[[SparkSession, str], DataFrame
     return run
 
 
+def _bernoulli_ip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return Cohorts(mapped_dataset(spark, sf_dir), Scope.national(RATE, SEED), YEAR, sample_method="bernoulli").ip()
+
+
 def _stable_row_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     keys = ["attendance_type", "sushrg_trimmed", "imd_quintile"]
     op = mapped_dataset(spark, sf_dir).table(names.OP)
@@ -159,6 +163,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         q[f"{level}_demographic_factors"] = _factors(level, "demographic_factors")
         q[f"{level}_hsa_activity"] = _extract(level, "hsa_activity")
         q[f"{level}_inequalities"] = _extract(level, "inequalities")
+    # The source system's own sampler (Spark's Bernoulli ``sample``): its rows depend on the
+    # partitioning, so it has no SQL oracle (rows-only check); the hash sample above is checked.
+    q["national_ip_bernoulli"] = _bernoulli_ip
     q["stable_row_id"] = _stable_row_id
     q["batch_provider_ip"] = _batch("ip")
     q["wide_to_long"] = _wide_to_long

@@ -22,6 +22,8 @@ SAMPLE_SEPARATOR = "|"  # between seed and key in the sample hash
 _TWO_32 = 4294967296  # 2**32
 # Largest input numbered by a single window task in dense_id(method="auto").
 WINDOW_ROWS = 1_000_000
+# Target rows per range partition in dense_id(method="range").
+RANGE_ROWS_PER_PARTITION = 2_000_000
 
 
 # --------------------------------------------------------------------------------------------
@@ -137,7 +139,8 @@ def dense_id(
     """0-based position of each row in the order of its name-sorted ``keys`` (NULLs last),
     restarting for each value of ``within`` (e.g. a request id).
 
-    ``method="range"`` scales to any result size: rows are range-partitioned on
+    ``method="range"`` scales to any result size: rows are range-partitioned (into
+    ``partitions``, or enough partitions for about 2M rows each) on
     (``within``, keys), sorted inside each partition and checkpointed (range bounds are sampled, so
     the layout is fixed once before it is counted). Each row's position is its offset inside its
     partition plus the number of rows of the same ``within`` group in earlier partitions. The
@@ -171,6 +174,14 @@ def dense_id(
         df.unpersist()
 
 
+def range_partitions(df: DataFrame, rows_per_partition: int = RANGE_ROWS_PER_PARTITION) -> int:
+    """Number of range partitions for ``df``: enough for ``rows_per_partition`` rows each, and at
+    least ``spark.sql.shuffle.partitions``. The count is fixed before the shuffle because a range
+    partition is never split afterwards."""
+    floor = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(floor, -(-df.count() // rows_per_partition))
+
+
 def _window_ids(df: DataFrame, sort_keys: list[str], within: list[str], name: str) -> DataFrame:
     spec = Window.partitionBy(*within) if within else Window.partitionBy()
     spec = spec.orderBy(*_order(sort_keys))
@@ -178,8 +189,7 @@ def _window_ids(df: DataFrame, sort_keys: list[str], within: list[str], name: st
 
 
 def _range_ids(df: DataFrame, sort_keys: list[str], within: list[str], name: str, partitions: int | None) -> DataFrame:
-    spark = df.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = partitions or range_partitions(df)
     lead = _order(within + sort_keys)
     ranged = (
         df.repartitionByRange(n, *lead)

@@ -11,8 +11,6 @@ This is test scaffolding; the extract operators never depend on it.
 
 from __future__ import annotations
 
-from functools import partial
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -212,6 +210,3 @@ def mapped_dataset(spark: SparkSession, sf_dir: str) -> Dataset:
     }
     return Dataset(spark, None, tables)
 
-
-def raw_table(spark: SparkSession, sf_dir: str) -> partial:
-    return partial(raw, spark, sf_dir)

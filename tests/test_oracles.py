@@ -46,8 +46,16 @@ def test_query_matches_oracle(spark, duck, name):
     assert got == want
 
 
-def test_every_query_has_an_oracle():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+def test_every_query_has_an_oracle_but_the_bernoulli_sample():
+    assert set(entry.queries()) - set(entry.oracle_sql()) == {"national_ip_bernoulli"}
+
+
+def test_bernoulli_sample_is_a_subset_of_the_year(spark):
+    df = entry.queries()["national_ip_bernoulli"](spark, SF_SMALL)
+    total = entry.queries()["national_ip"]  # same cohort, hash-sampled
+    n = df.count()
+    assert 0 < n < df.sparkSession.read.parquet(f"{SF_SMALL}/orders.parquet").count()
+    assert set(df.columns) == set(total(spark, SF_SMALL).columns)
 
 
 def test_entry_smoke(spark):
