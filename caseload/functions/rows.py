@@ -13,6 +13,8 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from caseload.operators.joins import small_side
+
 # Fixed values of the id encodings.
 KEY_SEPARATOR = "\x1f"  # char 31 between key tokens
 PRESENT_MARK = "V"  # prefix of a present value
@@ -204,8 +206,11 @@ def _range_ids(df: DataFrame, sort_keys: list[str], within: list[str], name: str
         "_offset",
         F.coalesce(F.sum("_rows").over(earlier.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
     ).select(*group, "_first", "_offset")
+    # Without ``within`` the offsets have one row per partition (at most n): broadcast. With it,
+    # one row per (partition, group), which grows with the groups: broadcast after a bounded count.
+    runs = small_side(runs) if within else F.broadcast(runs)
     join_cond = [ranged["_part"] == runs["_part"]] + [ranged[c].eqNullSafe(runs[c]) for c in within]
-    out = ranged.join(F.broadcast(runs), join_cond, "inner").select(
+    out = ranged.join(runs, join_cond, "inner").select(
         ranged["*"], (ranged["_pos"] - runs["_first"] + runs["_offset"]).cast("long").alias(name)
     )
     return out.drop("_part", "_pos")
