@@ -56,3 +56,26 @@ def test_batch_uses_one_scan_per_table(spark, partitioned):
     plan = _plan(extract_all(partitioned, reqs, "ip", "provider"))
     assert plan.count("FileScan parquet") == 1
     assert "BroadcastHashJoin" in plan
+
+
+def test_bucketed_episode_tables_join_without_shuffle(spark, tmp_path):
+    """ip and strategies bucketed by rn: the semi join reads co-partitioned sides, no Exchange."""
+    from caseload.sources.layout import write_episode_tables
+
+    src = mapped_dataset(spark, SF_SMALL)
+    tables = {n: src.table(n) for n in ("ip", "ip_activity_avoidance_strategies")}
+    names = write_episode_tables(tables, str(tmp_path / "tables"), buckets=4)
+    data = Dataset(spark, tables=names)
+    previous = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = Cohorts(data, Scope.region("AFRICA"), 2000).strategies("activity_avoidance")
+        plan = _plan(df)
+        assert "SortMergeJoin" in plan and "LeftSemi" in plan
+        assert "Exchange" not in plan
+        want = Cohorts(src, Scope.region("AFRICA"), 2000).strategies("activity_avoidance")
+        assert df.count() == want.count()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", previous)
+        for name in names.values():
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
