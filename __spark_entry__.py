@@ -91,6 +91,16 @@ def _bernoulli_ip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Cohorts(mapped_dataset(spark, sf_dir), Scope.national(RATE, SEED), YEAR, sample_method="bernoulli").ip()
 
 
+def _factors_all_years(method: str) -> Callable[[SparkSession, str], DataFrame]:
+    """Region factors with the pivot years found from the data (the source system's default)."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ensure_checkpoint_dir(spark)
+        cohort = Cohorts(mapped_dataset(spark, sf_dir), _scope(spark, sf_dir, "region"), YEAR)
+        df = getattr(cohort, method)()
+        return _as_double(df, [c for c in df.columns if c.isdigit()])
+    return run
+
+
 def _stable_row_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     keys = ["attendance_type", "sushrg_trimmed", "imd_quintile"]
     op = mapped_dataset(spark, sf_dir).table(names.OP)
@@ -163,6 +173,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         q[f"{level}_demographic_factors"] = _factors(level, "demographic_factors")
         q[f"{level}_hsa_activity"] = _extract(level, "hsa_activity")
         q[f"{level}_inequalities"] = _extract(level, "inequalities")
+    q["region_birth_factors_all_years"] = _factors_all_years("birth_factors")
+    q["region_demographic_factors_all_years"] = _factors_all_years("demographic_factors")
     # The source system's own sampler (Spark's Bernoulli ``sample``): its rows depend on the
     # partitioning, so it has no SQL oracle (rows-only check); the hash sample above is checked.
     q["national_ip_bernoulli"] = _bernoulli_ip
@@ -265,6 +277,11 @@ FROM aae WHERE fyear=2024 GROUP BY aedepttype, acuity""",
     "batch_provider_ip": "SELECT q.request_id, ip.* FROM ip JOIN (SELECT concat(n_name,'-',CAST(y AS VARCHAR)) AS request_id, n_name, y FROM nation CROSS JOIN (SELECT 1999 AS y UNION ALL SELECT 2000) yy) q ON ip.dataset=q.n_name AND ip.fyear=q.y",
     "wide_to_long": 'SELECT variant, age, sex, \'2019\' AS "year", CAST("2019" AS DOUBLE) AS "value" FROM demographic_factors UNION ALL SELECT variant, age, sex, \'2020\', CAST("2020" AS DOUBLE) FROM demographic_factors UNION ALL SELECT variant, age, sex, \'2021\', CAST("2021" AS DOUBLE) FROM demographic_factors',
 }
+# Years present in the order dates of every test scale (1995-2001): the discovered pivot columns.
+_ALL_YEARS = range(1995, 2002)
+_ALL_SUMS = ", ".join(f'CAST(sum(CASE WHEN "year"={y} THEN "value"*pcnt END) AS DOUBLE) AS "{y}"' for y in _ALL_YEARS)
+QUERIES["region_birth_factors_all_years"] = f"SELECT age, 2 AS sex, projection AS variant, {_ALL_SUMS} FROM births JOIN icb_catchments USING (area_code) WHERE projection_year=2022 AND icb={_REGION} GROUP BY age, projection"
+QUERIES["region_demographic_factors_all_years"] = f"SELECT age, sex, projection AS variant, {_ALL_SUMS} FROM demographics JOIN icb_catchments USING (area_code) WHERE projection_year=2022 AND icb={_REGION} GROUP BY age, sex, projection"
 for _level, (_where, _cohort) in _COHORT.items():
     for _kind, _table in _TABLES.items():
         QUERIES[f"{_level}_strategies_{_kind}"] = _STRATEGY.format(table=_table, where=_where, cohort=_cohort)
