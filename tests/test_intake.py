@@ -111,3 +111,19 @@ def test_clean_source_archives_after_commit(spark, tmp_path):
     assert len(seen) == 3
     assert sorted(p.name for p in queue.iterdir()) == ["r9.json"]
     assert sorted(p.name for p in archive.rglob("*.json")) == ["r0.json", "r1.json"]
+
+
+def test_command_line_serves_the_queue(spark, tmp_path):
+    from bench import prepare
+    from caseload.__main__ import main
+
+    data_dir, queue, out = tmp_path / "data", tmp_path / "queue", tmp_path / "out"
+    prepare(spark, SF_SMALL, str(data_dir))
+    queue.mkdir()
+    _write(queue, "r.json", {"app_version": "v1", "dataset": "AFRICA", "scenario": "s", "seed": 3, "start_year": 2000})
+    main(["serve", "--level", "region", "--data", str(data_dir), "--queue", str(queue), "--out", str(out),
+          "--checkpoint", str(tmp_path / "ckpt"), "--table", f"hsa_activity_tables_national={data_dir}/hsa_activity_tables_icb"])
+    op = spark.read.parquet(str(out / "op"))
+    assert op.count() > 0 and {"rn", "attendances", "run_dataset"} <= set(op.columns)
+    assert sorted(p.name for p in out.iterdir() if not p.name.startswith("_") or p.name == "_runs") == sorted(
+        ["_runs", "aae", "birth_factors", "demographic_factors", "hsa_activity", "inequalities", "op"])
