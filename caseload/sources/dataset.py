@@ -42,7 +42,9 @@ class Dataset:
     * a catalog name (``catalog.schema.table``) read with ``spark.table``,
     * a DataFrame, or a callable building one from the session.
 
-    Every call returns a fresh lazy DataFrame; nothing is read until an action runs.
+    Nothing is read until an action runs. The DataFrame of each table is built once and reused
+    (file listing and schema resolution happen once per table, not once per extract); call
+    :meth:`refresh` after the files of a table change.
     """
 
     def __init__(self, spark: SparkSession, base_path: str | None = None,
@@ -50,8 +52,21 @@ class Dataset:
         self.spark = spark
         self.base_path = base_path.rstrip("/") if base_path else None
         self.tables = dict(tables or {})
+        self._resolved: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
+        if name not in self._resolved:
+            self._resolved[name] = self._resolve(name)
+        return self._resolved[name]
+
+    def refresh(self, name: str | None = None) -> None:
+        """Forget resolved tables (all, or one) so the next use lists their files again."""
+        if name is None:
+            self._resolved.clear()
+        else:
+            self._resolved.pop(name, None)
+
+    def _resolve(self, name: str) -> DataFrame:
         source = self.tables.get(name)
         if source is None:
             if self.base_path is None:
