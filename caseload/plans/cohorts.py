@@ -7,7 +7,7 @@ DataFrame; nothing is collected. The plan of each is filters (pushed to the scan
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -169,6 +169,12 @@ class Cohorts:
     def inequalities(self) -> DataFrame:
         return in_scope(self.data.table(names.INEQUALITIES), self.scope, self.year)
 
+    # ---- health-status models ---------------------------------------------------------------------
+    def hsa_gams(self):
+        """Health-status adjustment models are not loaded from these tables (the source system does
+        not support them either)."""
+        raise NotImplementedError("health-status adjustment models are not part of the extracts")
+
     # ---- everything ---------------------------------------------------------------------------------
     def extracts(self) -> dict[str, DataFrame]:
         out = {"ip": self.ip()}
@@ -182,3 +188,21 @@ class Cohorts:
             "inequalities": self.inequalities(),
         })
         return out
+
+
+def cohort_factory(data: Dataset, level: str, *, sample_rate: float = 1.0, seed: int = 0,
+                   **options) -> Callable[[int, str | None], Cohorts]:
+    """A ``(year, code) -> Cohorts`` callable, the shape a model run asks its data loader for.
+
+    ``code`` is the provider or region code; national cohorts ignore it and use ``sample_rate`` and
+    ``seed``.
+    """
+    def make(year: int, code: str | None = None) -> Cohorts:
+        if level == NATION:
+            scope = Scope.national(sample_rate, seed)
+        elif level == REGION:
+            scope = Scope.region(code)
+        else:
+            scope = Scope.provider(code)
+        return Cohorts(data, scope, year, **options)
+    return make

@@ -198,3 +198,24 @@ def test_nan_measure_skipped_for_region(spark):
                                "index long, fyear int, dataset string, sitetret string, icb string, t string, arrivals double")
     out = Cohorts(Dataset(spark, tables={"aae": df}), Scope.region("R"), 2000).aae().first()
     assert not math.isnan(out["arrivals"]) and out["arrivals"] == 1.0
+
+
+def test_dataset_sources_and_factory(spark, tmp_path):
+    from caseload import cohort_factory
+
+    df = spark.createDataFrame([(1, 2000, "P", "S", "R")], "rn long, fyear int, dataset string, sitetret string, icb string")
+    df.write.parquet(str(tmp_path / "base" / "ip"))
+    df.write.parquet(str(tmp_path / "elsewhere"))
+    df.createOrReplaceTempView("ip_view")
+    for data in (Dataset(spark, str(tmp_path / "base")),
+                 Dataset(spark, None, {"ip": str(tmp_path / "elsewhere")}),
+                 Dataset(spark, None, {"ip": "ip_view"}),
+                 Dataset(spark, None, {"ip": df}),
+                 Dataset(spark, None, {"ip": lambda s: df})):
+        make = cohort_factory(data, "region")
+        assert make(2000, "R").ip().count() == 1
+        assert cohort_factory(data, "national", sample_rate=1.0, seed=3)(2000, None).ip().count() == 1
+    with pytest.raises(NotImplementedError):
+        cohort_factory(Dataset(spark, None, {}), "provider")(2000, "P").hsa_gams()
+    with pytest.raises(KeyError):
+        Dataset(spark, None, {}).table("ip")
