@@ -22,6 +22,8 @@ REQUEST_FIELDS = {
     "scenario": "string",
     "seed": "bigint",
 }
+# Inpatient sample rate of national runs when neither the caller nor the params give one.
+DEFAULT_NATIONAL_SAMPLE_RATE = 0.01
 # Key holding the model's start (financial) year; an assumption of this library, configurable.
 DEFAULT_YEAR_FIELD = "start_year"
 
@@ -87,11 +89,13 @@ def request_table(
 
     ``request_id`` is a hash of the file path; ``code`` is the params ``dataset`` (provider or
     region code); ``create_datetime`` is stamped from the file's modification time by default, so a
-    retried batch writes to the same place.
+    retried batch writes to the same place. ``sample_rate`` (national runs) is the argument, else
+    the params' ``sample_rate``, else 0.01.
     """
     p = F.col("params")
     fields = {name: F.try_variant_get(p, f"$.{name}", kind).alias(name) for name, kind in REQUEST_FIELDS.items()}
-    rate = F.lit(float(sample_rate)) if sample_rate is not None else F.try_variant_get(p, "$.sample_rate", "double")
+    rate = (F.lit(float(sample_rate)) if sample_rate is not None
+            else F.coalesce(F.try_variant_get(p, "$.sample_rate", "double"), F.lit(DEFAULT_NATIONAL_SAMPLE_RATE)))
     return raw.where(p.isNotNull()).select(
         F.sha2(F.col("params_path"), 256).alias("request_id"),
         "params_path",

@@ -49,6 +49,7 @@ def test_request_table_types_and_stamp(spark, tmp_path):
     assert (r["code"], r["fyear"], r["seed"], r["scenario"]) == ("NATION_3", 2000, 7, "s")
     assert len(r["create_datetime"]) == 15 and r["create_datetime"][8] == "_"
     assert "nested" not in r["metadata"] and r["metadata"]["seed"] == "7"
+    assert r["sample_rate"] == 0.01  # national default when the params give none
 
 
 def test_serve_queue_end_to_end(spark, tmp_path):
@@ -144,3 +145,14 @@ def test_replayed_batch_rewrites_the_same_output(spark, tmp_path):
             rows_once = first.count()
     assert first.count() == rows_once
     assert first.select("create_datetime").distinct().count() == 1
+
+
+def test_national_queue_run_scales_by_the_default_rate(spark, tmp_path):
+    queue, out = tmp_path / "queue", tmp_path / "out"
+    queue.mkdir()
+    _write(queue, "n.json", {"app_version": "v1", "dataset": "NATIONAL", "scenario": "s", "seed": 5, "start_year": 2024})
+    data = mapped_dataset(spark, SF_SMALL)
+    serve_queue(spark, data, str(queue), str(out), str(tmp_path / "ckpt"), "national", kinds=["aae"])
+    got = spark.read.parquet(str(out / "aae")).agg(F.sum("arrivals")).first()[0]
+    want = data.table("aae").where("fyear = 2024").agg(F.sum("arrivals")).first()[0] * 0.01
+    assert abs(got - want) < 1e-9
