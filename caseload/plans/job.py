@@ -65,8 +65,8 @@ def serve_queue(
     archive_dir: str | None = None,
     **extract_options,
 ) -> StreamingQuery:
-    """Drain the queue once. Files that are not JSON go to ``quarantine_path`` (one partition per
-    micro-batch). Every write is an overwrite of the batch's own partitions, so a batch replayed
+    """Drain the queue once. Files that are not JSON, or lack a field the level needs, go to
+    ``quarantine_path`` with the reason (one partition per micro-batch). Every write is an overwrite of the batch's own partitions, so a batch replayed
     after a failure (same files, same stamps from the files' modification times) gives the same
     output."""
 
@@ -75,10 +75,10 @@ def serve_queue(
             if quarantine_path:
                 # Partitioned by batch and overwritten dynamically: a replayed batch rewrites its
                 # own partition instead of appending the same files again.
-                (quarantined(raw).withColumn("batch_id", F.lit(batch_id))
+                (quarantined(raw, level, year_field).withColumn("batch_id", F.lit(batch_id))
                  .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
                  .partitionBy("batch_id").parquet(quarantine_path))
-            requests = request_table(raw, year_field=year_field, sample_rate=sample_rate)
+            requests = request_table(raw, level=level, year_field=year_field, sample_rate=sample_rate)
             run_requests(data, requests, level, out_path, full=full, **extract_options)
 
     return drain_queue(spark, queue_path, checkpoint, handle, clean_source=clean_source, archive_dir=archive_dir)

@@ -81,6 +81,7 @@ def request_metadata(params_text: Column) -> Column:
 def request_table(
     raw: DataFrame,
     *,
+    level: str | None = None,
     year_field: str = DEFAULT_YEAR_FIELD,
     sample_rate: float | None = None,
     stamp_from: Column | None = None,
@@ -90,13 +91,14 @@ def request_table(
     ``request_id`` is a hash of the file path; ``code`` is the params ``dataset`` (provider or
     region code); ``create_datetime`` is stamped from the file's modification time by default, so a
     retried batch writes to the same place. ``sample_rate`` (national runs) is the argument, else
-    the params' ``sample_rate``, else 0.01.
+    the params' ``sample_rate``, else 0.01. With ``level``, rows missing a field that level needs
+    are left out (see :func:`quarantined`).
     """
     p = F.col("params")
     fields = {name: F.try_variant_get(p, f"$.{name}", kind).alias(name) for name, kind in REQUEST_FIELDS.items()}
     rate = (F.lit(float(sample_rate)) if sample_rate is not None
             else F.coalesce(F.try_variant_get(p, "$.sample_rate", "double"), F.lit(DEFAULT_NATIONAL_SAMPLE_RATE)))
-    return raw.where(p.isNotNull()).select(
+    return raw.where(request_problem(level, year_field).isNull()).select(
         F.sha2(F.col("params_path"), 256).alias("request_id"),
         "params_path",
         *fields.values(),
@@ -108,9 +110,24 @@ def request_table(
     )
 
 
-def quarantined(raw: DataFrame) -> DataFrame:
-    """Params files that are not valid JSON."""
-    return raw.where(F.col("params").isNull()).select("params_path", "params_modified", "params_text")
+def request_problem(level: str | None = None, year_field: str = DEFAULT_YEAR_FIELD) -> Column:
+    """Why a params row cannot be served (NULL when it can): not JSON, or a field the level needs
+    (the year; the provider/region code; the seed of a national run) missing or of the wrong type."""
+    p = F.col("params")
+    problem = F.when(p.isNull(), F.lit("not valid JSON"))
+    if level is None:
+        return problem
+    needed = {year_field: "int", **({"seed": "bigint"} if level == "national" else {"dataset": "string"})}
+    for name, kind in needed.items():
+        problem = problem.when(F.try_variant_get(p, f"$.{name}", kind).isNull(), F.lit(f"missing or invalid {name}"))
+    return problem
+
+
+def quarantined(raw: DataFrame, level: str | None = None, year_field: str = DEFAULT_YEAR_FIELD) -> DataFrame:
+    """Params rows that cannot be served, with the reason."""
+    return (raw.withColumn("reason", request_problem(level, year_field))
+            .where(F.col("reason").isNotNull())
+            .select("params_path", "params_modified", "params_text", "reason"))
 
 
 def drain_queue(

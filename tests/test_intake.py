@@ -59,6 +59,7 @@ def test_serve_queue_end_to_end(spark, tmp_path):
         _write(queue, f"{code}.json", {"app_version": "v9", "dataset": code, "scenario": "base", "seed": 1,
                                        "start_year": 2000})
     _write(queue, "broken.json", "{not json")
+    _write(queue, "no_year.json", {"app_version": "v9", "dataset": "NATION_1", "scenario": "base"})
     data = mapped_dataset(spark, SF_SMALL)
     serve_queue(spark, data, str(queue), str(out), str(ckpt), "provider", quarantine_path=str(bad),
                 kinds=["op", "inequalities"], factor_years=(1999, 2000))
@@ -66,7 +67,8 @@ def test_serve_queue_end_to_end(spark, tmp_path):
     assert set(r["run_dataset"] for r in op.select("run_dataset").distinct().collect()) == {"NATION_3", "NATION_8"}
     assert op.where("run_dataset = 'NATION_3'").count() == data.table("op").where(
         "dataset = 'NATION_3' AND fyear = 2000").count()
-    assert spark.read.parquet(str(bad)).count() == 1
+    reasons = sorted(r["reason"] for r in spark.read.parquet(str(bad)).collect())
+    assert reasons == ["missing or invalid start_year", "not valid JSON"]
     runs = spark.read.json(str(out / "_runs"))
     assert runs.count() == 2
 
