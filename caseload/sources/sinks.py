@@ -15,14 +15,18 @@ def write_extracts(
     path: str,
     partition_by: Sequence[str] = RUN_PARTITIONS,
     order_by: Sequence[str] | None = None,
+    rebalance: bool = True,
 ) -> None:
     """Write ``df`` as parquet partitioned by the run columns, replacing only the partitions the
     data touches (dynamic overwrite), so re-running one request rewrites its own folder and leaves
     the others. A rerun after a failure overwrites the partial output of the failed attempt.
 
     ``order_by`` sorts rows inside each output file (SRT1 at the sink) without a global sort.
+
+    ``rebalance`` clusters rows by the run columns before writing (few files per run instead of one
+    per task and run) while AQE splits a run that is too large for one writer and merges small ones.
     """
-    writer_df = df
+    writer_df = rebalanced(df, partition_by) if rebalance else df
     if order_by:
         writer_df = writer_df.sortWithinPartitions(*partition_by, *order_by)
     (writer_df.write
@@ -32,6 +36,11 @@ def write_extracts(
      .parquet(path))
 
 
+def rebalanced(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``df`` with a rebalance hint on ``columns`` (AQE sizes the resulting partitions)."""
+    return df.hint("rebalance", *columns) if columns else df
+
+
 def write_json(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     """Gzipped JSON lines (one part file per task, not one document)."""
     writer = df.write.mode("overwrite").option("compression", "gzip")

@@ -158,3 +158,12 @@ def test_national_queue_run_scales_by_the_default_rate(spark, tmp_path):
     got = spark.read.parquet(str(out / "aae")).agg(F.sum("arrivals")).first()[0]
     want = data.table("aae").where("fyear = 2024").agg(F.sum("arrivals")).first()[0] * 0.01
     assert abs(got - want) < 1e-9
+
+
+def test_write_extracts_rebalances_by_run(spark):
+    from caseload.sources.sinks import RUN_PARTITIONS, rebalanced
+
+    df = spark.range(100).selectExpr("'v' AS app_version", "CAST(id % 3 AS STRING) AS run_dataset",
+                                     "'s' AS scenario", "'t' AS create_datetime", "id")
+    plan = rebalanced(df, RUN_PARTITIONS)._jdf.queryExecution().optimizedPlan().toString()
+    assert "RebalancePartitions" in plan
