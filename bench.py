@@ -90,8 +90,8 @@ def main() -> None:
             times[f"{level}_{kind}"] = timed(lambda c=c, kind=kind: run(extract(c, kind)))
 
     # one plan for many requests against one plan per request; request tables derived by Spark
-    # from the nation and region tables (every provider for two years; one national request per
-    # region with its own rate and seed)
+    # from the nation and region tables (every provider and every region for two years; one
+    # national request per region with its own rate and seed)
     years = F.array(F.lit(1999), F.lit(2000))
     req_df = (raw(spark, sf_dir, "nation").select(F.col("n_name").alias("code"), F.explode(years).alias("fyear"))
               .select(F.concat_ws("-", "code", F.col("fyear").cast("string")).alias("request_id"), "code", "fyear"))
@@ -107,6 +107,12 @@ def main() -> None:
         times[f"loop_provider_{kind}"] = timed(lambda kind=kind: [
             run(extract(Cohorts(data, Scope.provider(code), y), kind)) for _, code, y in provider_reqs])
         times[f"batch_provider_{kind}"] = timed(lambda kind=kind: run(extract_all(data, req_df, kind, "provider")))
+    region_df = (raw(spark, sf_dir, "region").select(F.col("r_name").alias("code"), F.explode(years).alias("fyear"))
+                 .select(F.concat_ws("-", "code", F.col("fyear").cast("string")).alias("request_id"), "code", "fyear"))
+    region_reqs = [tuple(r) for r in region_df.collect()]
+    times["loop_region_op"] = timed(lambda: [
+        run(extract(Cohorts(data, Scope.region(code), y), "op")) for _, code, y in region_reqs])
+    times["batch_region_op"] = timed(lambda: run(extract_all(data, region_df, "op", "region")))
     for kind in ("ip", "op"):
         times[f"loop_national_{kind}"] = timed(lambda kind=kind: [
             run(extract(Cohorts(data, Scope.national(rate, seed), y), kind)) for _, y, rate, seed in national_reqs])
