@@ -10,6 +10,8 @@ Steps
      against ``loop_<level>_<kind>``: the same requests one at a time.
 
 ``value`` is the sum of the per-extract times (steps 2 and 3, not the one-off prepare).
+``shuffle_bytes`` gives the shuffle bytes each query wrote, from Spark's event log (written to the
+scratch folder).
 """
 
 from __future__ import annotations
@@ -23,7 +25,7 @@ from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
-from pyspark.sql import DataFrame  # noqa: E402
+from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
 from caseload import Cohorts, Dataset, Scope  # noqa: E402
@@ -44,12 +46,38 @@ def run(df: DataFrame) -> None:
     df.write.format("noop").mode("overwrite").save()
 
 
-def timed(fn) -> float:
+def timed(fn, name: str | None = None) -> float:
+    if name:
+        # jobs of this query carry its name in the event log (shuffle bytes per query)
+        SparkSession.getActiveSession().sparkContext.setJobGroup(name, name)
     t0 = time.perf_counter()
     fn()
     return round(time.perf_counter() - t0, 3)
 
 
+def shuffle_bytes(log_dir: str) -> dict[str, int]:
+    """Shuffle bytes written per job group, read from the Spark event log in ``log_dir``."""
+    stage_group: dict[int, str] = {}
+    written: dict[str, int] = {}
+    for path in Path(log_dir).rglob("*"):
+        if not path.is_file() or path.name.startswith((".", "appstatus")):
+            continue
+        with open(path) as lines:
+            for line in lines:
+                event = json.loads(line)
+                kind = event.get("Event")
+                if kind == "SparkListenerJobStart":
+                    group = (event.get("Properties") or {}).get("spark.jobGroup.id")
+                    for stage in event.get("Stage IDs", []):
+                        stage_group[stage] = group
+                elif kind == "SparkListenerTaskEnd":
+                    group = stage_group.get(event.get("Stage ID"))
+                    metrics = (event.get("Task Metrics") or {}).get("Shuffle Write Metrics") or {}
+                    if group:
+                        written[group] = written.get(group, 0) + int(metrics.get("Shuffle Bytes Written", 0))
+    return written
+
+
 def prepare(spark, sf_dir: str, work: str) -> Dataset:
     src = mapped_dataset(spark, sf_dir)
     for name in PARTITIONED:
@@ -68,9 +96,12 @@ def extract(c: Cohorts, kind: str) -> DataFrame:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    spark = spark_session(f"local[{cpus}]", cpus * 2, app_name="caseload-bench", driver_memory="16g")
     root = os.environ.get("BENCH_WORK_DIR") or tempfile.mkdtemp(prefix="caseload-bench-", dir="/tmp")
     work = tempfile.mkdtemp(prefix="layout-", dir=root)
+    events = tempfile.mkdtemp(prefix="events-", dir=root)
+    spark = spark_session(f"local[{cpus}]", cpus * 2, app_name="caseload-bench", driver_memory="16g",
+                          extra={"spark.eventLog.enabled": "true", "spark.eventLog.dir": events,
+                                 "spark.eventLog.compress": "false", "spark.eventLog.rolling.enabled": "false"})
 
     times: dict[str, float] = {}
     prep = {}
@@ -87,7 +118,7 @@ def main() -> None:
         for kind in EXTRACTS:
             year = AAE_YEAR if kind == "aae" else YEAR
             c = Cohorts(data, scope, year, factor_years=(1999, 2000))
-            times[f"{level}_{kind}"] = timed(lambda c=c, kind=kind: run(extract(c, kind)))
+            times[f"{level}_{kind}"] = timed(lambda c=c, kind=kind: run(extract(c, kind)), f"{level}_{kind}")
 
     # one plan for many requests against one plan per request; request tables derived by Spark
     # from the nation and region tables (every provider and every region for two years; one
@@ -105,30 +136,40 @@ def main() -> None:
     # (each loop runs before its batch, so the batch is not charged the JVM warm-up)
     for kind in ("ip", "op", "strategies_activity_avoidance"):
         times[f"loop_provider_{kind}"] = timed(lambda kind=kind: [
-            run(extract(Cohorts(data, Scope.provider(code), y), kind)) for _, code, y in provider_reqs])
-        times[f"batch_provider_{kind}"] = timed(lambda kind=kind: run(extract_all(data, req_df, kind, "provider")))
+            run(extract(Cohorts(data, Scope.provider(code), y), kind)) for _, code, y in provider_reqs],
+            f"loop_provider_{kind}")
+        times[f"batch_provider_{kind}"] = timed(lambda kind=kind: run(extract_all(data, req_df, kind, "provider")),
+                                                f"batch_provider_{kind}")
     region_df = (raw(spark, sf_dir, "region").select(F.col("r_name").alias("code"), F.explode(years).alias("fyear"))
                  .select(F.concat_ws("-", "code", F.col("fyear").cast("string")).alias("request_id"), "code", "fyear"))
     region_reqs = [tuple(r) for r in region_df.collect()]
     times["loop_region_op"] = timed(lambda: [
-        run(extract(Cohorts(data, Scope.region(code), y), "op")) for _, code, y in region_reqs])
-    times["batch_region_op"] = timed(lambda: run(extract_all(data, region_df, "op", "region")))
+        run(extract(Cohorts(data, Scope.region(code), y), "op")) for _, code, y in region_reqs], "loop_region_op")
+    times["batch_region_op"] = timed(lambda: run(extract_all(data, region_df, "op", "region")), "batch_region_op")
     for kind in ("ip", "op"):
         times[f"loop_national_{kind}"] = timed(lambda kind=kind: [
-            run(extract(Cohorts(data, Scope.national(rate, seed), y), kind)) for _, y, rate, seed in national_reqs])
-        times[f"batch_national_{kind}"] = timed(lambda kind=kind: run(extract_all(data, nat_df, kind, "national")))
+            run(extract(Cohorts(data, Scope.national(rate, seed), y), kind)) for _, y, rate, seed in national_reqs],
+            f"loop_national_{kind}")
+        times[f"batch_national_{kind}"] = timed(lambda kind=kind: run(extract_all(data, nat_df, kind, "national")),
+                                                f"batch_national_{kind}")
 
+    spark.stop()
+    try:
+        shuffled = shuffle_bytes(events)
+        shuffled = {k: shuffled.get(k, 0) for k in times}
+    except (OSError, ValueError):
+        shuffled = {}
     single = {k: v for k, v in times.items() if not k.startswith("loop_")}
     print(json.dumps({
         "metric": "extracts_total_sec",
         "value": round(sum(single.values()), 3),
         "unit": "sec",
         "queries": times,
+        "shuffle_bytes": shuffled,
         "prepare_sec": times_prepare,
         "sf": os.path.basename(sf_dir.rstrip("/")).replace("sf", ""),
         "cpus": cpus,
     }))
-    spark.stop()
 
 
 if __name__ == "__main__":
