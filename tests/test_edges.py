@@ -219,3 +219,25 @@ def test_dataset_sources_and_factory(spark, tmp_path):
         cohort_factory(Dataset(spark, None, {}), "provider")(2000, "P").hsa_gams()
     with pytest.raises(KeyError):
         Dataset(spark, None, {}).table("ip")
+
+
+def test_catchment_join_beyond_the_broadcast_bound(spark):
+    """Forcing the shuffle path (no broadcast after the bounded count) gives the same factors."""
+    from caseload.operators.measure import apportion
+
+    data = _projections(spark)
+    births = data.table("births").where("projection_year = 2022")
+    catchments = data.table("icb_catchments")
+    hinted, weighted = apportion(births, catchments, max_catchment_rows=10)
+    shuffled, _ = apportion(births, catchments, max_catchment_rows=0)
+    assert "BroadcastHashJoin" in hinted._jdf.queryExecution().executedPlan().toString()
+    assert rows(hinted.select("area_code", "icb", weighted.alias("w"))) == rows(shuffled.select("area_code", "icb", weighted.alias("w")))
+
+
+def test_pivot_value_discovery_is_bounded(spark):
+    from caseload.operators.shape import discover_values
+
+    df = spark.range(50).withColumnRenamed("id", "year")
+    assert discover_values(df, "year", limit=50) == list(range(50))
+    with pytest.raises(ValueError):
+        discover_values(df, "year", limit=10)
