@@ -167,3 +167,25 @@ def test_write_extracts_rebalances_by_run(spark):
                                      "'s' AS scenario", "'t' AS create_datetime", "id")
     plan = rebalanced(df, RUN_PARTITIONS)._jdf.queryExecution().optimizedPlan().toString()
     assert "RebalancePartitions" in plan
+
+
+def test_failed_batch_stays_queued_and_is_served_on_restart(spark, tmp_path):
+    import pytest
+    from pyspark.errors import StreamingQueryException
+
+    queue, ckpt = tmp_path / "queue", tmp_path / "ckpt"
+    queue.mkdir()
+    _write(queue, "a.json", {"dataset": "NATION_3", "start_year": 2000})
+    seen, attempts = [], []
+
+    def flaky(batch, _batch_id):
+        attempts.append(1)
+        if len(attempts) == 1:
+            raise RuntimeError("lost the job mid-batch")
+        seen.extend(r["params_path"] for r in batch.select("params_path").collect())
+
+    with pytest.raises(StreamingQueryException):
+        drain_queue(spark, str(queue), str(ckpt), flaky, clean_source="delete")
+    assert seen == [] and (queue / "a.json").exists()  # not committed: still queued
+    drain_queue(spark, str(queue), str(ckpt), flaky, clean_source="delete")
+    assert len(seen) == 1 and seen[0].endswith("a.json")
