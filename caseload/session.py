@@ -48,13 +48,16 @@ def spark_session(
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
+def ensure_checkpoint_dir(spark: SparkSession) -> str | None:
     """Return the session's checkpoint folder, creating a scratch one only when none is configured.
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as is; the scratch
     fallback is for local tests only.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect has no SparkContext: the server's configuration decides
+        return spark.conf.get("spark.checkpoint.dir", None)
     current = sc.getCheckpointDir()
     if current:
         return current
