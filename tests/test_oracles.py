@@ -44,6 +44,9 @@ def test_query_matches_oracle(spark, duck, name):
     want = _sorted(res.fetchall(), cols)
     assert sorted(df.columns) == sorted(cols)
     assert got == want
+    duck_types = {c[0]: c[1] for c in duck.execute(f"DESCRIBE {entry.oracle_sql()[name]}").fetchall()}
+    spark_to_duck = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE"}
+    assert {c: spark_to_duck.get(t, t) for c, t in df.dtypes} == duck_types
 
 
 def test_every_query_has_an_oracle_but_the_bernoulli_sample():
