@@ -29,3 +29,14 @@ def semi_join(df: DataFrame, cohort: DataFrame, keys: Sequence[str] = ("rn",)) -
     read, so Catalyst prunes its scan to them."""
     keys = list(keys)
     return df.join(cohort.select(*keys), keys, "left_semi")
+
+
+def duplicate_keys(df: DataFrame, keys: Sequence[str] = ("rn",)) -> DataFrame:
+    """Key values that occur on more than one row, with their row count (a distributed check: one
+    partial/final aggregation; only the duplicates leave the executors)."""
+    keys = list(keys)
+    present = F.lit(True)
+    for k in keys:  # a NULL in any key never joins, so such rows are not duplicates of anything
+        present = present & F.col(k).isNotNull()
+    return (df.where(present)
+            .groupBy(*keys).agg(F.count(F.lit(1)).alias("rows")).where(F.col("rows") > 1))

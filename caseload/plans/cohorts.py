@@ -24,7 +24,7 @@ from caseload.functions.scope import (
     in_scope,
     relabel,
 )
-from caseload.operators.joins import semi_join
+from caseload.operators.joins import duplicate_keys, semi_join
 from caseload.operators.measure import apportioned_factors, mean_by, roll_up, sum_factors
 from caseload.operators.shape import keys_except, year_columns
 from caseload.sources import dataset as names
@@ -169,6 +169,13 @@ class Cohorts:
     def inequalities(self) -> DataFrame:
         return in_scope(self.data.table(names.INEQUALITIES), self.scope, self.year)
 
+    # ---- key check ------------------------------------------------------------------------------------
+    def duplicate_episode_keys(self) -> DataFrame:
+        """Episode keys of the year that occur more than once across all providers (opt-in check:
+        region and national strategies join on the key alone, which assumes it is unique)."""
+        episodes = in_scope(self.data.table(names.IP), self.scope, self.year, by_code=False)
+        return duplicate_keys(episodes, self.keys)
+
     # ---- health-status models ---------------------------------------------------------------------
     def hsa_gams(self):
         """Health-status adjustment models are not loaded from these tables (the source system does

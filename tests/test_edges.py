@@ -241,3 +241,11 @@ def test_pivot_value_discovery_is_bounded(spark):
     assert discover_values(df, "year", limit=50) == list(range(50))
     with pytest.raises(ValueError):
         discover_values(df, "year", limit=10)
+
+
+def test_duplicate_episode_keys(spark):
+    ip = spark.createDataFrame([(1, 2000, "P", "S", "R"), (1, 2000, "Q", "S", "R"), (2, 2000, "P", "S", "R"),
+                                (None, 2000, "P", "S", "R"), (None, 2000, "Q", "S", "R"), (1, 1999, "P", "S", "R")],
+                               "rn long, fyear int, dataset string, sitetret string, icb string")
+    got = Cohorts(Dataset(spark, tables={"ip": ip}), Scope.region("R"), 2000).duplicate_episode_keys().collect()
+    assert [(r["rn"], r["rows"]) for r in got] == [(1, 2)]
