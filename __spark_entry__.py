@@ -178,6 +178,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     # The source system's own sampler (Spark's Bernoulli ``sample``): its rows depend on the
     # partitioning, so it has no SQL oracle (rows-only check); the hash sample above is checked.
     q["national_ip_bernoulli"] = _bernoulli_ip
+    q["duplicate_episode_keys"] = _extract("national", "duplicate_episode_keys")
     q["stable_row_id"] = _stable_row_id
     q["batch_provider_ip"] = _batch("ip")
     q["wide_to_long"] = _wide_to_long
@@ -277,6 +278,7 @@ FROM aae WHERE fyear=2024 GROUP BY aedepttype, acuity""",
     "batch_provider_ip": "SELECT q.request_id, ip.* FROM ip JOIN (SELECT concat(n_name,'-',CAST(y AS VARCHAR)) AS request_id, n_name, y FROM nation CROSS JOIN (SELECT 1999 AS y UNION ALL SELECT 2000) yy) q ON ip.dataset=q.n_name AND ip.fyear=q.y",
     "wide_to_long": 'SELECT variant, age, sex, \'2019\' AS "year", CAST("2019" AS DOUBLE) AS "value" FROM demographic_factors UNION ALL SELECT variant, age, sex, \'2020\', CAST("2020" AS DOUBLE) FROM demographic_factors UNION ALL SELECT variant, age, sex, \'2021\', CAST("2021" AS DOUBLE) FROM demographic_factors',
 }
+QUERIES["duplicate_episode_keys"] = "SELECT rn, count(*) AS \"rows\" FROM ip WHERE fyear=2000 AND rn IS NOT NULL GROUP BY rn HAVING count(*) > 1"
 # Years present in the order dates of every test scale (1995-2001): the discovered pivot columns.
 _ALL_YEARS = range(1995, 2002)
 _ALL_SUMS = ", ".join(f'CAST(sum(CASE WHEN "year"={y} THEN "value"*pcnt END) AS DOUBLE) AS "{y}"' for y in _ALL_YEARS)
