@@ -146,7 +146,8 @@ def dense_id(
     (``within``, keys), sorted inside each partition and checkpointed (range bounds are sampled, so
     the layout is fixed once before it is counted). Each row's position is its offset inside its
     partition plus the number of rows of the same ``within`` group in earlier partitions. The
-    offsets table has at most (partitions + groups) rows and is joined by broadcast. No task ever
+    offsets table has one row per partition (broadcast) or, with ``within``, one per partition and
+    group (broadcast after a bounded count, else a shuffle join). No task ever
     holds more than one range partition, even when one group has most of the rows.
 
     ``method="window"`` is ``row_number()`` over one window; without ``within`` that runs in a
