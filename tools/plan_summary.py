@@ -26,7 +26,7 @@ def summary(df) -> str:
     plan = df._jdf.queryExecution().executedPlan().toString()
     exchanges = re.findall(r"(Exchange \w+|BroadcastExchange|ShuffleExchange)", plan)
     joins = re.findall(r"(BroadcastHashJoin|SortMergeJoin|ShuffledHashJoin|BroadcastNestedLoopJoin|CartesianProduct)[^\n]*?(LeftSemi|Inner|LeftOuter|LeftAnti)?", plan)
-    scans = re.findall(r"FileScan parquet [^\n]*?Location: \S+ \S*?/([\w]+)\][^\n]*?PartitionFilters: (\[[^\]]*\])[^\n]*?PushedFilters: (\[[^\]]*\])", plan)
+    scans = re.findall(r"FileScan parquet [^\n]*?Location: \S+ \S*?/([\w]+)\][^\n]*?PartitionFilters: (.*?), PushedFilters: (\[[^\]]*\])", plan)
     python = [w for w in ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas") if w in plan]
     lines = [f"  shuffles: {sum(1 for e in exchanges if e != 'BroadcastExchange')}, broadcasts: {exchanges.count('BroadcastExchange')}",
              f"  joins: {[' '.join(j).strip() for j in joins]}"]
