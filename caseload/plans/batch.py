@@ -54,9 +54,16 @@ DEFAULT_SALT_BUCKETS = 32
 _LEVEL_SCOPE = {PROVIDER: Scope.provider("-"), REGION: Scope.region("-"), NATION: Scope.national()}
 
 
-class _Batch:
-    def __init__(self, data: Dataset, requests: DataFrame, level: str, keys: Sequence[str],
-                 projection_year: int, factor_years, id_method: str, max_requests: int, salt_buckets: int):
+class RequestBatch:
+    """The extracts of every request in a request table, one plan per extract kind.
+
+    Built once per request table (one bounded probe of it), then :meth:`extract` per kind.
+    """
+
+    def __init__(self, data: Dataset, requests: DataFrame, level: str, *, keys: Sequence[str] = ("rn",),
+                 projection_year: int = DEFAULT_PROJECTION_YEAR, factor_years: Sequence | None = None,
+                 id_method: str = "auto", max_requests: int = DEFAULT_BROADCAST_ROWS,
+                 salt_buckets: int = DEFAULT_SALT_BUCKETS):
         if level not in (PROVIDER, REGION, NATION):
             raise ValueError(f"unknown level {level!r}")
         self.data = data
@@ -136,14 +143,22 @@ class _Batch:
             df = df.filter(keep).drop(*NATIONAL_REQUEST_COLUMNS)
         return self._relabel(df)
 
-    def strategies(self, kind: str) -> DataFrame:
+    def strategies(self, kind: str, cohort: DataFrame | None = None) -> DataFrame:
         # Cohort membership as distinct (request, key) pairs, then an equi-join: the same rows as a
         # semi join per request, without fanning every strategy out to every request of its year.
-        match = ["fyear", *self.keys] + (["dataset"] if self.level == PROVIDER else [])
-        # Partitioned on the join keys, so the de-duplication and the join share one shuffle.
-        cohort = self.ip().select("request_id", *match).repartition(*match).dropDuplicates()
+        keys = cohort if cohort is not None else self.cohort_keys()
         table = self._in_years(self.data.table(names.STRATEGY_TABLES[kind]))
-        return table.join(cohort, match)
+        return table.join(keys, self._match())
+
+    def _match(self) -> list[str]:
+        return ["fyear", *self.keys] + (["dataset"] if self.level == PROVIDER else [])
+
+    def cohort_keys(self) -> DataFrame:
+        """Distinct (request, episode key) pairs of the cohorts, hash-partitioned on the join keys
+        so the de-duplication and the strategy join share one shuffle. Persist it to serve both
+        strategy tables from one scan of the episodes."""
+        match = self._match()
+        return self.ip().select("request_id", *match).repartition(*match).dropDuplicates()
 
     def activity(self, table_name: str, measures: Sequence[str], national_collapse: dict | None) -> DataFrame:
         source = self.data.table(table_name)
@@ -194,6 +209,26 @@ class _Batch:
         df = self._scoped(self.data.table(names.INEQUALITIES))
         return df.drop(*NATIONAL_REQUEST_COLUMNS) if self.level == NATION else df
 
+    def extract(self, kind: str, cohort: DataFrame | None = None) -> DataFrame:
+        """Extract ``kind`` (one of :data:`KINDS`); ``cohort`` reuses :meth:`cohort_keys`."""
+        if kind == "ip":
+            return self.ip()
+        if kind.startswith("strategies_"):
+            return self.strategies(kind[len("strategies_"):], cohort)
+        if kind == "op":
+            return self.activity(names.OP, OP_MEASURES, NATIONAL_OP_COLLAPSE)
+        if kind == "aae":
+            return self.activity(names.AAE, AAE_MEASURES, None)
+        if kind == "birth_factors":
+            return self.factors(names.BIRTH_FACTORS, names.BIRTHS, BIRTHS_SEX)
+        if kind == "demographic_factors":
+            return self.factors(names.DEMOGRAPHIC_FACTORS, names.DEMOGRAPHICS, None)
+        if kind == "hsa_activity":
+            return self.hsa_activity()
+        if kind == "inequalities":
+            return self.inequalities()
+        raise ValueError(f"unknown extract kind {kind!r}")
+
 
 def extract_all(
     data: Dataset,
@@ -213,21 +248,7 @@ def extract_all(
     ``max_requests`` bounds the request table that is broadcast; above it the joins are salted
     shuffle joins with ``salt_buckets`` salts.
     """
-    b = _Batch(data, requests, level, keys, projection_year, factor_years, id_method, max_requests, salt_buckets)
-    if kind == "ip":
-        return b.ip()
-    if kind.startswith("strategies_"):
-        return b.strategies(kind[len("strategies_"):])
-    if kind == "op":
-        return b.activity(names.OP, OP_MEASURES, NATIONAL_OP_COLLAPSE)
-    if kind == "aae":
-        return b.activity(names.AAE, AAE_MEASURES, None)
-    if kind == "birth_factors":
-        return b.factors(names.BIRTH_FACTORS, names.BIRTHS, BIRTHS_SEX)
-    if kind == "demographic_factors":
-        return b.factors(names.DEMOGRAPHIC_FACTORS, names.DEMOGRAPHICS, None)
-    if kind == "hsa_activity":
-        return b.hsa_activity()
-    if kind == "inequalities":
-        return b.inequalities()
-    raise ValueError(f"unknown extract kind {kind!r}")
+    batch = RequestBatch(data, requests, level, keys=keys, projection_year=projection_year,
+                         factor_years=factor_years, id_method=id_method, max_requests=max_requests,
+                         salt_buckets=salt_buckets)
+    return batch.extract(kind)

@@ -9,12 +9,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from caseload.operators.joins import small_side
-from caseload.plans.batch import extract_all
+from caseload.plans.batch import RequestBatch
 from caseload.sources.dataset import Dataset, cached
 from caseload.sources.sinks import RUN_PARTITIONS, write_extracts, write_json
 from caseload.streaming.intake import DEFAULT_YEAR_FIELD, drain_queue, quarantined, request_table
@@ -39,9 +40,18 @@ def run_requests(
     kinds = list(kinds) if kinds else [*AGGREGATE_KINDS, *(ROW_KINDS if full else ())]
     runs = small_side(requests.select(
         "request_id", "app_version", F.col("code").alias("run_dataset"), "scenario", "create_datetime"))
-    for kind in kinds:
-        extract = extract_all(data, requests, kind, level, **extract_options)
-        write_extracts(extract.join(runs, "request_id"), f"{out_path}/{kind}")
+    batch = RequestBatch(data, requests, level, **extract_options)
+    # Both strategy tables join the same cohort keys: compute them from one scan of the episodes.
+    shared = batch.cohort_keys() if sum(k.startswith("strategies_") for k in kinds) > 1 else None
+    if shared is not None:
+        shared.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        for kind in kinds:
+            extract = batch.extract(kind, shared if kind.startswith("strategies_") else None)
+            write_extracts(extract.join(runs, "request_id"), f"{out_path}/{kind}")
+    finally:
+        if shared is not None:
+            shared.unpersist()
     write_json(requests.select("request_id", "params_path", "fyear", "seed", "sample_rate", "metadata",
                                *[F.col(c).alias(c) for c in RUN_PARTITIONS if c != "run_dataset"],
                                F.col("code").alias("run_dataset")),

@@ -189,3 +189,22 @@ def test_failed_batch_stays_queued_and_is_served_on_restart(spark, tmp_path):
     assert seen == [] and (queue / "a.json").exists()  # not committed: still queued
     drain_queue(spark, str(queue), str(ckpt), flaky, clean_source="delete")
     assert len(seen) == 1 and seen[0].endswith("a.json")
+
+
+def test_full_run_shares_the_cohort_between_strategy_tables(spark, tmp_path):
+    from caseload.plans.batch import extract_all
+    from caseload.plans.job import run_requests
+
+    reqs = spark.createDataFrame(
+        [("a", "NATION_3", 2000, "v1", "s", "t1", 1, 0.5, None, "p")],
+        "request_id string, code string, fyear int, app_version string, scenario string, "
+        "create_datetime string, seed long, sample_rate double, metadata map<string,string>, params_path string")
+    data = mapped_dataset(spark, SF_SMALL)
+    kinds = run_requests(data, reqs, "provider", str(tmp_path / "out"), full=True)
+    assert {"ip", "strategies_activity_avoidance", "strategies_efficiencies"} <= set(kinds)
+    for kind in ("strategies_activity_avoidance", "strategies_efficiencies"):
+        written = spark.read.parquet(str(tmp_path / "out" / kind)).drop(
+            "app_version", "run_dataset", "scenario", "create_datetime")
+        direct = extract_all(data, reqs.select("request_id", "code", "fyear"), kind, "provider")
+        assert written.count() == direct.count() > 0
+        assert sorted(written.columns) == sorted(direct.columns)
