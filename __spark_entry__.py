@@ -30,6 +30,14 @@ from caseload.session import ensure_checkpoint_dir  # noqa: E402
 from caseload.sources import dataset as names  # noqa: E402
 from caseload.sources.testdata import FACTOR_YEARS, raw, mapped_dataset  # noqa: E402
 
+try:
+    from caseload.llm import queries as llm_queries
+except ModuleNotFoundError as error:
+    # The training-data operators are optional: only their own absence is passed over.
+    if error.name not in ("caseload.llm", "corpus_pipeline"):
+        raise
+    llm_queries = None
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 
 # Fixed test parameters.
@@ -186,6 +194,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         for kind in BATCH_KINDS:
             name = f"batch_{level}_requests_{kind}"
             q[name] = _batch_level(kind, level)
+    if llm_queries:
+        q |= llm_queries.queries()
     return q
 
 
@@ -401,4 +411,6 @@ def oracle_sql() -> dict[str, str]:
             out[name] = _with_views(sql, extra={"q": _REQ_SQL[level]})
         else:
             out[name] = _with_views(sql)
+    if llm_queries:
+        out |= llm_queries.oracle_sql()
     return out
