@@ -11,11 +11,15 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from caseload.llm.decontaminate import contamination
 from caseload.llm.exact_dedup import exact_duplicates
+from caseload.llm.html_text import extract_text
 from caseload.llm.language_id import held_out_fold, identify_languages
+from caseload.llm.line_dedup import line_report
+from caseload.llm.lm_score import score_documents
 from caseload.llm.packing import pack_documents
 from caseload.llm.simhash import near_duplicates
 from caseload.llm.storage import shared_folder
 from caseload.llm.token_counts import count_tokens
+from caseload.llm.token_files import token_file_digests, write_token_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -38,6 +42,10 @@ def language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out_fold().alias("held_out"), "lang_pred", "score")
 
 
+def lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_documents(_table(spark, sf_dir, "documents"))
+
+
 def decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", "n_items", F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
@@ -48,20 +56,38 @@ def exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(_table(spark, sf_dir, "documents"), keep="largest")
 
 
+def token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = shared_folder(spark, "token-files")
+    write_token_files(_table(spark, sf_dir, "documents"), folder, public_tokenizers.path("byte_bpe_50k.json"))
+    return token_file_digests(spark, folder)
+
+
+def line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_report(_table(spark, sf_dir, "documents"))
+
+
 def token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = count_tokens(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
                           cache=shared_folder(spark, "token-counts"))
     return counts.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 512).alias("over_limit"))
 
 
+def html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_text(_table(spark, sf_dir, "pages"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_simhash": simhash,
         "op2_packing": packing,
         "op3_language_id": language_id,
+        "op4_lm_score": lm_score,
         "op5_decontamination": decontamination,
         "op6_exact_dedup": exact_dedup,
+        "op7_token_files": token_files,
+        "op8_line_dedup": line_dedup,
         "op9_token_counts": token_counts,
+        "op10_html_text": html_text,
         "pipeline": corpus_pipeline.run,
     }
 
