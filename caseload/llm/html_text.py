@@ -23,6 +23,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from caseload.llm.tokens import slices
+
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
     r"|<(script|style|title|textarea|noscript|template|iframe|svg|math|object|select|canvas)\b[^>]*+(?:/>|>.*?(?:</\1\s*+>|\Z))"
@@ -150,6 +152,8 @@ _PLAIN_FOOT = [(0, 7, 3, 0, 0, 0, 0), (0, 6, 0, 0, 0, 0, 0)]
 _ARTICLE = [(1, 9, 0, 0, 1, 1, 0), (1, 80, 0, 0, 1, 0, 0), (1, 4, 0, 0, 1, 0, 0), (1, 35, 2, 0, 1, 0, 0), (1, 1, 0, 0, 1, 0, 0),
             (1, 120, 0, 0, 1, 0, 0), (1, 6, 0, 0, 1, 0, 1), (1, 14, 0, 0, 1, 0, 1), (1, 3, 0, 0, 1, 1, 0), (1, 22, 1, 0, 1, 0, 0)]
 _SHORT_ARTICLE = [(1, 3, 0, 0, 1, 1, 0), (1, 2, 0, 0, 1, 0, 0), (1, 1, 0, 0, 1, 0, 0)]
+_LINKED_ARTICLE = [(1, 6, 0, 0, 1, 1, 0), (1, 4, 1, 0, 1, 0, 0), (1, 12, 7, 0, 1, 0, 0), (1, 3, 3, 0, 1, 0, 0), (1, 25, 9, 0, 1, 0, 0),
+                   (1, 5, 4, 0, 1, 0, 1), (1, 9, 5, 0, 1, 0, 1), (1, 2, 2, 0, 1, 0, 1), (1, 7, 7, 0, 1, 0, 1), (1, 14, 14, 0, 1, 0, 0)]
 _IN_ARTICLE = [(0, 5, 5, 1, 1, 0, 0), (0, 9, 0, 1, 1, 0, 0), (0, 40, 0, 1, 1, 0, 0), (0, 3, 3, 1, 1, 0, 1)]
 _COMMENTS = [(0, 2, 0, 1, 0, 1, 0), (0, 30, 0, 1, 0, 0, 0), (0, 55, 1, 1, 0, 0, 0), (0, 4, 0, 1, 0, 0, 1)]
 _BODY = [(1, 8, 0, 0, 0, 1, 0), (1, 60, 0, 0, 0, 0, 0), (1, 45, 2, 0, 0, 0, 0), (1, 18, 0, 0, 0, 0, 0), (1, 90, 1, 0, 0, 0, 0),
@@ -167,6 +171,14 @@ LABELLED = [
     _NAV + _BODY + _FOOT,
     _BODY,
     _AD + _COMMENTS + _FOOT,
+    _NAV + _ARTICLE[:3],
+    _ARTICLE[:1],
+    _ARTICLE[2:3],
+    _NAV + _ARTICLE[4:5],
+    _SHORT_ARTICLE,
+    _PLAIN_NAV + _ARTICLE[:2] + _SHORT_ARTICLE[1:],
+    _NAV + _LINKED_ARTICLE + _FOOT,
+    _LINKED_ARTICLE[::-1],
 ]
 
 
@@ -228,7 +240,7 @@ def classify(tree: Node, rows: np.ndarray) -> np.ndarray:
 
 def _extractor(tree: Node):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, column="html")):
             pages = [blocks(p) for p in batch.column("html").to_pylist()]
             sizes = np.cumsum([0, *map(len, pages)])
             keep = classify(tree, np.vstack([features(p) for p in pages])) if pages else np.zeros(0, bool)

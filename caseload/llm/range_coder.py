@@ -91,7 +91,7 @@ class _Coder:
             if self.source is None:
                 self.out[spot] = lo >> _U24
             else:
-                self.code[lane] = (self.code[lane] << _U8) | self.source[spot]
+                self.code[lane] = (self.code[lane] << _U8) | self.source.take(spot, mode="clip")
             self.at[lane] = spot + 1
             lo, wide = lo << _U8, wide << _U8
             low[open_], width[open_] = lo, wide
