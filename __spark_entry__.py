@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import re
 import sys
+import uuid
 from collections.abc import Callable
 from pathlib import Path
 
@@ -23,12 +24,15 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 from caseload.functions.rows import stable_id  # noqa: E402
 from caseload.functions.scope import Scope  # noqa: E402
+from caseload.operators.joins import duplicate_keys  # noqa: E402
 from caseload.operators.shape import wide_to_long  # noqa: E402
 from caseload.plans.batch import extract_all  # noqa: E402
 from caseload.plans.cohorts import Cohorts  # noqa: E402
 from caseload.session import ensure_checkpoint_dir  # noqa: E402
 from caseload.sources import dataset as names  # noqa: E402
+from caseload.sources.dataset import Dataset  # noqa: E402
 from caseload.sources.testdata import FACTOR_YEARS, raw, mapped_dataset  # noqa: E402
+from caseload.streaming.intake import request_table  # noqa: E402
 
 try:
     from caseload.llm import queries as llm_queries
@@ -46,7 +50,7 @@ YEAR = 2000
 AAE_YEAR = 2024
 SEED = 42
 RATE = 0.25
-REGION_FACTOR_YEARS = (1999, 2000)
+GIVEN_FACTOR_YEARS = (1999, 2000)
 BATCH_YEARS = (1999, 2000)
 REQUEST_YEARS = (1999, 2000, 2024)
 BATCH_KINDS = ("ip", "strategies_activity_avoidance", "strategies_efficiencies", "op", "aae", "birth_factors",
@@ -71,8 +75,7 @@ def _scope(spark: SparkSession, sf_dir: str, level: str) -> Scope:
 
 def _cohorts(spark: SparkSession, sf_dir: str, level: str, year: int = YEAR) -> Cohorts:
     ensure_checkpoint_dir(spark)
-    return Cohorts(mapped_dataset(spark, sf_dir), _scope(spark, sf_dir, level), year,
-                   factor_years=REGION_FACTOR_YEARS)
+    return Cohorts(mapped_dataset(spark, sf_dir), _scope(spark, sf_dir, level), year)
 
 
 def _as_double(df: DataFrame, columns) -> DataFrame:
@@ -90,23 +93,49 @@ def _extract(level: str, method: str, year: int = YEAR, **kw) -> Callable[[Spark
 def _factors(level: str, method: str) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         df = getattr(_cohorts(spark, sf_dir, level), method)()
-        years = [str(y) for y in REGION_FACTOR_YEARS] if level == "region" else list(FACTOR_YEARS)
-        return _as_double(df, years)
+        return _as_double(df, [c for c in df.columns if c.isdigit()])
     return run
 
 
-def _bernoulli_ip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return Cohorts(mapped_dataset(spark, sf_dir), Scope.national(RATE, SEED), YEAR, sample_method="bernoulli").ip()
+def _factors_two_years(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Region factors with the pivot years given by the caller: exactly these columns."""
+    ensure_checkpoint_dir(spark)
+    cohort = Cohorts(mapped_dataset(spark, sf_dir), _scope(spark, sf_dir, "region"), YEAR, factor_years=GIVEN_FACTOR_YEARS)
+    return _as_double(cohort.birth_factors(), [str(y) for y in GIVEN_FACTOR_YEARS])
 
 
-def _factors_all_years(method: str) -> Callable[[SparkSession, str], DataFrame]:
-    """Region factors with the pivot years found from the data (the source system's default)."""
-    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        ensure_checkpoint_dir(spark)
-        cohort = Cohorts(mapped_dataset(spark, sf_dir), _scope(spark, sf_dir, "region"), YEAR)
-        df = getattr(cohort, method)()
-        return _as_double(df, [c for c in df.columns if c.isdigit()])
-    return run
+def _by_path(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A provider's episodes from a parquet folder under a base path."""
+    base = f"{ensure_checkpoint_dir(spark)}/tables-{uuid.uuid4().hex}"
+    mapped_dataset(spark, sf_dir).table(names.IP).write.partitionBy("fyear").parquet(f"{base}/{names.IP}")
+    return Cohorts(Dataset(spark, base), Scope.provider(PROVIDER_CODE), YEAR).ip()
+
+
+def _by_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A region's inequalities from a table that the session's catalog names."""
+    mapped_dataset(spark, sf_dir).table(names.INEQUALITIES).createOrReplaceTempView("caseload_inequalities")
+    data = Dataset(spark, tables={names.INEQUALITIES: "caseload_inequalities"})
+    return Cohorts(data, _scope(spark, sf_dir, "region"), YEAR).inequalities()
+
+
+def _request_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Params files made of the nation table, read as typed requests with their scalar metadata, a row per entry."""
+    nation = raw(spark, sf_dir, "nation")
+    text = F.to_json(F.struct(
+        F.lit("v1").alias("app_version"), F.col("n_name").alias("dataset"), F.lit("base").alias("scenario"),
+        F.col("n_nationkey").alias("seed"), F.lit(YEAR).alias("start_year"), (F.col("n_regionkey") > 2).alias("late"),
+        F.struct(F.col("n_regionkey").alias("x")).alias("nested"), F.array("n_regionkey").alias("list")))
+    files = nation.select(
+        F.col("n_name").alias("params_path"), F.col("n_name").alias("request_id"), text.alias("params_text"),
+        F.make_timestamp(F.lit(2024), (F.col("n_regionkey") + 1).cast("int"), (F.col("n_nationkey") + 1).cast("int"), F.lit(9),
+                         F.col("n_nationkey").cast("int"), F.lit(7)).alias("params_modified"))
+    requests = request_table(files.withColumn("params", F.try_parse_json("params_text")), level="region")
+    return requests.select("request_id", "code", "fyear", "seed", "create_datetime", F.explode("metadata").alias("key", "value"))
+
+
+def _duplicate_strategy_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table = mapped_dataset(spark, sf_dir).table(names.STRATEGY_TABLES["activity_avoidance"])
+    return duplicate_keys(table, ["rn", "strategy"])
 
 
 def _stable_row_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -161,10 +190,9 @@ def _level_requests(spark: SparkSession, sf_dir: str, level: str) -> DataFrame:
 def _batch_level(kind: str, level: str) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         ensure_checkpoint_dir(spark)
-        df = extract_all(mapped_dataset(spark, sf_dir), _level_requests(spark, sf_dir, level), kind, level,
-                         factor_years=REGION_FACTOR_YEARS)
+        df = extract_all(mapped_dataset(spark, sf_dir), _level_requests(spark, sf_dir, level), kind, level)
         if kind.endswith("factors"):
-            df = _as_double(df, [str(y) for y in REGION_FACTOR_YEARS] if level == "region" else FACTOR_YEARS)
+            df = _as_double(df, [c for c in df.columns if c.isdigit()])
         return df
     return run
 
@@ -181,11 +209,13 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         q[f"{level}_demographic_factors"] = _factors(level, "demographic_factors")
         q[f"{level}_hsa_activity"] = _extract(level, "hsa_activity")
         q[f"{level}_inequalities"] = _extract(level, "inequalities")
-    q["region_birth_factors_all_years"] = _factors_all_years("birth_factors")
-    q["region_demographic_factors_all_years"] = _factors_all_years("demographic_factors")
-    # The source system's own sampler (Spark's Bernoulli ``sample``): its rows depend on the
-    # partitioning, so it has no SQL oracle (rows-only check); the hash sample above is checked.
-    q["national_ip_bernoulli"] = _bernoulli_ip
+    q["region_birth_factors_all_years"] = _factors("region", "birth_factors")
+    q["region_demographic_factors_all_years"] = _factors("region", "demographic_factors")
+    q["region_birth_factors_given_years"] = _factors_two_years
+    q["source_by_path_provider_ip"] = _by_path
+    q["source_by_catalog_region_inequalities"] = _by_catalog
+    q["request_metadata"] = _request_metadata
+    q["duplicate_strategy_keys"] = _duplicate_strategy_keys
     q["duplicate_episode_keys"] = _extract("national", "duplicate_episode_keys")
     q["stable_row_id"] = _stable_row_id
     q["batch_provider_ip"] = _batch("ip")
@@ -292,8 +322,16 @@ QUERIES["duplicate_episode_keys"] = "SELECT rn, count(*) AS \"rows\" FROM ip WHE
 # Years present in the order dates of every test scale (1995-2001): the discovered pivot columns.
 _ALL_YEARS = range(1995, 2002)
 _ALL_SUMS = ", ".join(f'CAST(sum(CASE WHEN "year"={y} THEN "value"*pcnt END) AS DOUBLE) AS "{y}"' for y in _ALL_YEARS)
-QUERIES["region_birth_factors_all_years"] = f"SELECT age, 2 AS sex, projection AS variant, {_ALL_SUMS} FROM births JOIN icb_catchments USING (area_code) WHERE projection_year=2022 AND icb={_REGION} GROUP BY age, projection"
-QUERIES["region_demographic_factors_all_years"] = f"SELECT age, sex, projection AS variant, {_ALL_SUMS} FROM demographics JOIN icb_catchments USING (area_code) WHERE projection_year=2022 AND icb={_REGION} GROUP BY age, sex, projection"
+QUERIES["region_birth_factors_given_years"] = QUERIES["region_birth_factors"]
+QUERIES["region_birth_factors"] = QUERIES["region_birth_factors_all_years"] = f"SELECT age, 2 AS sex, projection AS variant, {_ALL_SUMS} FROM births JOIN icb_catchments USING (area_code) WHERE projection_year=2022 AND icb={_REGION} GROUP BY age, projection"
+QUERIES["region_demographic_factors"] = QUERIES["region_demographic_factors_all_years"] = f"SELECT age, sex, projection AS variant, {_ALL_SUMS} FROM demographics JOIN icb_catchments USING (area_code) WHERE projection_year=2022 AND icb={_REGION} GROUP BY age, sex, projection"
+QUERIES["source_by_path_provider_ip"] = QUERIES["provider_ip"]
+QUERIES["source_by_catalog_region_inequalities"] = QUERIES["region_inequalities"]
+QUERIES["duplicate_strategy_keys"] = "SELECT rn, strategy, count(*) AS \"rows\" FROM ip_activity_avoidance_strategies GROUP BY rn, strategy HAVING count(*) > 1"
+QUERIES["request_metadata"] = f"""WITH r AS (SELECT *, strftime(make_timestamp(2024, n_regionkey+1, n_nationkey+1, 9, n_nationkey, 7), '%Y%m%d_%H%M%S') AS stamp FROM nation)
+SELECT n_name AS request_id, n_name AS code, CAST({YEAR} AS INT) AS fyear, CAST(n_nationkey AS BIGINT) AS seed, stamp AS create_datetime, key, value
+FROM r, LATERAL (VALUES ('app_version','v1'),('dataset',n_name),('scenario','base'),('seed',CAST(n_nationkey AS VARCHAR)),('start_year','{YEAR}'),
+ ('late',CASE WHEN n_regionkey>2 THEN 'true' ELSE 'false' END),('create_datetime',stamp)) AS e(key, value)"""
 for _level, (_where, _cohort) in _COHORT.items():
     for _kind, _table in _TABLES.items():
         QUERIES[f"{_level}_strategies_{_kind}"] = _STRATEGY.format(table=_table, where=_where, cohort=_cohort)
@@ -312,7 +350,7 @@ _ON = {"provider": "{t}.dataset=q.code AND {t}.fyear=q.fyear", "region": "{t}.ic
        "national": "{t}.fyear=q.fyear"}
 _FACTOR_COLS = ", ".join(f'CAST("{y}" AS DOUBLE) AS "{y}"' for y in FACTOR_YEARS)
 _FACTOR_SUMS = ", ".join(f'CAST(sum("{y}") AS DOUBLE) AS "{y}"' for y in FACTOR_YEARS)
-_PIVOT_SUMS = ", ".join(f'CAST(sum(CASE WHEN "year"={y} THEN "value"*pcnt END) AS DOUBLE) AS "{y}"' for y in REGION_FACTOR_YEARS)
+_PIVOT_SUMS = ", ".join(f'CAST(sum(CASE WHEN "year"={y} THEN "value"*pcnt END) AS DOUBLE) AS "{y}"' for y in _ALL_YEARS)
 _NATIONAL_KEYS_OP = f"sha256(concat({_tok('attendance_type')},chr(31),'VNATIONAL',chr(31),'VNATIONAL',chr(31),'V0',chr(31),'VNATIONAL',chr(31),'VHRG'))"
 _NATIONAL_KEYS_AAE = f"sha256(concat({_tok('CAST(acuity AS VARCHAR)')},chr(31),{_tok('aedepttype')},chr(31),'VNATIONAL',chr(31),'VNATIONAL',chr(31),'VNATIONAL'))"
 

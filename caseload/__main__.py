@@ -1,7 +1,7 @@
 """Command line: drain a queue of params files and write every extract.
 
     python -m caseload serve --level region --data /data/v4 --queue /queue/region \
-        --out /results --checkpoint /checkpoints/region [--full] [--quarantine /bad] \
+        --out /results --ledger /ledgers/region [--full] [--quarantine /bad] \
         [--sample-rate 0.01] [--clean-source archive --archive-dir /done]
 
 The session comes from ``spark-submit`` / the environment; nothing here sets a master.
@@ -27,7 +27,7 @@ def main(argv: list[str] | None = None) -> None:
                        help="override one table with a path or a catalog name")
     serve.add_argument("--queue", required=True)
     serve.add_argument("--out", required=True)
-    serve.add_argument("--checkpoint", required=True)
+    serve.add_argument("--ledger", required=True, help="table of the file versions that were served")
     serve.add_argument("--quarantine")
     serve.add_argument("--full", action="store_true", help="also write the row-level extracts")
     serve.add_argument("--sample-rate", type=float, help="national sample rate (else read from params)")
@@ -38,13 +38,12 @@ def main(argv: list[str] | None = None) -> None:
 
     spark = SparkSession.builder.appName("caseload").getOrCreate()
     tables = dict(item.split("=", 1) for item in args.table)
-    query = serve_queue(
-        spark, Dataset(spark, args.data, tables), args.queue, args.out, args.checkpoint, args.level,
+    count = serve_queue(
+        spark, Dataset(spark, args.data, tables), args.queue, args.out, args.ledger, args.level,
         quarantine_path=args.quarantine, year_field=args.year_field, sample_rate=args.sample_rate,
         full=args.full, clean_source=args.clean_source, archive_dir=args.archive_dir,
     )
-    progress = query.lastProgress or {}
-    print(f"batches done; last batch {progress.get('batchId')}, rows {progress.get('numInputRows')}")
+    print(f"params files taken: {count}")
 
 
 if __name__ == "__main__":

@@ -9,7 +9,6 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -22,10 +21,8 @@ NULL_MARK = "N"  # token of a NULL value
 SAMPLE_SEPARATOR = "|"  # between seed and key in the sample hash
 
 _TWO_32 = 4294967296  # 2**32
-# Largest input numbered by a single window task in dense_id(method="auto").
-WINDOW_ROWS = 1_000_000
-# Target rows per range partition in dense_id(method="range").
-RANGE_ROWS_PER_PARTITION = 2_000_000
+# Hex digits sort below this: the threshold of a sample that keeps everything.
+_ALL = "g"
 
 
 # --------------------------------------------------------------------------------------------
@@ -47,6 +44,7 @@ def sample_predicate(rate: float, seed: int, key: str | Column = "rn") -> Column
 
     The decision for a row depends only on its key, so it is the same on any partitioning, and the
     same predicate applied to another table keyed by ``key`` selects the matching rows (SMP3).
+    A rate of 1 keeps every row; below it a row with a NULL key has no hash and is not kept.
     """
     if rate <= 0:
         return F.lit(False)
@@ -60,7 +58,7 @@ def sample_threshold_col(rate: Column) -> Column:
     """Column form of :func:`sample_threshold`, with the bounds folded in: rate <= 0 gives ``''``
     (no hash sorts below it) and rate >= 1 gives ``'g'`` (every hex hash sorts below it)."""
     hex_bound = F.lower(F.lpad(F.hex(F.floor(rate * F.lit(float(_TWO_32))).cast("long")), 8, "0"))
-    return F.when(rate <= 0, F.lit("")).when(rate >= 1, F.lit("g")).otherwise(hex_bound)
+    return F.when(rate <= 0, F.lit("")).when(rate >= 1, F.lit(_ALL)).otherwise(hex_bound)
 
 
 def seed_prefix_col(seed: Column) -> Column:
@@ -68,14 +66,10 @@ def seed_prefix_col(seed: Column) -> Column:
 
 
 def sample_predicate_prepared(key: str | Column, seed_prefix: Column, threshold: Column) -> Column:
-    """Per-row test against a threshold and seed prefix computed once per request row."""
+    """Per-row test against a threshold and seed prefix computed once per request row. Like
+    :func:`sample_predicate`: rate 1 keeps every row, below it a row with a NULL key is not kept."""
     key_col = F.col(key) if isinstance(key, str) else key
-    return F.substring(F.md5(F.concat(seed_prefix, key_col.cast("string"))), 1, 8) < threshold
-
-
-def sample_predicate_col(rate: Column, seed: Column, key: str | Column = "rn") -> Column:
-    """Column form of :func:`sample_predicate`, for a rate and seed read from a request row."""
-    return sample_predicate_prepared(key, seed_prefix_col(seed), sample_threshold_col(rate))
+    return (threshold == _ALL) | (F.substring(F.md5(F.concat(seed_prefix, key_col.cast("string"))), 1, 8) < threshold)
 
 
 def sample_rows(df: DataFrame, rate: float, seed: int, key: str = "rn", method: str = "hash") -> DataFrame:
@@ -136,53 +130,28 @@ def dense_id(
     name: str = "rn",
     method: str = "auto",
     partitions: int | None = None,
-    window_rows: int = WINDOW_ROWS,
 ) -> DataFrame:
     """0-based position of each row in the order of its name-sorted ``keys`` (NULLs last),
     restarting for each value of ``within`` (e.g. a request id).
 
-    ``method="range"`` scales to any result size: rows are range-partitioned (into
-    ``partitions``, or enough partitions for about 2M rows each) on
-    (``within``, keys), sorted inside each partition and checkpointed (range bounds are sampled, so
-    the layout is fixed once before it is counted). Each row's position is its offset inside its
-    partition plus the number of rows of the same ``within`` group in earlier partitions. The
-    offsets table has one row per partition (broadcast) or, with ``within``, one per partition and
-    group (broadcast after a bounded count, else a shuffle join). No task ever
-    holds more than one range partition, even when one group has most of the rows.
+    ``method="range"`` (``"auto"`` is the same): the input, usually a small aggregate over a large
+    scan, is checkpointed once; its rows are range-partitioned on (``within``, keys) into
+    ``partitions`` (default ``spark.sql.shuffle.partitions``), sorted inside each partition and
+    checkpointed again (range bounds are sampled, so the layout is fixed once before it is counted).
+    Each row's position is its offset inside its partition plus the number of rows of the same
+    ``within`` group in earlier partitions. No task ever holds more than one range partition, even
+    when one group has most of the rows; nothing depends on the size of the input.
 
     ``method="window"`` is ``row_number()`` over one window; without ``within`` that runs in a
     single task, so it is only for results known to be small.
-
-    ``method="auto"`` uses the window only when a bounded count proves the input has at most
-    ``window_rows`` rows (one task sorts that easily), and the range method otherwise; the input
-    is computed once (persisted while it is probed) and the result is checkpointed.
     """
     within = list(within)
     sort_keys = sorted(keys)
     if method == "window":
         return _window_ids(df, sort_keys, within, name)
-    if method == "range":
-        return _range_ids(df, sort_keys, within, name, partitions)
-    if method != "auto":
+    if method not in ("auto", "range"):
         raise ValueError(f"unknown dense id method {method!r}")
-    # The input is usually an aggregation over a large scan: keep it for the size probe and
-    # whichever path follows (range sampling reads it twice), then materialise the result so the
-    # scan is not repeated when the ids are read.
-    df.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        if df.limit(window_rows + 1).count() <= window_rows:
-            return _window_ids(df, sort_keys, within, name).checkpoint(eager=True)
-        return _range_ids(df, sort_keys, within, name, partitions)
-    finally:
-        df.unpersist()
-
-
-def range_partitions(df: DataFrame, rows_per_partition: int = RANGE_ROWS_PER_PARTITION) -> int:
-    """Number of range partitions for ``df``: enough for ``rows_per_partition`` rows each, and at
-    least ``spark.sql.shuffle.partitions``. The count is fixed before the shuffle because a range
-    partition is never split afterwards."""
-    floor = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(floor, -(-df.count() // rows_per_partition))
+    return _range_ids(df.checkpoint(eager=True), sort_keys, within, name, partitions)
 
 
 def _window_ids(df: DataFrame, sort_keys: list[str], within: list[str], name: str) -> DataFrame:
@@ -192,10 +161,9 @@ def _window_ids(df: DataFrame, sort_keys: list[str], within: list[str], name: st
 
 
 def _range_ids(df: DataFrame, sort_keys: list[str], within: list[str], name: str, partitions: int | None) -> DataFrame:
-    n = partitions or range_partitions(df)
     lead = _order(within + sort_keys)
     ranged = (
-        df.repartitionByRange(n, *lead)
+        (df.repartitionByRange(partitions, *lead) if partitions else df.repartitionByRange(*lead))
         .sortWithinPartitions(*lead)
         .select("*", F.spark_partition_id().alias("_part"), F.monotonically_increasing_id().alias("_pos"))
         .checkpoint(eager=True)
@@ -207,9 +175,8 @@ def _range_ids(df: DataFrame, sort_keys: list[str], within: list[str], name: str
         "_offset",
         F.coalesce(F.sum("_rows").over(earlier.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
     ).select(*group, "_first", "_offset")
-    # Without ``within`` the offsets have one row per partition (at most n): broadcast. With it,
-    # one row per (partition, group), which grows with the groups: broadcast after a bounded count.
-    runs = small_side(runs) if within else F.broadcast(runs)
+    # One row per partition, or per (partition, group): broadcast after a bounded count.
+    runs = small_side(runs)
     join_cond = [ranged["_part"] == runs["_part"]] + [ranged[c].eqNullSafe(runs[c]) for c in within]
     out = ranged.join(runs, join_cond, "inner").select(
         ranged["*"], (ranged["_pos"] - runs["_first"] + runs["_offset"]).cast("long").alias(name)

@@ -62,7 +62,7 @@ def sum_factors(df: DataFrame, ids: Sequence[str] = ("variant", "age", "sex"),
     the number of years, without the value-discovery job and with one shuffle instead of two. All
     year columns are present even when there are no rows.
     """
-    years = list(years) if years is not None else year_columns(df)
+    years = list(years) if years is not None else sorted(year_columns(df))
     return df.groupBy(*ids).agg(*[F.sum(F.col(f"`{y}`")).alias(y) for y in years])
 
 

@@ -9,9 +9,6 @@ from pyspark.sql import functions as F
 
 from caseload.functions.scope import YEAR_COLUMN_PREFIX
 
-# Spark's own bound on the number of pivot values.
-MAX_PIVOT_VALUES = 10000
-
 
 def year_columns(df: DataFrame, prefix: str = YEAR_COLUMN_PREFIX) -> list[str]:
     """Columns whose name starts with ``prefix`` (the year columns of a wide factor table)."""
@@ -42,14 +39,6 @@ def wide_to_long(
     return df.unpivot(list(ids), years, year_col, value_col)
 
 
-def discover_values(df: DataFrame, column: str, limit: int = MAX_PIVOT_VALUES) -> list:
-    """Distinct non-NULL values of ``column``, sorted (a small, bounded driver-side list)."""
-    rows = df.select(column).where(F.col(column).isNotNull()).distinct().limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"more than {limit} distinct values in {column!r}; pass them explicitly")
-    return sorted(r[0] for r in rows)
-
-
 def long_to_wide(
     df: DataFrame,
     ids: Sequence[str | Column],
@@ -59,14 +48,20 @@ def long_to_wide(
 ) -> DataFrame:
     """Pivot ``sum(value)`` by ``year_col`` into one column per year, named by the year.
 
-    Pass ``years`` to skip the discovery job and to fix the output schema: every listed year gets
-    a column even when no row has it, and rows with a NULL or unlisted year are left out.
+    Pass ``years`` to fix the output schema: every listed year gets a column even when no row has
+    it, rows with a NULL or unlisted year are left out, and it is one partial/final aggregation.
 
-    Written as one conditional sum per year rather than ``groupBy().pivot()``: the same values
-    (NULL where a group has no row for a year), but one partial/final aggregation with a single
-    shuffle, where the pivot plans an aggregation by (ids, year) and a second by ids.
+    Without ``years`` every year of the data gets a column, in order, a NULL year the column
+    ``null``. The rows are aggregated by (ids, year) once and checkpointed; the years are read from
+    that small result, which is then widened, so the source is scanned once.
     """
-    if years is None:
-        years = discover_values(df, year_col)
     year = F.col(year_col)
-    return df.groupBy(*ids).agg(*[F.sum(F.when(year == F.lit(y), value)).alias(str(y)) for y in years])
+    if years is not None:
+        return df.groupBy(*ids).agg(*[F.sum(F.when(year == F.lit(y), value)).alias(str(y)) for y in years])
+    totals = df.groupBy(*ids, year).agg(F.sum(value).alias("_total")).checkpoint(eager=True)
+    names = totals.columns[:-2]
+    found = sorted((r[0] for r in totals.select(year_col).distinct().collect()), key=lambda y: (y is not None, y))
+    if not found:
+        return totals.select(*names)
+    return totals.groupBy(*names).agg(*[
+        F.sum(F.when(year.eqNullSafe(F.lit(y)), F.col("_total"))).alias("null" if y is None else str(y)) for y in found])

@@ -5,8 +5,8 @@ region code) or, for national requests, ``sample_rate`` and ``seed``. Each extra
 once to the request table instead of rescanning it per request. The request table is broadcast
 only after a bounded count proves it small; otherwise the join is a shuffle join.
 
-Where a national extract would multiply the data by the number of requests of a year (activity,
-factors, health-status tables), it is aggregated by year first and only the aggregated rows meet
+Where requests share data (region and national activity, factors and health-status tables), it is
+aggregated once per distinct cohort, or per year for the nation, and only the aggregated rows meet
 the requests. Every output row carries its ``request_id``.
 """
 
@@ -49,7 +49,6 @@ KINDS = ("ip", "strategies_activity_avoidance", "strategies_efficiencies", "op",
          "demographic_factors", "hsa_activity", "inequalities")
 _SCOPE_COLUMN = {PROVIDER: "dataset", REGION: "icb"}
 NATIONAL_REQUEST_COLUMNS = ("sample_rate", "seed", "_seed_prefix", "_threshold")
-DEFAULT_SALT_BUCKETS = 32
 # Scope objects only used for their level in relabel().
 _LEVEL_SCOPE = {PROVIDER: Scope.provider("-"), REGION: Scope.region("-"), NATION: Scope.national()}
 
@@ -63,7 +62,7 @@ class RequestBatch:
     def __init__(self, data: Dataset, requests: DataFrame, level: str, *, keys: Sequence[str] = ("rn",),
                  projection_year: int = DEFAULT_PROJECTION_YEAR, factor_years: Sequence | None = None,
                  id_method: str = "auto", max_requests: int = DEFAULT_BROADCAST_ROWS,
-                 salt_buckets: int = DEFAULT_SALT_BUCKETS):
+                 salt_buckets: int | None = None):
         if level not in (PROVIDER, REGION, NATION):
             raise ValueError(f"unknown level {level!r}")
         self.data = data
@@ -78,16 +77,19 @@ class RequestBatch:
             # Per-request sampling constants, computed once per request rather than per data row.
             req = req.withColumns({"_seed_prefix": seed_prefix_col(F.col("seed")),
                                    "_threshold": sample_threshold_col(F.col("sample_rate"))})
+        if level == NATION and len(self.keys) != 1:
+            raise ValueError("hash sampling needs a single episode key")
         # One bounded job: at most max_requests + 1 rows are counted and their distinct years kept.
         probe = req.limit(max_requests + 1).agg(F.count(F.lit(1)).alias("n"),
                                                   F.collect_set("fyear").alias("years")).first()
         small = probe["n"] <= max_requests
         self.small = small
-        self.salt_buckets = salt_buckets
+        self.salt_buckets = salt_buckets or int(requests.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         self.requests = F.broadcast(req) if small else req
-        # A proven-small request table also gives the requested years as literals, which reach the
-        # scan as partition filters (the join alone gets no dynamic pruning from a request table).
-        self.years = sorted(probe["years"]) if small else None
+        # The requested years as literals reach the scan as partition filters (the join alone gets no
+        # dynamic pruning from a request table). They are as few as the calendar has years.
+        years = probe["years"] if small else [r[0] for r in req.select("fyear").distinct().collect()]
+        self.years = sorted(y for y in years if y is not None)
 
     # ---- helpers -------------------------------------------------------------------------------------
     def _req(self, code_as: str | None = None, year_expr=None) -> DataFrame:
@@ -99,37 +101,39 @@ class RequestBatch:
             cols.append(F.col("code").alias(code_as))
         return self.requests.select(*cols)
 
-    def _years(self, year_expr=None) -> DataFrame:
-        return self.requests.select((year_expr if year_expr is not None else F.col("fyear")).alias("fyear")).distinct()
-
-    def _in_years(self, table: DataFrame, coded: bool = False, semi: bool = False) -> DataFrame:
-        """Rows of the requested years: a static filter (a partition filter on fyear-partitioned
-        tables) when the request table is proven small, else a semi join when ``semi``."""
-        if self.years is None:
-            if not semi:
-                return table
-            year = fyear_code_col(F.col("fyear")) if coded else F.col("fyear")
-            return table.join(self._years(year), "fyear", "left_semi")
-        values = [fyear_code(y) for y in self.years] if coded else self.years
-        return table.filter(F.col("fyear").isin(values))
-
-    def _scoped(self, table: DataFrame, by_code: bool = True, year_expr=None) -> DataFrame:
-        """Join ``table`` to its requests on (scope column, fyear) or fyear alone."""
+    def _cohorts(self, code_as: str, year_expr=None) -> DataFrame:
+        """The distinct cohorts (code and year) that the requests ask for."""
+        cohorts = self._req(code_as, year_expr).drop("request_id").distinct()
+        return F.broadcast(cohorts) if self.small else cohorts
+
+    def _in_years(self, table: DataFrame, coded: bool = False) -> DataFrame:
+        """Rows of the requested years: a static filter (a partition filter on fyear-partitioned tables)."""
+        return table.filter(F.col("fyear").isin([fyear_code(y) for y in self.years] if coded else self.years))
+
+    def _scoped(self, table: DataFrame, year_expr=None, cohorts: bool = False) -> DataFrame:
+        """Join ``table`` to its requests on (scope column, fyear) or fyear alone; with ``cohorts``, to the
+        distinct cohorts, so that no row is repeated for several requests of one cohort."""
         table = self._in_years(table, coded=year_expr is not None)
-        on = ["fyear"]
-        code_as = None
-        if by_code and self.level in _SCOPE_COLUMN:
-            code_as = _SCOPE_COLUMN[self.level]
-            on = [code_as, "fyear"]
-        req = self._req(code_as, year_expr)
+        code_as = _SCOPE_COLUMN.get(self.level)
+        on = [code_as, "fyear"] if code_as else ["fyear"]
+        req = self._cohorts(code_as, year_expr) if cohorts else self._req(code_as, year_expr)
+        return self._spread(table, req, on)
+
+    def _spread(self, many: DataFrame, few: DataFrame, on: list[str]) -> DataFrame:
+        """Inner join of ``many`` rows to ``few``. When the request table is too large to broadcast, a join on
+        (code, year) or year alone would send all rows of a large provider, or of a whole year, to one
+        task: each of the many rows gets one of ``salt_buckets`` salts (one per shuffle partition) from a
+        hash of its values and each of the few is repeated per salt."""
         if self.small:
-            return table.join(req, on)
-        # Too many requests to broadcast: a shuffle join on (code, year) or year alone would send
-        # all rows of a large provider, or of a whole year, to one task. Each data row gets one of
-        # ``salt_buckets`` salts from a hash of its values and each request is repeated per salt.
-        salt = F.pmod(F.xxhash64(*[F.col(c) for c in table.columns]), F.lit(self.salt_buckets))
-        salted_req = req.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(self.salt_buckets - 1))))
-        return table.withColumn("_salt", salt).join(salted_req, [*on, "_salt"]).drop("_salt")
+            return many.join(few, on)
+        salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in many.columns]), F.lit(self.salt_buckets))
+        salted = few.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(self.salt_buckets - 1))))
+        return many.withColumn("_salt", salt).join(salted, [*on, "_salt"]).drop("_salt")
+
+    def _per_request(self, totals: DataFrame, on: list[str], code_as: str | None = None, year_expr=None) -> DataFrame:
+        """Cohort totals with the id of every request that asks for the cohort. Many requests may ask for one
+        cohort or year, so the requests are the side that is dealt out by salt."""
+        return self._spread(self._req(code_as, year_expr), totals, on)
 
     def _relabel(self, df: DataFrame, include_icb: bool = False) -> DataFrame:
         code = F.col("icb") if self.level == REGION else None
@@ -165,17 +169,17 @@ class RequestBatch:
         if self.level == PROVIDER:
             return self._scoped(source).withColumnRenamed(ROW_INDEX, "rn")
         if self.level == REGION:
-            rows = self._relabel(self._scoped(source)).drop(ROW_INDEX)
+            rows = self._relabel(self._scoped(source, cohorts=True)).drop(ROW_INDEX)
             keys = keys_except(rows, measures)
             totals = roll_up(rows, measures, keys, null_sum=0, nan_as_null=True)
-            id_keys = [k for k in keys if k != "request_id"]
-            return dense_id(totals, id_keys, within=["request_id"], method=self.id_method)
+            numbered = dense_id(totals, keys, within=["icb", "fyear"], method=self.id_method)
+            return self._per_request(numbered, ["icb", "fyear"], "icb")
         keys = keys_except(source, [ROW_INDEX, "fyear", *measures])
-        rows = self._relabel(self._in_years(source, semi=True), include_icb=True)
+        rows = self._relabel(self._in_years(source), include_icb=True)
         if national_collapse:
             rows = collapse(rows, national_collapse)
         by_year = roll_up(rows, measures, [*keys, "fyear"])
-        scaled = by_year.join(self._req(), "fyear").select(
+        scaled = self._per_request(by_year, ["fyear"]).select(
             "request_id", *keys, *[(F.col(m) * F.col("sample_rate")).alias(m) for m in measures])
         return stable_id(scaled, keys)
 
@@ -184,26 +188,29 @@ class RequestBatch:
             return self._scoped(self.data.table(wide_name)).drop("dataset")
         if self.level == REGION:
             projections = self.data.table(long_name).filter(F.col("projection_year") == F.lit(self.projection_year))
-            areas = small_side(self.data.table(names.CATCHMENTS).join(self._req("icb").select("request_id", "icb"), "icb"))
+            codes = self._req("icb").select("icb").distinct()
+            areas = small_side(self.data.table(names.CATCHMENTS).join(F.broadcast(codes) if self.small else codes, "icb"))
             joined = projections.join(areas, "area_code")
             if sex is not None:
                 joined = joined.withColumn("sex", F.lit(sex))
-            ids = ["request_id", "age", "sex", F.col("projection").alias("variant")]
-            return long_to_wide(joined, ids, F.col("value") * F.col("pcnt"), self.factor_years)
-        wide = exclude_prefix(self._in_years(self.data.table(wide_name), semi=True), "variant")
-        by_year = sum_factors(wide, ["fyear", *FACTOR_IDS], year_columns(wide))
-        return by_year.join(self._req(), "fyear").drop("fyear", *NATIONAL_REQUEST_COLUMNS)
+            ids = ["icb", "age", "sex", F.col("projection").alias("variant")]
+            totals = long_to_wide(joined, ids, F.col("value") * F.col("pcnt"), self.factor_years)
+            return self._spread(self._req("icb").drop("fyear"), totals, ["icb"]).drop("icb")
+        wide = exclude_prefix(self._in_years(self.data.table(wide_name)), "variant")
+        by_year = sum_factors(wide, ["fyear", *FACTOR_IDS], sorted(year_columns(wide)))
+        return self._per_request(by_year, ["fyear"]).drop("fyear", *NATIONAL_REQUEST_COLUMNS)
 
     def hsa_activity(self) -> DataFrame:
         if self.level == PROVIDER:
             return self._scoped(self.data.table(names.HSA_ACTIVITY)).drop("dataset", "fyear")
         code = fyear_code_col(F.col("fyear"))
         if self.level == REGION:
-            rows = self._scoped(self.data.table(names.HSA_ACTIVITY_REGION), year_expr=code)
-            return mean_by(rows, ["request_id", *HSA_KEYS], "activity")
-        table = self._in_years(self.data.table(names.HSA_ACTIVITY_NATIONAL), coded=True, semi=True)
+            rows = self._scoped(self.data.table(names.HSA_ACTIVITY_REGION), year_expr=code, cohorts=True)
+            totals = mean_by(rows, ["icb", "fyear", *HSA_KEYS], "activity")
+            return self._per_request(totals, ["icb", "fyear"], "icb", code).drop("icb", "fyear")
+        table = self._in_years(self.data.table(names.HSA_ACTIVITY_NATIONAL), coded=True)
         by_year = mean_by(table, ["fyear", *HSA_KEYS], "activity")
-        return by_year.join(self._req(year_expr=code), "fyear").drop("fyear", *NATIONAL_REQUEST_COLUMNS)
+        return self._per_request(by_year, ["fyear"], year_expr=code).drop("fyear", *NATIONAL_REQUEST_COLUMNS)
 
     def inequalities(self) -> DataFrame:
         df = self._scoped(self.data.table(names.INEQUALITIES))
@@ -241,12 +248,12 @@ def extract_all(
     factor_years: Sequence | None = None,
     id_method: str = "auto",
     max_requests: int = DEFAULT_BROADCAST_ROWS,
-    salt_buckets: int = DEFAULT_SALT_BUCKETS,
+    salt_buckets: int | None = None,
 ) -> DataFrame:
     """Extract ``kind`` (one of :data:`KINDS`) for every request of ``level`` in one plan.
 
     ``max_requests`` bounds the request table that is broadcast; above it the joins are salted
-    shuffle joins with ``salt_buckets`` salts.
+    shuffle joins with ``salt_buckets`` salts (default: one per shuffle partition).
     """
     batch = RequestBatch(data, requests, level, keys=keys, projection_year=projection_year,
                          factor_years=factor_years, id_method=id_method, max_requests=max_requests,

@@ -1,8 +1,9 @@
 """The extracts of one cohort for one financial year (the public surface).
 
-``Cohorts(dataset, scope, year)`` has one method per extract. Every method returns a lazy
-DataFrame; nothing is collected. The plan of each is filters (pushed to the scan), relabels
-(projections), then at most one aggregation or semi join.
+``Cohorts(dataset, scope, year)`` has one method per extract, each returning a DataFrame. The plan of
+each is filters (pushed to the scan), relabels (projections), then at most one aggregation or semi
+join. All are lazy but two: region ``op`` and ``aae`` checkpoint their totals to number them, and
+region factors without ``factor_years`` checkpoint theirs to find the years.
 """
 
 from __future__ import annotations
@@ -48,8 +49,7 @@ class Cohorts:
     Parameters beyond the reference's:
       * ``keys``: episode key joining strategies to episodes (default ``rn``);
       * ``sample_method``: ``"hash"`` (partition-independent, default) or ``"bernoulli"``;
-      * ``id_method``: how region op/aae ids are numbered (``"auto"``: one window task when a
-        bounded count proves the result small, else ``"range"``, which scales; see ``dense_id``);
+      * ``id_method``: how region op/aae ids are numbered (see ``dense_id``);
       * ``projection_year``: vintage of the population projections (default 2022);
       * ``factor_years``: year columns of the region factor pivots (found from the data when None).
     """
@@ -154,7 +154,7 @@ class Cohorts:
                                        ids=["age", "sex", F.col("projection").alias("variant")],
                                        years=self.factor_years, overrides=overrides)
         wide = exclude_prefix(in_scope(self.data.table(wide_name), self.scope, self.year), "variant")
-        return sum_factors(wide, FACTOR_IDS, year_columns(wide)).orderBy(*FACTOR_IDS)
+        return sum_factors(wide, FACTOR_IDS, sorted(year_columns(wide)))
 
     # ---- EXT8: health-status activity -------------------------------------------------------------
     def hsa_activity(self) -> DataFrame:

@@ -1,8 +1,7 @@
 """The queue job: requests in, extracts out, all in one Spark application.
 
-``serve_queue`` drains a folder of params files (a file-source stream with ``availableNow``), and
-for each micro-batch of requests writes every extract with :func:`extract_all` — one pass over
-each table for the whole batch instead of one pass per request.
+``serve_queue`` drains a folder of params files and writes every extract of all new requests with
+:func:`extract_all` — one pass over each table for the whole batch instead of one pass per request.
 """
 
 from __future__ import annotations
@@ -12,11 +11,13 @@ from collections.abc import Sequence
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
 
+from caseload.functions.scope import NATION
 from caseload.operators.joins import small_side
 from caseload.plans.batch import RequestBatch
-from caseload.sources.dataset import Dataset, cached
+from caseload.plans.cohorts import FACTOR_IDS
+from caseload.sources.dataset import Dataset
+from caseload.session import ensure_checkpoint_dir
 from caseload.sources.sinks import RUN_PARTITIONS, write_extracts, write_json
 from caseload.streaming.intake import DEFAULT_YEAR_FIELD, drain_queue, quarantined, request_table
 
@@ -48,11 +49,12 @@ def run_requests(
     try:
         for kind in kinds:
             extract = batch.extract(kind, shared if kind.startswith("strategies_") else None)
-            write_extracts(extract.join(runs, "request_id"), f"{out_path}/{kind}")
+            order = FACTOR_IDS if kind.endswith("factors") and level == NATION else None
+            write_extracts(extract.join(runs, "request_id"), f"{out_path}/{kind}", order_by=order)
     finally:
         if shared is not None:
             shared.unpersist()
-    write_json(requests.select("request_id", "params_path", "fyear", "seed", "sample_rate", "metadata",
+    write_json(requests.select("params_path", "fyear", "seed", "sample_rate", "metadata",
                                *[F.col(c).alias(c) for c in RUN_PARTITIONS if c != "run_dataset"],
                                F.col("code").alias("run_dataset")),
                f"{out_path}/_runs", partition_by=RUN_PARTITIONS)
@@ -64,7 +66,7 @@ def serve_queue(
     data: Dataset,
     queue_path: str,
     out_path: str,
-    checkpoint: str,
+    ledger: str,
     level: str,
     *,
     quarantine_path: str | None = None,
@@ -74,21 +76,18 @@ def serve_queue(
     clean_source: str | None = None,
     archive_dir: str | None = None,
     **extract_options,
-) -> StreamingQuery:
-    """Drain the queue once. Files that are not JSON, or lack a field the level needs, go to
-    ``quarantine_path`` with the reason (one partition per micro-batch). Every write is an overwrite of the batch's own partitions, so a batch replayed
-    after a failure (same files, same stamps from the files' modification times) gives the same
-    output."""
+) -> int:
+    """Drain the queue once; returns the number of files taken. Files that are not JSON, or lack a needed
+    field, go to ``quarantine_path`` (default ``{out_path}/_quarantine``) with the reason, one partition per
+    request. Every write replaces the partitions of its own requests only, so a batch replayed after a
+    failure (same file versions, same ids and stamps) gives the same output."""
+    ensure_checkpoint_dir(spark)  # before anything is written
 
-    def handle(raw: DataFrame, batch_id: int) -> None:
-        with cached(raw):
-            if quarantine_path:
-                # Partitioned by batch and overwritten dynamically: a replayed batch rewrites its
-                # own partition instead of appending the same files again.
-                (quarantined(raw, level, year_field).withColumn("batch_id", F.lit(batch_id))
-                 .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-                 .partitionBy("batch_id").parquet(quarantine_path))
-            requests = request_table(raw, level=level, year_field=year_field, sample_rate=sample_rate)
-            run_requests(data, requests, level, out_path, full=full, **extract_options)
+    def handle(raw: DataFrame) -> None:
+        (quarantined(raw, level, year_field)
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("request_id").parquet(quarantine_path or f"{out_path}/_quarantine"))
+        requests = request_table(raw, level=level, year_field=year_field, sample_rate=sample_rate)
+        run_requests(data, requests, level, out_path, full=full, **extract_options)
 
-    return drain_queue(spark, queue_path, checkpoint, handle, clean_source=clean_source, archive_dir=archive_dir)
+    return drain_queue(spark, queue_path, ledger, handle, clean_source=clean_source, archive_dir=archive_dir)

@@ -51,8 +51,8 @@ def spark_session(
 def ensure_checkpoint_dir(spark: SparkSession) -> str | None:
     """Return the session's checkpoint folder, creating a scratch one only when none is configured.
 
-    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as is; the scratch
-    fallback is for local tests only.
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as is; without it this
+    fails. The scratch fallback is for local masters (tests) only.
     """
     try:
         sc = spark.sparkContext
@@ -65,6 +65,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str | None:
     if configured:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir()
+    if sc.master != "local" and not sc.master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     scratch = tempfile.mkdtemp(prefix="caseload-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(scratch)
     return sc.getCheckpointDir()

@@ -6,8 +6,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 
-# Fixed layout of a run's output: version / dataset / scenario / stamp.
-RUN_PARTITIONS = ("app_version", "run_dataset", "scenario", "create_datetime")
+# Fixed layout of a run's output: version / dataset / scenario / stamp, and the request, so that runs with
+# the same labels and second do not replace each other.
+RUN_PARTITIONS = ("app_version", "run_dataset", "scenario", "create_datetime", "request_id")
 
 
 def write_extracts(

@@ -1,18 +1,20 @@
-"""Request intake: a folder of JSON params files read as a stream (SRC4, PRJ11, PRJ12, SNK5).
-
-Each file is one request. ``read_requests`` is a file-source stream (``wholetext``), so the
-checkpoint records which files were taken and a restarted query (driver or executor lost) picks up
-exactly the files not yet committed. Run it with ``trigger(availableNow=True)`` to drain the queue
-and stop, like a scheduled job.
+"""Request intake: a folder of JSON params files (SRC4, PRJ11, PRJ12, SNK5).
+
+Each file is one request. A file version is its path, modification time and content; a ledger table
+holds the versions that were served. :func:`drain_queue` lists the folder as it is, whatever the age
+of the files, serves the versions that are not in the ledger, records them, and then (if asked)
+removes exactly the versions it served. A file that is put back with other content, or touched, is a
+new version; a run that died before its ledger entry serves the same versions again, with the same
+request ids.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
 
 # The params keys read as typed request columns, and the run-stamp format.
 STAMP_FORMAT = "yyyyMMdd_HHmmss"
@@ -28,35 +30,23 @@ DEFAULT_NATIONAL_SAMPLE_RATE = 0.01
 DEFAULT_YEAR_FIELD = "start_year"
 
 
-def read_requests(
-    spark: SparkSession,
-    queue_path: str,
-    *,
-    clean_source: str | None = None,
-    archive_dir: str | None = None,
-    max_files_per_trigger: int | None = None,
-) -> DataFrame:
-    """Streaming DataFrame of queued params files: ``params_path``, ``params_modified``,
-    ``params_text`` and ``params`` (VARIANT; NULL when the text is not valid JSON).
+LEDGER_SCHEMA = "request_id string, params_path string"
 
-    ``clean_source="delete"`` or ``"archive"`` (with ``archive_dir``) removes or moves a file after
-    the batch that read it is committed: the queue entry is dropped only after success.
+
+def read_requests(spark: SparkSession, queue_path: str) -> DataFrame:
+    """The params files in ``queue_path``: ``params_path``, ``params_modified``, ``params_text``, ``params``
+    (VARIANT; NULL when the text is not valid JSON) and ``request_id``, a hash of the file version.
     Sub-folders are not descended into.
     """
-    reader = spark.readStream.format("text").option("wholetext", "true")
-    if clean_source:
-        reader = reader.option("cleanSource", clean_source)
-        if archive_dir:
-            reader = reader.option("sourceArchiveDir", archive_dir)
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    lines = reader.load(queue_path.rstrip("/"))
-    return lines.select(
+    lines = spark.read.format("text").option("wholetext", "true").load(queue_path.rstrip("/"))
+    files = lines.select(
         F.col("_metadata.file_path").alias("params_path"),
         F.col("_metadata.file_modification_time").alias("params_modified"),
         F.col("value").alias("params_text"),
         F.try_parse_json("value").alias("params"),
     )
+    version = F.concat_ws("\n", "params_path", F.unix_micros("params_modified").cast("string"), "params_text")
+    return files.withColumn("request_id", F.sha2(version, 256))
 
 
 def stamp(ts: Column) -> Column:
@@ -88,36 +78,41 @@ def request_table(
 ) -> DataFrame:
     """Typed request rows from parsed params files (valid JSON only).
 
-    ``request_id`` is a hash of the file path; ``code`` is the params ``dataset`` (provider or
-    region code); ``create_datetime`` is stamped from the file's modification time by default, so a
-    retried batch writes to the same place. ``sample_rate`` (national runs) is the argument, else
-    the params' ``sample_rate``, else 0.01. With ``level``, rows missing a field that level needs
-    are left out (see :func:`quarantined`).
+    ``request_id`` names the file version; ``code`` is the params ``dataset`` (provider or region
+    code); ``create_datetime`` is stamped from the file's modification time by default, so a
+    retried batch writes to the same place, and is part of the metadata. ``sample_rate`` (national
+    runs) is the argument, else the params' ``sample_rate``, else 0.01. With ``level``, rows missing
+    a field that level needs are left out (see :func:`quarantined`).
     """
     p = F.col("params")
     fields = {name: F.try_variant_get(p, f"$.{name}", kind).alias(name) for name, kind in REQUEST_FIELDS.items()}
     rate = (F.lit(float(sample_rate)) if sample_rate is not None
             else F.coalesce(F.try_variant_get(p, "$.sample_rate", "double"), F.lit(DEFAULT_NATIONAL_SAMPLE_RATE)))
+    created = stamp(stamp_from if stamp_from is not None else F.col("params_modified"))
+    metadata = F.map_concat(F.map_filter(request_metadata(F.col("params_text")), lambda k, _v: k != "create_datetime"),
+                            F.create_map(F.lit("create_datetime"), created))
     return raw.where(request_problem(level, year_field).isNull()).select(
-        F.sha2(F.col("params_path"), 256).alias("request_id"),
+        "request_id",
         "params_path",
         *fields.values(),
         F.try_variant_get(p, "$.dataset", "string").alias("code"),
         F.try_variant_get(p, f"$.{year_field}", "int").alias("fyear"),
         rate.alias("sample_rate"),
-        stamp(stamp_from if stamp_from is not None else F.col("params_modified")).alias("create_datetime"),
-        request_metadata(F.col("params_text")).alias("metadata"),
+        created.alias("create_datetime"),
+        metadata.alias("metadata"),
     )
 
 
 def request_problem(level: str | None = None, year_field: str = DEFAULT_YEAR_FIELD) -> Column:
-    """Why a params row cannot be served (NULL when it can): not JSON, or a field the level needs
-    (the year; the provider/region code; the seed of a national run) missing or of the wrong type."""
+    """Why a params row cannot be served (NULL when it can): not JSON, or a needed field missing or of the
+    wrong type. Needed are the labels of the run (version, dataset, scenario), the year, and for a
+    national run the seed."""
     p = F.col("params")
     problem = F.when(p.isNull(), F.lit("not valid JSON"))
     if level is None:
         return problem
-    needed = {year_field: "int", **({"seed": "bigint"} if level == "national" else {"dataset": "string"})}
+    needed = {"app_version": "string", "dataset": "string", "scenario": "string", year_field: "int",
+              **({"seed": "bigint"} if level == "national" else {})}
     for name, kind in needed.items():
         problem = problem.when(F.try_variant_get(p, f"$.{name}", kind).isNull(), F.lit(f"missing or invalid {name}"))
     return problem
@@ -127,23 +122,83 @@ def quarantined(raw: DataFrame, level: str | None = None, year_field: str = DEFA
     """Params rows that cannot be served, with the reason."""
     return (raw.withColumn("reason", request_problem(level, year_field))
             .where(F.col("reason").isNotNull())
-            .select("params_path", "params_modified", "params_text", "reason"))
+            .select("request_id", "params_path", "params_modified", "params_text", "reason"))
+
+
+def served(spark: SparkSession, ledger: str) -> DataFrame:
+    """The file versions that were served."""
+    if not _exists(spark, ledger):
+        return spark.createDataFrame([], LEDGER_SCHEMA)
+    return spark.read.schema(LEDGER_SCHEMA).parquet(ledger)
 
 
 def drain_queue(
     spark: SparkSession,
     queue_path: str,
-    checkpoint: str,
-    handle_batch: Callable[[DataFrame, int], None],
-    **read_options,
-) -> StreamingQuery:
-    """Process every queued file once and stop (``availableNow``); ``handle_batch(raw, batch_id)``
-    receives each micro-batch of raw params rows. Returns the finished query."""
-    query = (read_requests(spark, queue_path, **read_options)
-             .writeStream
-             .foreachBatch(handle_batch)
-             .option("checkpointLocation", checkpoint)
-             .trigger(availableNow=True)
-             .start())
-    query.awaitTermination()
-    return query
+    ledger: str,
+    handle: Callable[[DataFrame], None],
+    *,
+    clean_source: str | None = None,
+    archive_dir: str | None = None,
+) -> int:
+    """Serve every file version in the queue that is not in ``ledger``; returns how many.
+
+    ``handle(raw)`` receives the params rows; when it returns, they are recorded in the ledger.
+    ``clean_source="delete"`` or ``"archive"`` (to ``archive_dir``) then removes the served files, also
+    those left by a run that died in between. A file that changed in the meantime stays in the queue.
+    """
+    if clean_source not in (None, "delete", "archive") or (clean_source == "archive") != bool(archive_dir):
+        raise ValueError("clean_source is 'delete', or 'archive' with an archive_dir")
+    # Fixed once: a file that changes meanwhile must not be read again under the id of what it was.
+    queue = read_requests(spark, queue_path).checkpoint(eager=True)
+    new = queue.join(served(spark, ledger).select("request_id"), "request_id", "left_anti").checkpoint(eager=True)
+    count = new.count()
+    if count:
+        handle(new)
+        new.select("request_id", "params_path").write.mode("append").parquet(ledger)
+    if clean_source:
+        done = queue.join(served(spark, ledger).select("request_id").distinct(), "request_id", "left_semi")
+        for row in done.select("request_id", "params_path").toLocalIterator():
+            _remove(spark, row["params_path"], row["request_id"], archive_dir)
+    return count
+
+
+def _files(spark: SparkSession, path: str):
+    """A Hadoop path and its file system."""
+    jvm = spark.sparkContext._jvm
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    return at, at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    at, files = _files(spark, path)
+    return files.exists(at)
+
+
+def _remove(spark: SparkSession, params_path: str, request_id: str, archive_dir: str | None) -> None:
+    """Take one served file version out of the queue. The file is renamed aside first, to a name that the
+    queue does not list: what is looked at afterwards cannot change any more, and goes back if it is not
+    the version that was served."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    source = path(spark.sparkContext._jvm.java.net.URI(params_path))  # the listed path is an encoded URI
+    files = source.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not files.exists(source):
+        return
+    aside = path(source.getParent(), f"_taken-{uuid.uuid4().hex}")
+    if not files.rename(source, aside):
+        return
+    modified = files.getFileStatus(aside).getModificationTime()  # milliseconds
+    stream = files.open(aside)
+    text = spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    stream.close()
+    version = F.concat_ws("\n", F.lit(params_path), F.lit(str(modified * 1000)), F.lit(text))
+    if spark.range(1).select(F.sha2(version, 256)).first()[0] != request_id:
+        if not files.exists(source):  # else a newer file took its place already
+            files.rename(aside, source)
+        return
+    if archive_dir:
+        folder, _ = _files(spark, archive_dir)
+        files.mkdirs(folder)
+        files.rename(aside, path(folder, f"{request_id[:16]}-{source.getName()}"))
+    else:
+        files.delete(aside, False)

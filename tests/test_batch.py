@@ -14,9 +14,9 @@ from .conftest import SF_SMALL, rows
 YEARS = (1999, 2000)
 FACTOR_YEARS = (1999, 2000)
 REQUESTS = {
-    "provider": [("p1", "NATION_3", 2000), ("p2", "NATION_7", 1999), ("p3", "NATION_3", 1999)],
-    "region": [("r1", "AFRICA", 2000), ("r2", "ASIA", 2000), ("r3", "AFRICA", 2024)],
-    "national": [("n1", 2000, 0.25, 42), ("n2", 2000, 0.5, 7), ("n3", 2024, 0.125, 3)],
+    "provider": [("p1", "NATION_3", 2000), ("p2", "NATION_7", 1999), ("p3", "NATION_3", 1999), ("p4", "NATION_3", 2000)],
+    "region": [("r1", "AFRICA", 2000), ("r2", "ASIA", 2000), ("r3", "AFRICA", 2024), ("r4", "AFRICA", 2000)],
+    "national": [("n1", 2000, 0.25, 42), ("n2", 2000, 0.5, 7), ("n3", 2024, 0.125, 3), ("n4", 2000, 1.0, 7)],
 }
 
 
@@ -59,12 +59,22 @@ def test_batch_equals_single(spark, level, kind):
     batch.unpersist()
 
 
-@pytest.mark.parametrize("level", ["provider", "national"])
+@pytest.mark.parametrize("level", ["provider", "region", "national"])
 def test_salted_path_equals_broadcast_path(spark, level):
     """Above the broadcast bound the joins are salted; the rows are the same."""
     data = mapped_dataset(spark, SF_SMALL)
     reqs = _requests(spark, level)
-    for kind in ("ip", "op", "inequalities"):
+    for kind in ("ip", "op", "demographic_factors", "hsa_activity"):
         small = extract_all(data, reqs, kind, level, factor_years=FACTOR_YEARS)
         salted = extract_all(data, reqs, kind, level, factor_years=FACTOR_YEARS, max_requests=1, salt_buckets=4)
         assert rows(salted) == rows(small)
+
+
+@pytest.mark.parametrize("kind", ["op", "demographic_factors", "hsa_activity"])
+def test_region_batch_aggregates_before_requests(spark, kind):
+    """No aggregation carries a request id: requests of one cohort share its totals."""
+    data = mapped_dataset(spark, SF_SMALL)
+    df = extract_all(data, _requests(spark, "region"), kind, "region", factor_years=FACTOR_YEARS, id_method="window")
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    aggregates = [line for line in plan.splitlines() if "Aggregate [" in line]
+    assert aggregates and not any("request_id" in line for line in aggregates)

@@ -96,7 +96,7 @@ def test_mixed_year_types_unpivot_to_widest(spark):
 def test_long_to_wide_null_year_and_explicit_years(spark):
     df = spark.createDataFrame([("a", 2020, 1.0), ("a", None, 5.0), ("a", 2021, 2.0)], "k string, year int, v double")
     found = long_to_wide(df, ["k"], F.col("v"))
-    assert found.columns == ["k", "2020", "2021"]
+    assert found.columns == ["k", "null", "2020", "2021"]
     fixed = long_to_wide(df, ["k"], F.col("v"), years=[2020, 2022])
     assert fixed.columns == ["k", "2020", "2022"]
     assert fixed.first()["2022"] is None
@@ -160,7 +160,7 @@ def test_dense_id_range_equals_window(spark):
     for within in ([], ["req"]):
         ranged = dense_id(df, ["k", "j"], within=within, method="range", partitions=6)
         window = dense_id(df, ["k", "j"], within=within, method="window")
-        auto = dense_id(df, ["k", "j"], within=within, window_rows=100)  # over the bound: range
+        auto = dense_id(df, ["k", "j"], within=within)
         assert rows(ranged) == rows(window) == rows(auto)
     ids = [r["rn"] for r in dense_id(df, ["k"], method="range", partitions=4).collect()]
     assert sorted(ids) == list(range(500))
@@ -234,13 +234,39 @@ def test_catchment_join_beyond_the_broadcast_bound(spark):
     assert rows(hinted.select("area_code", "icb", weighted.alias("w"))) == rows(shuffled.select("area_code", "icb", weighted.alias("w")))
 
 
-def test_pivot_value_discovery_is_bounded(spark):
-    from caseload.operators.shape import discover_values
+def test_discovered_pivot_years_are_sorted_and_keep_null(spark):
+    from caseload.operators.shape import long_to_wide
 
-    df = spark.range(50).withColumnRenamed("id", "year")
-    assert discover_values(df, "year", limit=50) == list(range(50))
+    df = spark.createDataFrame([("a", 2021, 1.0), ("a", 2019, 2.0), ("b", None, 4.0), ("b", 2021, 8.0), ("a", 2021, 0.5)],
+                               "k string, year int, v double")
+    out = long_to_wide(df, ["k"], F.col("v"))
+    assert out.columns == ["k", "null", "2019", "2021"]
+    assert rows(out, out.columns) == [("a", None, 2.0, 1.5), ("b", 4.0, None, 8.0)]
+    assert long_to_wide(df.where("k = 'z'"), ["k"], F.col("v")).columns == ["k"]
+
+
+@pytest.mark.parametrize("rate", [0.0, 0.5, 1.0])
+def test_sampling_is_the_same_single_and_in_batch(spark, rate):
+    """NULL keys: kept at rate 1, not below; several keys cannot be sampled by hash in either form."""
+    from caseload.plans.batch import extract_all
+
+    ip = spark.createDataFrame([(None if i % 10 == 0 else i, 2000, "P", "S", "R") for i in range(200)],
+                               "rn long, fyear int, dataset string, sitetret string, icb string")
+    data = Dataset(spark, tables={"ip": ip})
+    reqs = spark.createDataFrame([("q", 2000, rate, 7)], "request_id string, fyear int, sample_rate double, seed long")
+    single = Cohorts(data, Scope.national(rate, 7), 2000).ip()
+    assert rows(extract_all(data, reqs, "ip", "national").drop("request_id")) == rows(single)
+    assert single.where("rn is null").count() == (20 if rate == 1 else 0)
     with pytest.raises(ValueError):
-        discover_values(df, "year", limit=10)
+        Cohorts(data, Scope.national(0.5, 7), 2000, keys=["rn", "dataset"]).ip()
+    with pytest.raises(ValueError):
+        extract_all(data, reqs, "ip", "national", keys=["rn", "dataset"])
+
+
+def test_bernoulli_sample_size(spark):
+    ip = spark.range(20000).selectExpr("id AS rn", "2000 AS fyear", "'P' AS dataset", "'S' AS sitetret", "'R' AS icb")
+    got = Cohorts(Dataset(spark, tables={"ip": ip}), Scope.national(0.25, 3), 2000, sample_method="bernoulli").ip()
+    assert 4700 < got.count() < 5300 and got.select("rn").distinct().count() == got.count()
 
 
 def test_duplicate_episode_keys(spark):

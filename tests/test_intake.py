@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import json
+import os
 
 from pyspark.sql import functions as F
 
 from caseload.plans.job import serve_queue
 from caseload.sources.testdata import mapped_dataset
-from caseload.streaming.intake import drain_queue, request_table
+from caseload.streaming.intake import drain_queue, read_requests, request_table
 
 from .conftest import SF_SMALL
 
@@ -17,23 +18,62 @@ def _write(folder, name, params):
     (folder / name).write_text(params if isinstance(params, str) else json.dumps(params))
 
 
-def test_queue_is_read_once_per_file(spark, tmp_path):
-    queue, ckpt = tmp_path / "queue", tmp_path / "ckpt"
-    queue.mkdir()
-    seen = []
+def _collector(seen):
+    return lambda batch: seen.extend(sorted(r["params_path"].rsplit("/", 1)[1] for r in batch.select("params_path").collect()))
 
-    def collect(batch, _batch_id):
-        seen.extend(r["params_path"] for r in batch.select("params_path").collect())
 
+def test_queue_is_read_once_per_file_version(spark, tmp_path):
+    queue, ledger, seen = tmp_path / "queue", tmp_path / "ledger", []
+    queue.mkdir()
     for i in range(3):
         _write(queue, f"r{i}.json", {"dataset": f"NATION_{i}", "start_year": 2000})
-    drain_queue(spark, str(queue), str(ckpt), collect)
-    assert len(seen) == 3
+    assert drain_queue(spark, str(queue), str(ledger), _collector(seen)) == 3
     _write(queue, "r3.json", {"dataset": "NATION_3", "start_year": 2000})
-    drain_queue(spark, str(queue), str(ckpt), collect)
-    assert len(seen) == 4
-    drain_queue(spark, str(queue), str(ckpt), collect)
-    assert len(seen) == 4
+    assert drain_queue(spark, str(queue), str(ledger), _collector(seen)) == 1
+    assert drain_queue(spark, str(queue), str(ledger), _collector(seen)) == 0
+    assert seen == ["r0.json", "r1.json", "r2.json", "r3.json"]
+
+
+def test_resubmitted_and_old_files_are_served(spark, tmp_path):
+    queue, ledger, seen = tmp_path / "queue", tmp_path / "ledger", []
+    queue.mkdir()
+    _write(queue, "a.json", {"dataset": "NATION_1"})
+    drain_queue(spark, str(queue), str(ledger), _collector(seen))
+    _write(queue, "a.json", {"dataset": "NATION_2"})  # same path, new content
+    _write(queue, "old.json", {"dataset": "NATION_3"})
+    past = (queue / "old.json").stat().st_mtime - 20 * 86400
+    os.utime(queue / "old.json", (past, past))
+    assert drain_queue(spark, str(queue), str(ledger), _collector(seen)) == 2
+    assert seen == ["a.json", "a.json", "old.json"]
+
+
+def test_served_files_are_removed_in_the_same_drain(spark, tmp_path):
+    queue, ledger, archive, seen = tmp_path / "queue", tmp_path / "ledger", tmp_path / "archive", []
+    queue.mkdir()
+    for name in ("r0.json", "r 1.json"):
+        _write(queue, name, {"dataset": name})
+    drain_queue(spark, str(queue), str(ledger), _collector(seen), clean_source="archive", archive_dir=str(archive))
+    assert len(seen) == 2 and [p for p in queue.iterdir() if not p.name.startswith(".")] == []
+    assert sorted(p.name[17:] for p in archive.iterdir() if not p.name.startswith(".")) == ["r 1.json", "r0.json"]
+    _write(queue, "r2.json", {"dataset": "x"})
+    drain_queue(spark, str(queue), str(ledger), _collector(seen), clean_source="delete")
+    assert len(seen) == 3 and not (queue / "r2.json").exists()
+
+
+def test_a_file_that_changes_while_it_is_served_stays(spark, tmp_path):
+    queue, ledger, seen = tmp_path / "queue", tmp_path / "ledger", []
+    queue.mkdir()
+    _write(queue, "a.json", {"dataset": "first"})
+
+    def slow(batch):
+        seen.extend(r["params_text"] for r in batch.collect())
+        if len(seen) == 1:
+            _write(queue, "a.json", {"dataset": "second"})
+
+    drain_queue(spark, str(queue), str(ledger), slow, clean_source="delete")
+    assert (queue / "a.json").exists() and len(seen) == 1
+    drain_queue(spark, str(queue), str(ledger), slow, clean_source="delete")
+    assert [json.loads(t)["dataset"] for t in seen] == ["first", "second"] and not (queue / "a.json").exists()
 
 
 def test_request_table_types_and_stamp(spark, tmp_path):
@@ -41,11 +81,8 @@ def test_request_table_types_and_stamp(spark, tmp_path):
     queue.mkdir()
     _write(queue, "a.json", {"app_version": "v1", "dataset": "NATION_3", "scenario": "s", "seed": 7,
                              "start_year": 2000, "nested": {"x": 1}})
-    raw = (spark.read.format("text").option("wholetext", "true").load(str(queue))
-           .select(F.col("_metadata.file_path").alias("params_path"),
-                   F.col("_metadata.file_modification_time").alias("params_modified"),
-                   F.col("value").alias("params_text"), F.try_parse_json("value").alias("params")))
-    r = request_table(raw).first()
+    r = request_table(read_requests(spark, str(queue))).first()
+    assert r["metadata"]["create_datetime"] == r["create_datetime"]
     assert (r["code"], r["fyear"], r["seed"], r["scenario"]) == ("NATION_3", 2000, 7, "s")
     assert len(r["create_datetime"]) == 15 and r["create_datetime"][8] == "_"
     assert "nested" not in r["metadata"] and r["metadata"]["seed"] == "7"
@@ -78,10 +115,10 @@ def test_write_extracts_replaces_only_touched_partitions(spark, tmp_path):
 
     out = str(tmp_path / "out")
     first = spark.createDataFrame(
-        [("v1", "A", "s", "t1", 1), ("v1", "B", "s", "t1", 2)],
-        "app_version string, run_dataset string, scenario string, create_datetime string, x int")
+        [("v1", "A", "s", "t1", "q", 1), ("v1", "B", "s", "t1", "q", 2)],
+        "app_version string, run_dataset string, scenario string, create_datetime string, request_id string, x int")
     write_extracts(first, out)
-    write_extracts(spark.createDataFrame([("v1", "A", "s", "t1", 10)], first.schema), out)
+    write_extracts(spark.createDataFrame([("v1", "A", "s", "t1", "q", 10)], first.schema), out)
     got = sorted((r["run_dataset"], r["x"]) for r in spark.read.parquet(out).collect())
     assert got == [("A", 10), ("B", 2)]
 
@@ -96,24 +133,21 @@ def test_cached_releases(spark):
     assert not df.is_cached
 
 
-def test_clean_source_archives_after_commit(spark, tmp_path):
-    """A params file leaves the queue only after the batch that read it is committed (the next
-    run archives it); it is never read twice."""
-    queue, ckpt, archive = tmp_path / "queue", tmp_path / "ckpt", tmp_path / "archive"
+def test_requests_with_the_same_labels_and_second_do_not_replace_each_other(spark, tmp_path):
+    queue, out, bad = tmp_path / "queue", tmp_path / "out", tmp_path / "out" / "_quarantine"
     queue.mkdir()
-    seen = []
-
-    def collect(batch, _batch_id):
-        seen.extend(r["params_path"] for r in batch.select("params_path").collect())
-
-    for i in range(2):
-        _write(queue, f"r{i}.json", {"dataset": f"NATION_{i}"})
-    drain_queue(spark, str(queue), str(ckpt), collect, clean_source="archive", archive_dir=str(archive))
-    _write(queue, "r9.json", {"dataset": "NATION_9"})
-    drain_queue(spark, str(queue), str(ckpt), collect, clean_source="archive", archive_dir=str(archive))
-    assert len(seen) == 3
-    assert sorted(p.name for p in queue.iterdir()) == ["r9.json"]
-    assert sorted(p.name for p in archive.rglob("*.json")) == ["r0.json", "r1.json"]
+    data = mapped_dataset(spark, SF_SMALL)
+    params = {"app_version": "v1", "dataset": "NATION_3", "scenario": "s", "start_year": 2000}
+    for name, more in (("a.json", {"x": 1}), ("b.json", {"x": 2})):
+        _write(queue, name, params | more)
+        os.utime(queue / name, (1_700_000_000, 1_700_000_000))
+        serve_queue(spark, data, str(queue), str(out), str(tmp_path / "ledger"), "provider", kinds=["inequalities"])
+    assert spark.read.json(str(out / "_runs")).count() == 2
+    assert spark.read.parquet(str(out / "inequalities")).select("request_id").distinct().count() == 2
+    # labels are required, and bad requests are kept without being asked to
+    _write(queue, "c.json", {k: v for k, v in params.items() if k != "app_version"})
+    serve_queue(spark, data, str(queue), str(out), str(tmp_path / "ledger"), "provider", kinds=["inequalities"], clean_source="delete")
+    assert [r["reason"] for r in spark.read.parquet(str(bad)).collect()] == ["missing or invalid app_version"]
 
 
 def test_command_line_serves_the_queue(spark, tmp_path):
@@ -125,15 +159,15 @@ def test_command_line_serves_the_queue(spark, tmp_path):
     queue.mkdir()
     _write(queue, "r.json", {"app_version": "v1", "dataset": "AFRICA", "scenario": "s", "seed": 3, "start_year": 2000})
     main(["serve", "--level", "region", "--data", str(data_dir), "--queue", str(queue), "--out", str(out),
-          "--checkpoint", str(tmp_path / "ckpt"), "--table", f"hsa_activity_tables_national={data_dir}/hsa_activity_tables_icb"])
+          "--ledger", str(tmp_path / "ledger"), "--table", f"hsa_activity_tables_national={data_dir}/hsa_activity_tables_icb"])
     op = spark.read.parquet(str(out / "op"))
     assert op.count() > 0 and {"rn", "attendances", "run_dataset"} <= set(op.columns)
-    assert sorted(p.name for p in out.iterdir() if not p.name.startswith("_") or p.name == "_runs") == sorted(
+    assert sorted(p.name for p in out.iterdir() if not p.name.startswith(("_", ".")) or p.name == "_runs") == sorted(
         ["_runs", "aae", "birth_factors", "demographic_factors", "hsa_activity", "inequalities", "op"])
 
 
 def test_replayed_batch_rewrites_the_same_output(spark, tmp_path):
-    """A batch processed again (e.g. after a driver failure before the checkpoint commit) writes
+    """A batch processed again (e.g. after a driver failure before the ledger entry) writes
     the same partitions with the same rows: stamps come from file times, writes overwrite."""
     queue, out = tmp_path / "queue", tmp_path / "out"
     queue.mkdir()
@@ -164,27 +198,26 @@ def test_write_extracts_rebalances_by_run(spark):
     from caseload.sources.sinks import RUN_PARTITIONS, rebalanced
 
     df = spark.range(100).selectExpr("'v' AS app_version", "CAST(id % 3 AS STRING) AS run_dataset",
-                                     "'s' AS scenario", "'t' AS create_datetime", "id")
+                                     "'s' AS scenario", "'t' AS create_datetime", "'r' AS request_id", "id")
     plan = rebalanced(df, RUN_PARTITIONS)._jdf.queryExecution().optimizedPlan().toString()
     assert "RebalancePartitions" in plan
 
 
 def test_failed_batch_stays_queued_and_is_served_on_restart(spark, tmp_path):
     import pytest
-    from pyspark.errors import StreamingQueryException
 
     queue, ckpt = tmp_path / "queue", tmp_path / "ckpt"
     queue.mkdir()
     _write(queue, "a.json", {"dataset": "NATION_3", "start_year": 2000})
     seen, attempts = [], []
 
-    def flaky(batch, _batch_id):
+    def flaky(batch):
         attempts.append(1)
         if len(attempts) == 1:
             raise RuntimeError("lost the job mid-batch")
         seen.extend(r["params_path"] for r in batch.select("params_path").collect())
 
-    with pytest.raises(StreamingQueryException):
+    with pytest.raises(RuntimeError):
         drain_queue(spark, str(queue), str(ckpt), flaky, clean_source="delete")
     assert seen == [] and (queue / "a.json").exists()  # not committed: still queued
     drain_queue(spark, str(queue), str(ckpt), flaky, clean_source="delete")
