@@ -16,6 +16,15 @@ from caseload.sources import dataset as names
 
 # Tables keyed by the episode id.
 EPISODE_TABLES = (names.IP, *names.STRATEGY_TABLES.values())
+# Target size of a bucket, and Spark's own default limit of buckets (spark.sql.sources.bucketing.maxBuckets).
+BUCKET_BYTES = 256 * 1024 * 1024
+MAX_BUCKETS = 100_000
+
+
+def buckets_for(df: DataFrame, bucket_bytes: int = BUCKET_BYTES) -> int:
+    """Buckets of about ``bucket_bytes`` by Catalyst's size estimate of ``df`` (file sizes, for a plain scan)."""
+    estimate = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    return max(1, min(-(-estimate // bucket_bytes), MAX_BUCKETS))
 
 
 def write_table(
@@ -29,20 +38,26 @@ def write_table(
 ) -> None:
     """Save ``df`` as a catalog table ``name`` stored at ``path`` (parquet), partitioned by
     ``partition_by`` and, when ``bucket_by`` is given, bucketed (and sorted) into ``buckets``."""
+    if bucket_by:
+        if not buckets:
+            raise ValueError("bucketing needs a bucket count")
+        # Tasks get whole buckets (the shuffle's hash is the buckets'): one file per bucket and partition
+        # instead of one from every task.
+        df = df.repartition(buckets, *bucket_by)
     writer = df.write.mode(mode).format("parquet").option("path", path)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     if bucket_by:
-        if not buckets:
-            raise ValueError("bucketing needs a bucket count")
         writer = writer.bucketBy(buckets, *bucket_by).sortBy(*bucket_by)
     writer.saveAsTable(name)
 
 
 def write_episode_tables(tables: dict[str, DataFrame], root: str, database: str | None = None,
-                         buckets: int = 64) -> dict[str, str]:
-    """Write the episode-keyed tables bucketed by ``rn`` (same bucket count) and partitioned by
-    ``fyear``; return the table-name overrides for :class:`~caseload.sources.dataset.Dataset`."""
+                         buckets: int | None = None) -> dict[str, str]:
+    """Write the episode-keyed tables bucketed by ``rn`` (same bucket count, by default enough for the
+    largest table's estimated bytes) and partitioned by ``fyear``; return the table-name overrides for
+    :class:`~caseload.sources.dataset.Dataset`."""
+    buckets = buckets or max(buckets_for(tables[name]) for name in EPISODE_TABLES if name in tables)
     out = {}
     for name in EPISODE_TABLES:
         if name not in tables:
