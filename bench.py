@@ -130,7 +130,7 @@ def main() -> None:
     for level, scope in scopes.items():
         for kind in EXTRACTS:
             year = AAE_YEAR if kind == "aae" else YEAR
-            c = Cohorts(data, scope, year, factor_years=(1999, 2000))
+            c = Cohorts(data, scope, year)
             times[f"{level}_{kind}"] = twice(lambda c=c, kind=kind: run(extract(c, kind)), f"{level}_{kind}")
 
     # one plan for many requests against one plan per request; request tables derived by Spark
