@@ -24,12 +24,15 @@ from itertools import combinations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from caseload.llm.components import components
 from caseload.llm.storage import BROADCAST_IDS, stored, without_ids
+from caseload.llm.tokens import slices
+from caseload.llm.worker import map_batches
 
 #: (bits, tolerance) of each segment, from the lowest bit: 22-bit keys keep tables sparse up to about 10^8 texts.
 SEGMENTS = ((22, 1), (21, 1), (21, 0))
@@ -71,11 +74,13 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
 def with_fingerprint(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                      shingle: int = SHINGLE) -> DataFrame:
     """(doc_id, fp) for every row of ``docs``."""
-    @F.pandas_udf("long")
-    def simhash(texts: pd.Series) -> pd.Series:
-        return pd.Series([fingerprint(t, shingle) for t in texts], dtype="int64")
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in (part for batch in batches for part in slices(batch)):
+            fps = pa.array([fingerprint(t, shingle) for t in part.column("text").to_pylist()], pa.int64())
+            yield pa.RecordBatch.from_arrays([part.column("doc_id"), fps], ["doc_id", "fp"])
 
-    return docs.select(F.col(id_col).alias("doc_id"), simhash(F.col(text_col)).alias("fp"))
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    return map_batches(rows, run, f"doc_id {dict(rows.dtypes)['doc_id']}, fp long")
 
 
 def _masks(bits: int, tolerance: int) -> list[int]:
@@ -108,7 +113,7 @@ def _forest(members: np.ndarray, max_bits: int) -> tuple[np.ndarray, np.ndarray]
                 left.append(np.full(len(found), at))
                 right.append(found)
                 queue.extend(found)
-    none = np.zeros(0, np.int64)
+    none = np.zeros(0, np.uint64)
     return (np.concatenate(left), np.concatenate(right)) if left else (none, none)
 
 
@@ -134,7 +139,7 @@ def _verify(keys: np.ndarray, fps: np.ndarray, table: np.ndarray, max_bits: int)
         a, b = _forest(fps[s:s + n], max_bits)
         left.append(a)
         right.append(b)
-    none = np.zeros(0, np.int64)
+    none = np.zeros(0, np.uint64)
     return (np.concatenate(left), np.concatenate(right)) if left else (none, none)
 
 
@@ -162,8 +167,9 @@ def _links(rows: pd.DataFrame, max_bits: int) -> pd.DataFrame:
         return pd.DataFrame({"u": np.zeros(0, np.int64), "v": np.zeros(0, np.int64)})
     key, block = rows["key"].to_numpy(), rows["block"].to_numpy()
     group = np.cumsum(np.r_[0, (key[1:] != key[:-1]) | (block[1:] != block[:-1])])
-    a, b = _verify(group, rows["fp"].to_numpy(), rows["table"].to_numpy(), max_bits)
-    return pd.DataFrame({"u": a, "v": b}).drop_duplicates()
+    # Unsigned: numpy counts the bits of a negative number's absolute value.
+    a, b = _verify(group, rows["fp"].to_numpy().view(np.uint64), rows["table"].to_numpy(), max_bits)
+    return pd.DataFrame({"u": a.view(np.int64), "v": b.view(np.int64)}).drop_duplicates()
 
 
 def links(fps: DataFrame, max_bits: int = MAX_BITS, segments=SEGMENTS, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
@@ -204,7 +210,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     linked = roots.join(distinct, roots["node"] == distinct["fp"]).select("node", "root", "first_id")
     least = linked.groupBy("root").agg(F.min("first_id").alias("component"))
     classes = linked.join(least, "root").select(F.col("node").alias("fp"), "component")
-    own = distinct.join(classes, "fp", "left").select("fp", F.coalesce("component", "first_id").alias("component_id"))
+    # Stored, so that the last join stands alone on its shuffles and a fingerprint with very many copies can be split.
+    own = stored(distinct.join(classes, "fp", "left").select("fp", F.coalesce("component", "first_id").alias("component_id")),
+                 "fingerprint-classes")
     return rows.join(own, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 

@@ -19,11 +19,16 @@ import hashlib
 import json
 import os
 import re
+from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
-#: Distinct chunks that a worker keeps in each of two generations (about 50 MB).
-CACHED_CHUNKS = 300_000
+from caseload.llm.worker import kept
+
+#: Distinct chunks that a worker keeps in each of two generations (about 15 MB).
+CACHED_CHUNKS = 80_000
 
 _ODD_SPACE = re.compile(r"[\x0b\x0c\x1c-\x1f\x85]")
 
@@ -147,25 +152,32 @@ class Encoder:
         return out
 
 
-_ENCODERS: dict[str, Encoder] = {}
-
-
 def encoder(content: str) -> Encoder:
     """The encoder of a tokenizer file's content, built once per Python worker."""
-    if content not in _ENCODERS:
-        _ENCODERS.clear()
-        _ENCODERS[content] = Encoder(content)
-    return _ENCODERS[content]
+    return kept(("tokenizer", content), lambda: Encoder(content))
 
 
-def text_batches(columns: list, max_chars: int = 4_000_000):
+def text_batches(texts: list[str | None], max_chars: int = 1_000_000) -> Iterator[tuple[int, int]]:
     """Cut a list of texts into index ranges of at most ``max_chars`` characters (one text at least)."""
+    return ranges([len(t) if t else 0 for t in texts], max_chars)
+
+
+def ranges(sizes: list[int], most: int) -> Iterator[tuple[int, int]]:
+    """Index ranges whose sizes sum to at most ``most`` (one index at least)."""
     begin, held = 0, 0
-    for i, text in enumerate(columns):
-        size = len(text) if text else 0
-        if held and held + size > max_chars:
+    for i, size in enumerate(sizes):
+        if held and held + size > most:
             yield begin, i
             begin, held = i, 0
         held += size
-    if begin < len(columns):
-        yield begin, len(columns)
+    if begin < len(sizes):
+        yield begin, len(sizes)
+
+
+def slices(batch: pa.RecordBatch, max_bytes: int = 1_000_000, column: str = "text") -> Iterator[pa.RecordBatch]:
+    """Cut a batch into slices of at most ``max_bytes`` of its text column (one row at least), so that few texts are Python
+    objects at a time."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()
+    for a, b in ranges(sizes, max_bytes):
+        yield batch.slice(a, b - a)
+    pa.default_memory_pool().release_unused()
