@@ -17,6 +17,7 @@ of the input are ignored.
 from __future__ import annotations
 
 from collections.abc import Callable
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -25,6 +26,8 @@ from caseload.llm.storage import BROADCAST_IDS, stored
 
 MAX_EDITS = 2
 MIN_CHARS = 20
+#: Stands for a missing doc_id: below every 64-bit integer.
+NO_ID = -(1 << 63) - 1
 
 
 def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -144,16 +147,19 @@ def _band(text: Column, pattern: Column, max_edits: int) -> Column:
 
 
 def distinct_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Stored: line, id, and where it first comes (first_doc, first_place)."""
-    lines = _lines(docs, id_col, text_col)
-    # Two aggregations of fixed-size values: the first place inside each document, then the first document.
-    once = lines.groupBy("line", "doc_id").agg(F.min("place").alias("place"))
-    firsts = once.groupBy("line").agg(F.min("doc_id").alias("first_doc"),
-                                      F.min(F.when(F.col("doc_id").isNull(), F.col("place"))).alias("null_place"),
-                                      F.min_by("place", "doc_id").alias("place"))
-    firsts = firsts.select("line", F.when(F.col("null_place").isNull(), F.col("first_doc")).alias("first_doc"),
-                           F.coalesce("null_place", "place").alias("first_place"))
-    return stored(firsts.withColumn("id", F.monotonically_increasing_id()), "lines")
+    """Stored: line, id, and where it first comes (first_doc, first_place).
+
+    One aggregation moves every distinct line once. Its only value is the least (doc_id, place), as one number, so that it
+    is a hash aggregation of fixed size.
+    """
+    span = 1 << 32
+    doc = F.coalesce(F.col("doc_id").cast("decimal(20,0)"), F.lit(Decimal(NO_ID)).cast("decimal(20,0)"))
+    first = (doc * F.lit(span).cast("decimal(11,0)") + F.col("place")).cast("decimal(38,0)")
+    firsts = _lines(docs, id_col, text_col).groupBy("line").agg(F.min(first).alias("first"))
+    place = F.pmod("first", F.lit(span).cast("decimal(38,0)"))
+    found = ((F.col("first") - place) / F.lit(span)).cast("decimal(20,0)")
+    return stored(firsts.select("line", F.when(found != F.lit(Decimal(NO_ID)), found).cast("long").alias("first_doc"),
+                                place.cast("int").alias("first_place"), F.monotonically_increasing_id().alias("id")), "lines")
 
 
 def near_pairs(lines: DataFrame, max_edits: int = MAX_EDITS, min_chars: int = MIN_CHARS) -> DataFrame:
@@ -178,8 +184,7 @@ def near_pairs(lines: DataFrame, max_edits: int = MAX_EDITS, min_chars: int = MI
 
 def _before(doc: str, place: str, other_doc: str, other_place: str) -> Column:
     """Whether one first occurrence comes before another; a null document comes first."""
-    no_id = F.lit(-1 << 63)
-    d, o = F.coalesce(F.col(doc), no_id), F.coalesce(F.col(other_doc), no_id)
+    d, o = (F.coalesce(F.col(c).cast("decimal(20,0)"), F.lit(Decimal(NO_ID)).cast("decimal(20,0)")) for c in (doc, other_doc))
     return (d < o) | ((d == o) & (F.col(place) < F.col(other_place)))
 
 
