@@ -30,6 +30,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from caseload.llm.storage import stored, without_ids
+from caseload.llm.tokens import slices
+from caseload.llm.worker import map_batches
 
 WINDOW = 10
 SLOP = 3
@@ -63,7 +65,7 @@ def _indexer(vocabulary: dict[bytes, int]):
     """Adds the position lists of the vocabulary's terms to rows (doc_id, n_words, text, ...)."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         look_up = vocabulary.get
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole)):
             terms, counts, positions = [], [], []
             for text in batch.column("text").to_pylist():
                 found = words(text)
@@ -81,7 +83,7 @@ def _indexer(vocabulary: dict[bytes, int]):
 
 
 def _word_counts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in (part for whole in batches for part in slices(whole)):
         text = batch.column("text")
         n = pa.array([len(words(t)) for t in text.to_pylist()], pa.int64())
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), n, text], ["doc_id", "n_words", "text"])
@@ -92,11 +94,11 @@ def build_index(docs: DataFrame, vocabularies: list[dict[bytes, int]], id_col: s
     """The stored positional index of ``docs``: doc_id, n_words, and for vocabulary b (word -> number) the columns
     terms_b, counts_b and positions_b (the terms' position lists one after the other)."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    rows = rows.mapInArrow(_word_counts, "doc_id long, n_words long, text string")
+    rows = map_batches(rows, _word_counts, "doc_id long, n_words long, text string")
     lists = ("terms", "counts", "positions")
     for b, vocabulary in enumerate(vocabularies):
         schema = ", ".join(f"{c} {t}" for c, t in rows.dtypes) + "".join(f", {c} array<int>" for c in lists)
-        rows = rows.mapInArrow(_indexer(vocabulary), schema).withColumnsRenamed({c: f"{c}_{b}" for c in lists})
+        rows = map_batches(rows, _indexer(vocabulary), schema).withColumnsRenamed({c: f"{c}_{b}" for c in lists})
     return stored(rows.drop("text"), "positional-index")
 
 
@@ -197,7 +199,7 @@ def phrase_matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id"
     for b, items in enumerate(coded):
         phrases = Phrases(items, term_frequencies(index, b), window)
         kept = [(c, t) for c, t in found.dtypes if c not in (f"terms_{b}", f"counts_{b}", f"positions_{b}", "hits", "near")]
-        found = found.mapInArrow(_matcher(phrases, b, slop), ", ".join(f"{c} {t}" for c, t in kept) + ", " + _HITS)
+        found = map_batches(found, _matcher(phrases, b, slop), ", ".join(f"{c} {t}" for c, t in kept) + ", " + _HITS)
     return found
 
 

@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from caseload.llm.tokens import slices
+from caseload.llm.worker import map_batches
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
@@ -259,4 +260,4 @@ def extract_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url"
     rows = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"))
     kinds = dict(rows.dtypes)
     schema = f"page_id {kinds['page_id']}, url {kinds['url']}, text string, n_chars long"
-    return rows.mapInArrow(_extractor(tree), schema)
+    return map_batches(rows, _extractor(tree), schema)

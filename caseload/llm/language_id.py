@@ -18,12 +18,16 @@ from __future__ import annotations
 
 import json
 import re
+from collections.abc import Iterable, Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from caseload.llm.tokens import slices, text_batches
+from caseload.llm.worker import kept, map_batches
+
 UNKNOWN = "und"
 #: Characters of a text that one lane parses.
 LANE = 1024
@@ -34,7 +38,8 @@ SAMPLE_CHARS = 48_000
 MAX_LANGUAGES = 64
 #: Share of a sample held back from the automaton to measure the language's own phrase rate.
 HELD_BACK = 0.25
-#: Lanes advanced together.
+#: Characters looked at together, and lanes advanced together.
+BATCH_CHARS = 3_000_000
 WIDTH = 8192
 
 _NOT_LETTERS = re.compile(r"[\W\d_]+")
@@ -42,7 +47,8 @@ _NOT_LETTERS = re.compile(r"[\W\d_]+")
 
 def normalised(text: str | None) -> str:
     """Lower-case letters with single spaces between words; empty if the text has no letter."""
-    return _NOT_LETTERS.sub(" ", (text or "").lower()).strip()
+    cleaned = _NOT_LETTERS.sub(" ", (text or "").lower()).strip()
+    return cleaned if any(map(str.isalpha, cleaned)) else ""  # not for numerals such as one half
 
 
 def suffix_automaton(text: str) -> list[dict[str, int]]:
@@ -81,11 +87,11 @@ class CrossParser:
     def __init__(self, samples: dict[str, str]):
         self.languages = sorted(samples)
         alphabet = sorted({ch for s in samples.values() for ch in s})
-        self.width = len(alphabet) + 2  # 0: no character (a lane's padding), last: characters of no sample
+        self.width = len(alphabet) + 1  # the last class: characters of no sample
         # Letters outside the samples share one class; the class of a code point is a table lookup.
         self.classes = np.full(0x110000, self.width - 1, np.uint8 if self.width < 256 else np.uint16)
         for k, ch in enumerate(alphabet):
-            self.classes[ord(ch)] = k + 1
+            self.classes[ord(ch)] = k
         tables, starts, size = [], [], 0
         for lang in self.languages:
             sample = samples[lang]
@@ -130,11 +136,9 @@ class CrossParser:
     def _parse(self, classes: np.ndarray, begin: np.ndarray, size: np.ndarray) -> np.ndarray:
         """Phrases of each lane in each language; lanes are sorted by falling size."""
         n, width = len(begin), self.width
-        columns = np.zeros((int(size[0]), n), np.int32)
-        step = np.arange(int(size[0]))
-        inside = step[:, None] < size[None, :]
-        np.copyto(columns, classes[np.minimum(begin[None, :] + step[:, None], len(classes) - 1)], where=inside)
-        active = inside.sum(axis=1)
+        step = np.arange(int(size[0]), dtype=np.int32)
+        active = n - np.searchsorted(size[::-1], step, side="right")
+        columns = classes[np.minimum(begin.astype(np.int32)[None, :] + step[:, None], np.int32(len(classes) - 1))]
         counts = np.zeros((len(self.languages), n), np.int32)
         for j, start in enumerate(self.starts):
             root = int(start) * width
@@ -157,6 +161,10 @@ class CrossParser:
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
         """The language and score of each text: the score is 1 - best / second-best normalised rate, squashed to 0..1."""
+        parts = [self._predict(texts[a:b]) for a, b in text_batches(texts, BATCH_CHARS)]
+        return [lang for langs, _ in parts for lang in langs], np.concatenate([np.zeros(0), *(s for _, s in parts)])
+
+    def _predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
         clean = [normalised(t) for t in texts]
         found = np.flatnonzero([bool(t) for t in clean]) if self.languages else np.zeros(0, np.int64)
         langs, scores = [UNKNOWN] * len(texts), np.zeros(len(texts))
@@ -202,27 +210,12 @@ def labelled_sample(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return out
 
 
-_PARSERS: dict[str, CrossParser] = {}
-
-
-def _parser(model: str) -> CrossParser:
-    """The parser of a sample, built once per Python worker."""
-    if model not in _PARSERS:
-        _PARSERS.clear()
-        _PARSERS[model] = CrossParser(json.loads(model))
-    return _PARSERS[model]
-
-
-def language_udf(samples: dict[str, str]):
-    """A column function text -> struct(lang, score)."""
-    model = json.dumps(samples, sort_keys=True)
-
-    @F.pandas_udf("lang string, score double")
-    def identify(texts: pd.Series) -> pd.DataFrame:
-        langs, scores = _parser(model).predict([None if t is None else t for t in texts])
-        return pd.DataFrame({"lang": langs, "score": scores})
-
-    return identify
+def _identified(model: str, batches: Iterable[pa.RecordBatch], text_col: str) -> Iterator[tuple[pa.RecordBatch, list[str], np.ndarray]]:
+    """Slices of the batches with their texts' languages and scores."""
+    for batch in batches:
+        for part in slices(batch, column=text_col, max_bytes=BATCH_CHARS):
+            parser = kept(("languages", model), lambda: CrossParser(json.loads(model)))
+            yield part, *parser.predict(part.column(text_col).to_pylist())
 
 
 def held_out_fold(id_col: str = "doc_id") -> Column:
@@ -233,18 +226,29 @@ def held_out_fold(id_col: str = "doc_id") -> Column:
 def identify_languages(docs: DataFrame, learn_from: Column | None = None, id_col: str = "doc_id",
                        text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """One row per input row: doc_id, lang_pred, score. ``learn_from``: the rows whose labels may be used."""
-    samples = labelled_sample(docs if learn_from is None else docs.where(learn_from), id_col, text_col, lang_col)
-    found = docs.select(F.col(id_col).alias("doc_id"), language_udf(samples)(F.col(text_col)).alias("found"))
-    return found.select("doc_id", F.col("found.lang").alias("lang_pred"), F.col("found.score").alias("score"))
+    model = _model(docs, learn_from, id_col, text_col, lang_col)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, langs, scores in _identified(model, batches, "text"):
+            yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(langs, pa.string()), pa.array(scores)],
+                                             ["doc_id", "lang_pred", "score"])
+
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    return map_batches(rows, run, f"doc_id {dict(rows.dtypes)['doc_id']}, lang_pred string, score double")
 
 
 def keep_identified(docs: DataFrame, learn_from: Column | None = None, min_score: float = 0.0,
                     id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """The rows of ``docs`` with a known language and a score of at least ``min_score``, with their columns."""
-    samples = labelled_sample(docs if learn_from is None else docs.where(learn_from), id_col, text_col, lang_col)
-    identify = language_udf(samples)
-    if not samples:
-        return docs.where(F.lit(False))
-    columns = [docs[c] for c in docs.columns]
-    found = docs.select(*columns, identify(docs[text_col]).alias("_identified"))
-    return found.where((F.col("_identified.lang") != UNKNOWN) & (F.col("_identified.score") >= min_score)).drop("_identified")
+    model = _model(docs, learn_from, id_col, text_col, lang_col)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, langs, scores in _identified(model, batches, text_col):
+            yield part.filter(pa.array([lang != UNKNOWN and score >= min_score for lang, score in zip(langs, scores)], pa.bool_()))
+
+    return map_batches(docs, run, docs.schema)
+
+
+def _model(docs: DataFrame, learn_from: Column | None, id_col: str, text_col: str, lang_col: str) -> str:
+    learned = docs if learn_from is None else docs.where(learn_from)
+    return json.dumps(labelled_sample(learned, id_col, text_col, lang_col), sort_keys=True)

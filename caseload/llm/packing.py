@@ -29,12 +29,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from caseload.llm.tokens import encoder, read_tokenizer, text_batches
+from caseload.llm.tokens import encoder, read_tokenizer, slices
+from caseload.llm.worker import map_batches
 
 #: Context sizes, powers of two.
 TIERS = (2048, 1024, 512, 256)
 #: Tokens that a task pools before it packs them.
-POOL_TOKENS = 2_000_000
+POOL_TOKENS = 1_000_000
 #: Tokens of a step group.
 STEP_TOKENS = 65_536
 
@@ -185,10 +186,10 @@ def _packer(content: str, end_id: int | None, tiers, pool_tokens: int, step_toke
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pool = _Pool(tiers, step_tokens)
         for batch in batches:
-            ids, texts = batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()
-            for a, b in text_batches(texts):
-                for doc_id, coded in zip(ids[a:b], encoder(content).encode(texts[a:b])):
-                    pool.add(doc_id, coded + end)
+            for part in slices(batch):
+                coded = encoder(content).encode(part.column("text").to_pylist())
+                for doc_id, ids in zip(part.column("doc_id").to_pylist(), coded):
+                    pool.add(doc_id, ids + end)
                 if pool.tokens >= pool_tokens:
                     yield pool.packed(False)
         if pool.docs:
@@ -204,4 +205,4 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, end_id: int | None = 1,
     if any(t & (t - 1) for t in tiers):
         raise ValueError("tiers must be powers of two")
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(_packer(read_tokenizer(tokenizer_path), end_id, tuple(tiers), pool_tokens, step_tokens), SCHEMA)
+    return map_batches(rows, _packer(read_tokenizer(tokenizer_path), end_id, tuple(tiers), pool_tokens, step_tokens), SCHEMA)

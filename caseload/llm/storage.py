@@ -20,7 +20,7 @@ def shared_folder(spark: SparkSession, name: str) -> str:
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written as Parquet to the shared folder and read again (its lineage ends there)."""
     path = shared_folder(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -19,7 +19,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from caseload.llm.tokens import encoder, read_tokenizer, text_batches, tokenizer_version
+from caseload.llm.tokens import encoder, read_tokenizer, slices, tokenizer_version
+from caseload.llm.worker import map_batches
 
 CACHE_SCHEMA = "digest binary, tokenizer string, n_tokens long"
 
@@ -36,11 +37,9 @@ def read_cache(spark: SparkSession, cache: str) -> DataFrame:
 def _counter(content: str):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column("text").to_pylist()
-            counts: list[int] = []
-            for a, b in text_batches(texts):
-                counts += [len(ids) // 4 for ids in encoder(content).encode(texts[a:b])]
-            yield pa.RecordBatch.from_arrays([batch.column("digest"), pa.array(counts, pa.int64())], ["digest", "n_tokens"])
+            for part in slices(batch):
+                counts = [len(ids) // 4 for ids in encoder(content).encode(part.column("text").to_pylist())]
+                yield pa.RecordBatch.from_arrays([part.column("digest"), pa.array(counts, pa.int64())], ["digest", "n_tokens"])
 
     return run
 
@@ -57,7 +56,7 @@ def count_tokens(docs: DataFrame, tokenizer_path: str, cache: str, id_col: str =
     known = read_cache(spark, cache).where(F.col("tokenizer") == version).select("digest").distinct()
     distinct = rows.select(digest.alias("digest"), "text").distinct()
     misses = distinct.join(known, "digest", "left_anti")
-    counted = misses.mapInArrow(_counter(content), "digest binary, n_tokens long")
+    counted = map_batches(misses, _counter(content), "digest binary, n_tokens long")
     counted.select("digest", F.lit(version).alias("tokenizer"), "n_tokens").write.mode("append").parquet(cache)
     counts = (read_cache(spark, cache).where(F.col("tokenizer") == version)
               .groupBy("digest").agg(F.min("n_tokens").alias("n_tokens")))

@@ -22,7 +22,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from caseload.llm.range_coder import LANES, decode_blocks, encode_blocks, rank_table
-from caseload.llm.tokens import encoder, read_tokenizer, text_batches
+from caseload.llm.tokens import encoder, read_tokenizer, slices
+from caseload.llm.worker import map_batches
 
 #: Ids of a block, and of a segment that is cut after the document that reaches this many.
 BLOCK_IDS = 2048
@@ -59,9 +60,9 @@ def _writer(content: str, end_id: int | None, segment_ids: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard, number, held, size = TaskContext.get().partitionId(), 0, [], 0
         for batch in batches:
-            ids, texts = batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()
-            for a, b in text_batches(texts):
-                for doc_id, coded in zip(ids[a:b], encoder(content).encode(texts[a:b])):
+            for part in slices(batch):
+                texts = part.column("text").to_pylist()
+                for doc_id, coded in zip(part.column("doc_id").to_pylist(), encoder(content).encode(texts)):
                     held.append((doc_id, coded + end))
                     size += len(coded) // 4 + len(end) // 4
                     if size >= segment_ids:
@@ -78,7 +79,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer_path: str, end_id:
     """Write the ids of ``docs`` to ``folder`` (a path that executors share)."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     ordered = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
-    ordered.mapInArrow(_writer(read_tokenizer(tokenizer_path), end_id, segment_ids), SCHEMA).write.parquet(folder)
+    map_batches(ordered, _writer(read_tokenizer(tokenizer_path), end_id, segment_ids), SCHEMA).write.parquet(folder)
 
 
 def _documents(row: dict) -> Iterator[tuple[int | None, int, np.ndarray]]:

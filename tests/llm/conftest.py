@@ -16,7 +16,7 @@ def frame(spark, rows, partitions=3):
 
 
 EDGE_TEXTS = [None, "", " ", "\n", "a", "!!!", "A b", "word " * 30_000, "é ü ß", "same text here", "same text here",
-              "zero\x00byte   odd", "<|endoftext|>", "x\n\n\ny", "😀 😀 😀 😀 😀 😀"]
+              "zero\x00byte   odd", "<|endoftext|>", "x\n\n\ny", "😀 😀 😀 😀 😀 😀", "½ ²"]
 
 
 @pytest.fixture(scope="session")

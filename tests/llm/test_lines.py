@@ -77,7 +77,7 @@ def test_drop_repeated_lines(spark):
 
 def test_line_edges(edge_docs, empty_docs):
     got = ld.line_report(edge_docs).collect()
-    assert len(got) == 16  # ids 0 to 14 and the rows without an id together
+    assert len(got) == 17  # ids 0 to 15 and the rows without an id together
     by_id = {r.doc_id: r for r in got}
     assert by_id[None].n_dropped == 0  # rows without an id come first
     assert by_id[9].n_lines == 2 and by_id[9].n_dropped == 2 and by_id[10].n_dropped == 1
