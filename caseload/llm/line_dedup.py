@@ -1,14 +1,22 @@
 """Line de-duplication across documents: exact repeats, and near repeats by a segment-partition edit join.
 
 A line is dropped when an equal line comes earlier (by doc_id, then by place), or when it is at least ``min_chars`` long and
-some line that first comes earlier is within ``max_edits`` single-character edits of it. Blank lines are always kept.
-
-The edit join works on distinct lines. Every line is cut into max_edits + 1 segments of even length; lines within max_edits
-edits share a segment at almost the same place. Lines are indexed by (length, segment number, segment) and probe the indexes of
-equal and up to max_edits smaller lengths with the few substrings that can match there. Candidates are verified by a banded
-bit-parallel edit distance on what is left between their common prefix and suffix. All of it is DataFrame expressions.
-
-Shorter lines match only exactly: a few edits would change most of them. Keys shared by very many lines are skewed join
+some line that first comes earlier, of whatever length, is near it: within ``max_edits`` single-character edits, or, where the
+longer of the two has more than that many times ``EDIT_CHARS`` characters, one edit for every ``EDIT_CHARS`` of them (at most
+``MOST_EDITS``). Blank lines are always kept. Near lines, directly or through others, form a class.
+
+The edit join works on distinct lines, in two length classes. Short lines are cut into max_edits + 1 segments of even length;
+lines within max_edits edits share a segment at almost the same place. Lines are indexed by (length, segment number, segment) and
+probe the indexes of equal and up to max_edits smaller lengths with the few substrings that can match there. Candidates are
+verified by a banded bit-parallel edit distance on what is left between their common prefix and suffix.
+
+For long lines the number of such substrings would grow with the cube of the edits. There the longer line, which may have k
+edits, is cut into k + 1 segments, one of which the other line holds as it is. Places are anchors if a space, ``WORD`` other
+characters or a surrogate pair stand before them; every segment is indexed by the substring at its first anchor, and a line
+probes with the substrings at all of its own anchors, wherever they stand. Candidates are verified by a banded edit distance.
+All of it is DataFrame expressions.
+
+Shorter lines than ``min_chars`` are dropped only as exact repeats: a few edits would change most of them. Keys shared by very many lines are skewed join
 keys, which adaptive execution splits; no candidate is dropped. Null and empty texts have no lines. Rows that repeat a doc_id
 are taken as one document's; rows without doc_id come before all others. An empty table gives no rows. Other columns
 of the input are ignored.
@@ -18,18 +26,40 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from decimal import Decimal
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from caseload.llm.storage import BROADCAST_IDS, stored
+from caseload.llm.components import components
+from caseload.llm import storage
+from caseload.llm.storage import BROADCAST_IDS
 
 MAX_EDITS = 2
 MIN_CHARS = 20
+#: Long lines: characters for each edit, and the edits allowed at most.
+EDIT_CHARS = 40
+MOST_EDITS = 40
+#: Long lines: characters without a space after which every place is an anchor.
+WORD = 12
+#: The keys of long lines are joined in this many parts, one after the other, so that only one part's rows are on disk.
+PASSES = 4
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 #: Stands for a missing doc_id: below every 64-bit integer.
 NO_ID = -(1 << 63) - 1
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """:func:`storage.stored`; the shuffle files of the write go when it ends."""
+    conf = df.sparkSession.conf
+    before = conf.get(_CLEANUP, None)
+    conf.set(_CLEANUP, "true")
+    try:
+        return storage.stored(df, name)
+    finally:
+        conf.unset(_CLEANUP) if before is None else conf.set(_CLEANUP, before)
+
+
 def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(doc_id, place, line) of every line that is not blank, blank meaning spaces only."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.split(F.col(text_col), "\n").alias("all"))
@@ -162,24 +192,70 @@ def distinct_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                                 place.cast("int").alias("first_place"), F.monotonically_increasing_id().alias("id")), "lines")
 
 
-def near_pairs(lines: DataFrame, max_edits: int = MAX_EDITS, min_chars: int = MIN_CHARS) -> DataFrame:
-    """Pairs (a, b) of ids of distinct lines (columns id, line) of ``min_chars`` and more within ``max_edits`` edits."""
+def _long_from(max_edits: int) -> int:
+    """The length from which a line may have more than ``max_edits`` edits."""
+    return EDIT_CHARS * (max_edits + 1)
+
+
+def allowed_edits(length: Column, max_edits: int) -> Column:
+    """The edits allowed between two lines, the longer of which has the given length."""
+    share = F.least(F.floor(length / EDIT_CHARS).cast("int"), F.lit(max(MOST_EDITS, max_edits)))
+    return F.greatest(share, F.lit(max_edits))
+
+
+def _anchored(max_edits: int) -> str:
+    """A pattern whose first group is the text at an anchor, as long as the shortest segment leaves after its first anchor."""
+    k = max_edits + 1
+    size = _long_from(max_edits) // (k + 1) - WORD
+    return rf"(?s)(?:(?<=\s)|(?<=\S{{{WORD}}})|(?<=[\uDC00-\uDFFF]))(?=(.{{{size}}}))"
+
+
+def _long_candidates(lines: DataFrame, max_edits: int) -> DataFrame:
+    """Stored: pairs (probe, id) of lines that share the text at an anchor, the longer (or the one of smaller id) first."""
+    pattern = F.lit(_anchored(max_edits))
+    edits = allowed_edits(F.col("size"), max_edits)
+    found = (lines.where(F.length("line") >= _long_from(max_edits) - (max_edits + 1))
+             .select("id", "line", F.length("line").alias("size")))
+    size = F.floor(F.col("size") / (edits + 1)).cast("int")
+    segments = F.transform(F.sequence(F.lit(0), edits), lambda k: F.xxhash64(
+        F.regexp_extract(F.substring(F.col("line"), k * size + 1, size), _anchored(max_edits), 1)))
+    index = (found.where(F.col("size") >= _long_from(max_edits))
+             .select("id", "size", F.explode(F.array_distinct(segments)).alias("key")).alias("a"))
+    texts = F.array_distinct(F.regexp_extract_all("line", pattern, F.lit(1)))
+    probes = found.select("id", "size", F.explode(texts).alias("text")).select("id", "size", F.xxhash64("text").alias("key")).alias("b")
+    less = F.col("a.size") - F.col("b.size")
+    near = (F.col("a.id") != F.col("b.id")) & (less >= 0) & (less <= allowed_edits(F.col("a.size"), max_edits))
+    first = (less > 0) | (F.col("a.id") < F.col("b.id"))
+    parts = []
+    for part in range(PASSES):
+        both = (index.where(F.pmod("a.key", F.lit(PASSES)) == part)
+                .join(probes.where(F.pmod("b.key", F.lit(PASSES)) == part), (F.col("a.key") == F.col("b.key")) & near))
+        parts.append(stored(both.select(F.when(first, F.col("a.id")).otherwise(F.col("b.id")).alias("probe"),
+                                        F.when(first, F.col("b.id")).otherwise(F.col("a.id")).alias("id")).distinct(), "long-candidates"))
+    return reduce(DataFrame.union, parts)
+
+
+def near_pairs(lines: DataFrame, max_edits: int = MAX_EDITS, min_chars: int = MIN_CHARS, below: int = 0) -> DataFrame:
+    """Pairs (a, b) of ids of distinct lines (columns id, line) of at least ``min_chars - below`` characters that are near."""
     if min_chars < 2 * (max_edits + 1):
         raise ValueError("min_chars must leave every segment two characters")
-    long = lines.where(F.length("line") >= min_chars)
-    index = long.select("id", F.explode(index_keys(F.col("line"), max_edits)).alias("key"))
-    probes = long.select(F.col("id").alias("probe"), F.explode(probe_keys(F.col("line"), max_edits)).alias("key"))
-    met = probes.join(index, "key").where("probe <> id").select("probe", "id").distinct()
-    met = stored(met, "line-candidates")
+    lines = lines.where(F.length("line") >= min_chars - below)
+    short = lines.where(F.length("line") < _long_from(max_edits))
+    index = short.select("id", F.explode(index_keys(F.col("line"), max_edits)).alias("key"))
+    probes = short.select(F.col("id").alias("probe"), F.explode(probe_keys(F.col("line"), max_edits)).alias("key"))
+    met = probes.join(index, "key").where("probe <> id").select("probe", "id")
+    met = stored(met.union(_long_candidates(lines, max_edits)).distinct(), "line-candidates")
     # Only lines with a candidate are looked at again; up to BROADCAST_IDS of their ids are broadcast.
     wanted = stored(met.select(F.explode(F.array("probe", "id")).alias("id")).distinct(), "line-ids")
     wanted = wanted.hint("broadcast") if wanted.count() <= BROADCAST_IDS else wanted
-    texts = stored(long.join(wanted, "id", "left_semi").select("id", "line"), "candidate-lines")
+    texts = stored(lines.join(wanted, "id", "left_semi").select("id", "line"), "candidate-lines")
     pairs = (met.join(texts.select(F.col("id").alias("probe"), F.col("line").alias("a")), "probe")
              .join(texts.select("id", F.col("line").alias("b")), "id"))
     # Probes meet lines of their own or a smaller length; equal lengths meet from both sides, one is enough.
     pairs = pairs.where((F.length("a") > F.length("b")) | ((F.length("a") == F.length("b")) & (F.col("probe") < F.col("id"))))
-    return pairs.where(within_edits(F.col("a"), F.col("b"), max_edits)).select(F.col("probe").alias("a"), F.col("id").alias("b"))
+    long = F.call_function("levenshtein", F.col("a"), F.col("b"), allowed_edits(F.length("a"), max_edits)) >= 0
+    near = F.when(F.length("a") < _long_from(max_edits), within_edits(F.col("a"), F.col("b"), max_edits)).otherwise(long)
+    return pairs.where(near).select(F.col("probe").alias("a"), F.col("id").alias("b"))
 
 
 def _before(doc: str, place: str, other_doc: str, other_place: str) -> Column:
@@ -188,36 +264,59 @@ def _before(doc: str, place: str, other_doc: str, other_place: str) -> Column:
     return (d < o) | ((d == o) & (F.col(place) < F.col(other_place)))
 
 
-def dropped_lines(docs: DataFrame, max_edits: int = MAX_EDITS, min_chars: int = MIN_CHARS, id_col: str = "doc_id",
-                  text_col: str = "text") -> DataFrame:
-    """(doc_id, place, near) of every dropped line; near: it has no earlier equal, only an earlier near line."""
+def _marked_lines(docs: DataFrame, max_edits: int, min_chars: int, id_col: str, text_col: str) -> DataFrame:
+    """(doc_id, place, dropped, near, class_id, n_links) of every line that is dropped or near another one.
+
+    class_id: document and place where the class's first line first comes; null without links. n_links: distinct lines near it.
+    """
     lines = distinct_lines(docs, id_col, text_col)
-    pairs = near_pairs(lines, max_edits, min_chars)
-    firsts = lines.select("id", "first_doc", "first_place")
-    both = (pairs.join(firsts.toDF("a", "a_doc", "a_place"), "a").join(firsts.toDF("b", "b_doc", "b_place"), "b"))
+    # A line of min_chars may be near an earlier one that is shorter by what its edits take away.
+    pairs = near_pairs(lines, max_edits, min_chars, below=max_edits)
+    firsts = lines.select("id", "first_doc", "first_place", F.length("line").alias("size"))
+    both = (pairs.join(firsts.toDF("a", "a_doc", "a_place", "a_size"), "a").join(firsts.toDF("b", "b_doc", "b_place", "b_size"), "b"))
     a_first = _before("a_doc", "a_place", "b_doc", "b_place")
-    later = both.select(F.when(a_first, F.col("b")).otherwise(F.col("a")).alias("id")).distinct()
+    links = both.withColumn("a_first", a_first).where(F.when(F.col("a_first"), F.col("b_size")).otherwise(F.col("a_size")) >= min_chars)
+    links = stored(links.select(F.when(F.col("a_first"), F.col("a")).otherwise(F.col("b")).alias("u"),
+                                F.when(F.col("a_first"), F.col("b")).otherwise(F.col("a")).alias("v")), "line-links")
+    counts = (links.select(F.col("u").alias("id"), F.lit(False).alias("later"))
+              .union(links.select(F.col("v").alias("id"), F.lit(True).alias("later")))
+              .groupBy("id").agg(F.count("*").alias("n_links"), F.bool_or("later").alias("near")))
+    members = components(links).join(firsts, F.col("node") == F.col("id")).select("node", "root", "first_doc", "first_place")
+    heads = members.groupBy("root").agg(F.min(F.struct("first_doc", "first_place")).alias("head"))
+    name = F.concat(F.coalesce(F.col("head.first_doc").cast("string"), F.lit("")), F.lit(":"), F.col("head.first_place").cast("string"))
+    classes = members.join(heads, "root").select(F.col("node").alias("id"), name.alias("class_id")).join(counts, "id")
     # Lines meet their occurrences by a 128-bit hash; the texts themselves do not move again.
-    known = (lines.join(later.withColumn("near", F.lit(True)), "id", "left")
-             .select(F.unhex(F.md5("line")).alias("h"), "first_doc", "first_place", F.coalesce("near", F.lit(False)).alias("near")))
+    known = (lines.join(classes, "id", "left")
+             .select(F.unhex(F.md5("line")).alias("h"), "first_doc", "first_place", F.coalesce("near", F.lit(False)).alias("near"),
+                     "class_id", F.coalesce("n_links", F.lit(0)).alias("n_links")))
     found = _lines(docs, id_col, text_col).select("doc_id", "place", F.unhex(F.md5("line")).alias("h")).join(known, "h")
     first = F.col("doc_id").eqNullSafe(F.col("first_doc")) & (F.col("place") == F.col("first_place"))
-    return found.where(F.col("near") | ~first).select("doc_id", "place", (F.col("near") & first).alias("near"))
+    return found.where(F.col("near") | ~first | (F.col("n_links") > 0)).select(
+        "doc_id", "place", (F.col("near") | ~first).alias("dropped"), (F.col("near") & first).alias("near"), "class_id", "n_links")
+
+
+def dropped_lines(docs: DataFrame, max_edits: int = MAX_EDITS, min_chars: int = MIN_CHARS, id_col: str = "doc_id",
+                  text_col: str = "text") -> DataFrame:
+    """(doc_id, place, near) of every dropped line; near: it has no earlier equal, only an earlier near line."""
+    return _marked_lines(docs, max_edits, min_chars, id_col, text_col).where("dropped").select("doc_id", "place", "near")
 
 
 def line_report(docs: DataFrame, max_edits: int = MAX_EDITS, min_chars: int = MIN_CHARS, id_col: str = "doc_id",
                 text_col: str = "text") -> DataFrame:
-    """One row per doc_id: n_lines (not blank), n_dropped, n_near, and the places of the dropped lines in order."""
-    drops = (dropped_lines(docs, max_edits, min_chars, id_col, text_col).groupBy("doc_id")
-             .agg(F.count("*").alias("n_dropped"), F.count_if("near").alias("n_near"),
-                  F.sort_array(F.collect_list("place")).alias("dropped_places")))
+    """One row per doc_id: n_lines (not blank), n_dropped, n_near, the places of the dropped lines in order, and place, class_id
+    and n_links of the lines that are in a class of near lines, in order."""
+    drops = (_marked_lines(docs, max_edits, min_chars, id_col, text_col).groupBy("doc_id")
+             .agg(F.count_if("dropped").alias("n_dropped"), F.count_if("near").alias("n_near"),
+                  F.sort_array(F.collect_list(F.when(F.col("dropped"), F.col("place")))).alias("dropped_places"),
+                  F.sort_array(F.collect_list(F.when(F.col("n_links") > 0, F.struct("place", "class_id", "n_links")))).alias("linked")))
     lines = F.size(F.filter(F.split(F.coalesce(F.col(text_col), F.lit("")), "\n"), lambda x: F.trim(x) != ""))
     sizes = (docs.select(F.col(id_col).cast("long").alias("doc_id"), lines.cast("long").alias("n"))
              .groupBy("doc_id").agg(F.sum("n").alias("n_lines")))
     return sizes.join(drops, sizes["doc_id"].eqNullSafe(drops["doc_id"]), "left").select(
         sizes["doc_id"], "n_lines", F.coalesce("n_dropped", F.lit(0)).cast("long").alias("n_dropped"),
         F.coalesce("n_near", F.lit(0)).cast("long").alias("n_near"),
-        F.coalesce("dropped_places", F.array().cast("array<int>")).alias("dropped_places"))
+        F.coalesce("dropped_places", F.array().cast("array<int>")).alias("dropped_places"),
+        F.coalesce("linked", F.array().cast("array<struct<place:int,class_id:string,n_links:bigint>>")).alias("linked_lines"))
 
 
 def drop_repeated_lines(docs: DataFrame, max_edits: int = MAX_EDITS, min_chars: int = MIN_CHARS, id_col: str = "doc_id",

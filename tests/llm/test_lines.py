@@ -94,3 +94,32 @@ def test_lines_plan_is_native(spark, capsys):
 def test_short_segments_are_refused(spark):
     with pytest.raises(ValueError):
         ld.near_pairs(spark.createDataFrame([], "id long, line string"), 3, 4)
+
+
+def allowed(length):
+    return max(2, min(length // ld.EDIT_CHARS, ld.MOST_EDITS))
+
+
+def test_long_lines_match_all_pairs(spark):
+    rng = random.Random(4)
+    base = ["".join(rng.choice("abcde é") for _ in range(n)) for n in (117, 119, 121, 160, 230, 342, 520)]
+    base += ["ab" * 150, "".join(rng.choice("😀😁x") for _ in range(200)), "".join(rng.choice("abcd") for _ in range(250))]
+    lines = sorted({changed(b, rng.randint(0, len(b) // 30), rng) for b in base for _ in range(7)})
+    df = spark.createDataFrame(list(enumerate(lines)), "id long, line string")
+    got = {tuple(sorted((r.a, r.b))) for r in ld.near_pairs(df).collect()}
+    expected = {(j, i) for i, a in enumerate(lines) for j, b in enumerate(lines[:i])
+                if abs(len(a) - len(b)) <= 45 and edits(a, b) <= allowed(max(len(a), len(b)))}
+    assert got == expected and len(got) > 50 and any(edits(lines[i], lines[j]) > 5 for i, j in got)
+
+
+def test_earlier_line_may_be_below_the_least_length(spark):
+    docs = frame(spark, [(1, "nineteen characters"), (2, "nineteen characters!"), (3, "nineteen characterz")])
+    got = {r.doc_id: r.dropped_places for r in ld.line_report(docs).collect()}
+    assert got == {1: [], 2: [0], 3: []}
+
+
+def test_report_names_classes_and_links(spark):
+    line = "A line that is long enough to be near another one"
+    docs = frame(spark, [(1, f"own\n{line}"), (2, line.replace("near", "neer")), (3, line.replace("near", "naer")), (4, line), (5, "x")])
+    got = {r.doc_id: [tuple(x) for x in r.linked_lines] for r in ld.line_report(docs).collect()}
+    assert got == {1: [(1, "1:1", 2)], 2: [(0, "1:1", 2)], 3: [(0, "1:1", 2)], 4: [(0, "1:1", 2)], 5: []}
