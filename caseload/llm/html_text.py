@@ -2,11 +2,12 @@
 
 A page is cut into a flat list of text blocks at block-level tags. Every block gets its number of words, its link
 density (share of its words inside links), the same of the block before and after, and what encloses it (article,
-boilerplate element or name, heading, list). A decision tree, trained by :func:`train_tree` on the small labelled table
+boilerplate element, boilerplate name, heading, list; of article, element and name the nearest counts). A decision tree, trained by :func:`train_tree` on the small labelled table
 :data:`LABELLED`, tells main text from the rest; the blocks it keeps are joined in page order.
 
 Character references are decoded, white space inside a block becomes one space, blocks are joined by one space. Text
-of scripts, styles, comments, titles and the like is never a block. Null and empty pages give an empty text; broken or
+of scripts, styles, comments, titles and the like is never a block; that of formulas (but for their source in an annotation) and
+the content of objects is. Null and empty pages give an empty text; broken or
 cut-off markup is read as far as it goes (an unclosed script or comment lasts to the end of the page). Rows that repeat a
 page_id and rows without one get one result row each. An empty table gives no rows. Other columns are ignored.
 """
@@ -28,24 +29,30 @@ from caseload.llm.worker import map_batches
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(script|style|title|textarea|noscript|template|iframe|svg|math|object|select|canvas)\b[^>]*+(?:/>|>.*?(?:</\1\s*+>|\Z))"
+    r"|<(script|style|title|textarea|noscript|template|iframe|svg|annotation|select|canvas)\b[^>]*+(?:/>|>.*?(?:</\1\s*+>|\Z))"
     r"|<(/?)([a-z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
     r"|<(/?)([a-z][^\s/>]*+)([^>]*+)(?:>|\Z)"
     r"|<[!?/][^>]*+(?:>|\Z)", re.S | re.I)
 
 _INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q s samp small span "
-                    "strike strong sub sup time tt u var wbr".split())
+                    "strike strong sub sup time tt u var wbr "
+                    "math semantics mi mn mo ms mtext mspace mrow mfrac msqrt mroot mstyle mpadded msub msup msubsup munder mover "
+                    "munderover".split())
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 _MAIN = frozenset("article main".split())
 _APART = frozenset("nav header footer aside form menu dialog button fieldset".split())
-#: Words in class, id and role that name something other than the article.
+#: Words that, alone or together, are a class, id or role of something other than the article.
 _NAMES = frozenset("ad ads adv advert advertisement advertising adbox sponsor sponsored promo promotion banner cookie cookies "
                    "consent gdpr privacy notice notices alert warning popup modal overlay newsletter subscribe subscription "
                    "signup login nav navbar navigation menu breadcrumb breadcrumbs sidebar aside widget related recommended "
                    "recommendations more share sharing social footer header masthead copyright legal comment comments reply "
                    "replies discussion disqus respond form search pagination pager toolbar contentinfo complementary dialog "
                    "skip hidden".split())
+#: Words of :data:`_NAMES` that also name a paragraph or heading of an article.
+_SOFT = frozenset("alert comment legal more notice notices privacy recommended reply search warning".split())
+#: Words that may stand before the last one of a name, as in site-footer.
+_WHERE = frozenset("site page main global top bottom left right primary secondary post article entry".split())
 _ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|$)|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.I)
 _SPLIT = re.compile(r"[^a-z0-9]+")
@@ -55,7 +62,7 @@ class Block(NamedTuple):
     text: str
     words: int
     link_words: int
-    apart: int  # inside an element or name that is not the article's
+    apart: int  # inside an element (2) or name (1) that is not the article's, with no article or main element nearer
     article: int  # inside an article or main element
     heading: int
     listed: int
@@ -65,22 +72,41 @@ FEATURES = ("words", "link density", "words before", "link density before", "wor
             "article", "heading", "listed")
 
 
-def _is_apart(tag: str, attributes: str) -> bool:
+def _is_name(token: str, soft: bool) -> bool:
+    """Whether a class, id or role as a whole names something apart: no-sidebar and has-comments do not."""
+    words = [w for w in _SPLIT.split(token.lower()) if w and not w.isdigit()]
+    while len(words) > 1 and words[0] in _WHERE:
+        words = words[1:]
+    return bool(words) and _NAMES.issuperset(words) and not (soft and _SOFT.issuperset(words))
+
+
+def _apart(tag: str, attributes: str) -> int:
+    """2 for an element that is apart or hidden, 1 for one that is only named so, else 0."""
     if tag in _APART:
-        return True
+        return 2
     if not attributes or attributes.isspace():
-        return False
-    for _, a, b, c in _ATTRIBUTE.findall(attributes):
-        if not _NAMES.isdisjoint(_SPLIT.split((a or b or c).lower())):
-            return True
-    return bool(_HIDDEN.search(attributes))
+        return 0
+    if _HIDDEN.search(attributes):
+        return 2
+    soft = tag == "p" or tag in _HEADINGS
+    return int(any(_is_name(token, soft) for _, a, b, c in _ATTRIBUTE.findall(attributes) for token in (a or b or c).split()))
+
+
+def _nearest(stack: list[tuple[str, int, bool]]) -> int:
+    """What the open elements inside the nearest article or main element say of being apart."""
+    most = 0
+    for _, apart, main in reversed(stack):
+        most = max(most, apart)
+        if main:
+            break
+    return most
 
 
 def blocks(page: str | None) -> list[Block]:
     """The text blocks of a page, in order."""
     out: list[Block] = []
     parts: list[tuple[str, bool]] = []  # text of the open block, and whether it stands in a link
-    stack: list[tuple[str, bool, bool]] = []  # open elements: tag, apart, main
+    stack: list[tuple[str, int, bool]] = []  # open elements: tag, apart, main
     links = heading = 0
     page = page or ""
 
@@ -90,7 +116,7 @@ def blocks(page: str | None) -> list[Block]:
             words = "".join(t for t, _ in parts).split()
             if words:
                 linked = sum(len(t.split()) for t, inside in parts if inside)
-                out.append(Block(" ".join(words), len(words), min(linked, len(words)), int(any(a for _, a, _ in stack)),
+                out.append(Block(" ".join(words), len(words), min(linked, len(words)), _nearest(stack),
                                  int(any(m for _, _, m in stack)), int(heading > 0), int(any(t == "li" for t, _, _ in stack))))
             parts = []
 
@@ -106,9 +132,9 @@ def blocks(page: str | None) -> list[Block]:
         if tag == "a":
             links = max(0, links - 1) if closing else 1
         if tag in _INLINE:
-            if tag in ("span", "label") and not closing and _is_apart(tag, attributes):
+            if tag in ("span", "label") and not closing and (apart := _apart(tag, attributes)):
                 flush()
-                stack.append((tag, True, False))
+                stack.append((tag, apart, False))
             elif closing and any(t == tag for t, _, _ in stack):
                 flush()
                 while stack.pop()[0] != tag:
@@ -126,7 +152,7 @@ def blocks(page: str | None) -> list[Block]:
             if stack and (stack[-1][0] == "p" or tag == "li" and stack[-1][0] == "li"):
                 stack.pop()  # these end where a block begins
             if tag not in ("html", "body"):
-                stack.append((tag, _is_apart(tag, attributes), tag in _MAIN))
+                stack.append((tag, _apart(tag, attributes), tag in _MAIN))
     if at < len(page):
         parts.append((html.unescape(page[at:]), links > 0))
     flush()
@@ -144,11 +170,12 @@ def features(found: list[Block]) -> np.ndarray:
 
 
 # The labelled table: pages as runs of blocks (keep, words, words in links, apart, article, heading, listed).
-_NAV = [(0, 1, 1, 1, 0, 0, 1), (0, 1, 1, 1, 0, 0, 1), (0, 2, 2, 1, 0, 0, 1)]
+_NAV = [(0, 1, 1, 2, 0, 0, 1), (0, 1, 1, 2, 0, 0, 1), (0, 2, 2, 2, 0, 0, 1)]
 _PLAIN_NAV = [(0, 1, 1, 0, 0, 0, 1), (0, 2, 2, 0, 0, 0, 1), (0, 1, 1, 0, 0, 0, 1)]
 _AD = [(0, 4, 0, 1, 0, 0, 0)]
 _LONG_AD = [(0, 28, 0, 1, 0, 0, 0)]
-_FOOT = [(0, 16, 1, 1, 0, 0, 0)]
+_FOOT = [(0, 16, 1, 2, 0, 0, 0)]
+_ASIDE = [(0, 2, 0, 2, 0, 1, 0), (0, 70, 1, 2, 0, 0, 0), (0, 130, 0, 2, 0, 0, 0)]
 _PLAIN_FOOT = [(0, 7, 3, 0, 0, 0, 0), (0, 6, 0, 0, 0, 0, 0)]
 _ARTICLE = [(1, 9, 0, 0, 1, 1, 0), (1, 80, 0, 0, 1, 0, 0), (1, 4, 0, 0, 1, 0, 0), (1, 35, 2, 0, 1, 0, 0), (1, 1, 0, 0, 1, 0, 0),
             (1, 120, 0, 0, 1, 0, 0), (1, 6, 0, 0, 1, 0, 1), (1, 14, 0, 0, 1, 0, 1), (1, 3, 0, 0, 1, 1, 0), (1, 22, 1, 0, 1, 0, 0)]
@@ -160,6 +187,10 @@ _COMMENTS = [(0, 2, 0, 1, 0, 1, 0), (0, 30, 0, 1, 0, 0, 0), (0, 55, 1, 1, 0, 0,
 _BODY = [(1, 8, 0, 0, 0, 1, 0), (1, 60, 0, 0, 0, 0, 0), (1, 45, 2, 0, 0, 0, 0), (1, 18, 0, 0, 0, 0, 0), (1, 90, 1, 0, 0, 0, 0),
          (1, 5, 0, 0, 0, 1, 0), (1, 33, 0, 0, 0, 0, 0), (1, 15, 0, 0, 0, 0, 1), (1, 70, 0, 0, 0, 0, 0)]
 _RELATED = [(0, 3, 0, 0, 0, 1, 0), (0, 7, 7, 0, 0, 0, 1), (0, 9, 9, 0, 0, 0, 1)]
+# A name alone does not outweigh long text without links, nor an article element a run of nothing but links.
+_NAMED_BODY = [(1, 75, 0, 1, 0, 0, 0), (1, 100, 2, 1, 0, 0, 0), (1, 140, 0, 1, 0, 0, 0), (1, 65, 1, 1, 0, 0, 0)]
+_NAMED_ARTICLE = [(1, 70, 0, 1, 1, 0, 0), (1, 90, 1, 1, 1, 0, 0), (1, 120, 0, 1, 1, 0, 0)]
+_LINK_RUN = [(0, 6, 6, 0, 1, 0, 1), (0, 8, 8, 0, 1, 0, 1), (0, 6, 6, 0, 1, 0, 1), (0, 8, 8, 0, 1, 0, 1), (0, 9, 9, 0, 1, 0, 1), (0, 8, 8, 0, 1, 0, 1)]
 LABELLED = [
     _NAV + _AD + _ARTICLE + _FOOT,
     _NAV + _LONG_AD + _ARTICLE[:3] + _IN_ARTICLE + _ARTICLE[3:] + _COMMENTS + _FOOT,
@@ -180,6 +211,10 @@ LABELLED = [
     _PLAIN_NAV + _ARTICLE[:2] + _SHORT_ARTICLE[1:],
     _NAV + _LINKED_ARTICLE + _FOOT,
     _LINKED_ARTICLE[::-1],
+    _NAV + _NAMED_BODY + _FOOT,
+    _NAV + _ARTICLE[:2] + _NAMED_ARTICLE + _ARTICLE[3:5] + _FOOT,
+    _ARTICLE[:4] + _LINK_RUN,
+    _NAV + _ASIDE + _ARTICLE[:2] + _FOOT,
 ]
 
 

@@ -78,3 +78,27 @@ def test_extract_text(spark):
     assert [r.text for r in got if r.page_id == 1] == [MAIN, MAIN] and {r.text for r in got if r.page_id in (2, 3)} == {""}
     assert next(r for r in got if r.page_id == 5).n_chars == 50_000 * 11 - 1
     assert ht.extract_text(df.where("page_id > 100")).count() == 0
+
+
+def test_names_are_features_of_whole_tokens():
+    for name in ("layout no-sidebar", "content-with-sidebar", "has-comments", "page-header-fixed", "search-result", "read-more", "sidebar"):
+        assert text_of(page(f'<nav><a href=/>Home</a></nav><div class="{name}">{ARTICLE}</div>')) == MAIN, name
+    warned = ARTICLE.replace("<p>Short.", '<p class="warning">Short.')
+    assert text_of(page(warned)) == MAIN
+    for name in ("sidebar", "site-footer", "cookie-notice"):
+        assert text_of(page(f"{ARTICLE}<div class={name}><p>A few words that are not the article's.</p></div>")) == MAIN
+    words = " ".join(["this paragraph is long and has no links"] * 12)
+    assert text_of(page(f"<div class=comment><p>{words}</p></div>")) == words
+    assert text_of(page(f"<aside><p>{words}</p></aside>")) == ""
+
+
+def test_runs_of_links_in_an_article_are_dropped():
+    links = "".join(f"<li><a href=/{k}>Another story with number {k} here</a></li>" for k in range(7))
+    got = text_of(page(ARTICLE.replace("</article>", f"<ul>{links}</ul></article>")))
+    assert got.startswith(MAIN) and got.count("Another") <= 2
+
+
+def test_formulas_and_objects_are_read():
+    body = ("<article><p>The area <math><mi>a</mi><mo>=</mo><msup><mi>r</mi><mn>2</mn></msup><annotation>a=r^2</annotation></math> holds.</p>"
+            "<object data=x.pdf><p>Words instead of the object.</p></object></article>")
+    assert text_of(page(body)) == "The area a=r2 holds. Words instead of the object."
