@@ -1,6 +1,6 @@
 """Language identification by cross-parsing entropy.
 
-For every language a suffix automaton is built over a bounded sample of labelled text. A text is parsed against
+For every labelled language a suffix automaton is built over a bounded sample of its text: pieces hashed from whole documents. A text is parsed against
 each automaton into the longest phrases that occur in that language's sample; the language that needs the fewest
 phrases per character, normalised by the language's own rate on held-back sample text, wins. Texts are read whole:
 they are cut into lanes of ``LANE`` characters (a phrase ends at a lane's end) and all lanes of a batch advance
@@ -18,11 +18,12 @@ from __future__ import annotations
 
 import json
 import re
+import tempfile
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from caseload.llm.tokens import slices, text_batches
@@ -34,8 +35,10 @@ LANE = 1024
 #: Sample bounds, per language: documents looked at, and characters learned from.
 SAMPLE_DOCS = 64
 SAMPLE_CHARS = 48_000
-#: Languages learned at most: the most frequent ones (ties alphabetically).
-MAX_LANGUAGES = 64
+#: Characters of a piece of a document, the unit in which the sample is drawn.
+PIECE = 500
+#: Automata beyond this many languages are kept in unnamed files that are mapped to memory.
+IN_MEMORY = 64
 #: Share of a sample held back from the automaton to measure the language's own phrase rate.
 HELD_BACK = 0.25
 #: Characters looked at together, and lanes advanced together.
@@ -81,6 +84,14 @@ def suffix_automaton(text: str) -> list[dict[str, int]]:
     return following
 
 
+def _mapped(values: np.ndarray) -> np.ndarray:
+    """The same values in a file without a name."""
+    with tempfile.TemporaryFile() as file:
+        out = np.memmap(file, values.dtype, "w+", shape=values.shape)
+    out[:] = values
+    return out
+
+
 class CrossParser:
     """Phrase counts of texts against every language's sample."""
 
@@ -92,7 +103,7 @@ class CrossParser:
         self.classes = np.full(0x110000, self.width - 1, np.uint8 if self.width < 256 else np.uint16)
         for k, ch in enumerate(alphabet):
             self.classes[ord(ch)] = k
-        tables, starts, size = [], [], 0
+        self.tables: list[np.ndarray] = []
         for lang in self.languages:
             sample = samples[lang]
             learned = sample[:len(sample) - int(len(sample) * HELD_BACK)] if len(sample) > 1 else sample
@@ -100,12 +111,8 @@ class CrossParser:
             table = np.full((len(following), self.width), -1, np.int32)
             for state, moves in enumerate(following):
                 for ch, to in moves.items():
-                    table[state, self.classes[ord(ch)]] = size + to
-            tables.append(table)
-            starts.append(size)
-            size += len(following)
-        self.table = np.concatenate(tables).ravel() if tables else np.zeros(0, np.int32)
-        self.starts = np.array(starts, np.int32)
+                    table[state, self.classes[ord(ch)]] = to
+            self.tables.append(table.ravel() if len(self.tables) < IN_MEMORY else _mapped(table.ravel()))
         self.rates = np.ones(len(self.languages))
         for k, lang in enumerate(self.languages):
             held = samples[lang][len(samples[lang]) - int(len(samples[lang]) * HELD_BACK):]
@@ -140,16 +147,16 @@ class CrossParser:
         active = n - np.searchsorted(size[::-1], step, side="right")
         columns = classes[np.minimum(begin.astype(np.int32)[None, :] + step[:, None], np.int32(len(classes) - 1))]
         counts = np.zeros((len(self.languages), n), np.int32)
-        for j, start in enumerate(self.starts):
-            root = int(start) * width
-            first = self.table[root:root + width]  # where each character leads from the start
+        start = np.int32(0)
+        for j, table in enumerate(self.tables):
+            first = np.array(table[:width])  # where each character leads from the start
             first_or_start = np.where(first < 0, start, first)
             state = np.full(n, start, np.int32)
             count = counts[j]
             for t in range(len(columns)):
                 m = active[t]
                 ch = columns[t, :m]
-                to = self.table.take(state[:m] * np.int64(width) + ch)
+                to = table.take(state[:m] * np.int64(width) + ch)
                 ended = to < 0
                 # A phrase that cannot grow ends before this character, which begins the next one.
                 count[:m] += ended & (state[:m] != start)
@@ -184,29 +191,38 @@ def labelled_sample(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                     sample_docs: int = SAMPLE_DOCS, sample_chars: int = SAMPLE_CHARS) -> dict[str, str]:
     """Bounded training text per language: of each of ``sample_docs`` hash classes of ids the least hash.
 
-    Two passes: the first reads ids and labels only and picks at most MAX_LANGUAGES x sample_docs ids, the second
-    reads those documents' texts.
+    Two passes: the first reads ids and labels only and picks at most sample_docs ids per language, the second reads those
+    documents' texts. Their pieces are taken in turns, each document's in the order of their hashes, until the bound is full.
     """
     key = F.xxhash64(F.col(id_col))
     rows = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & F.col(id_col).isNotNull())
     picked = (rows.groupBy(F.col(lang_col).alias("lang"), F.pmod(key, F.lit(sample_docs)).alias("c"))
-              .agg(F.min_by(F.col(id_col), key).alias("id"), F.count("*").alias("n")))
-    top = picked.groupBy("lang").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES)
-    langs = sorted(r["lang"] for r in top.collect())
-    ids = [r["id"] for r in picked.where(F.col("lang").isin(langs)).select("id").limit(MAX_LANGUAGES * sample_docs).collect()]
+              .agg(F.min_by(F.col(id_col), key).alias("id")))
+    ids = [r["id"] for r in picked.select("id").distinct().collect()]
     if not ids:
         return {}
-    # A document adds at most an equal share of twice the bound, so that no long one fills the sample.
-    share = max(1, 2 * sample_chars // sample_docs)
-    texts = (rows.where(F.col(id_col).isin(ids)).select(F.col(lang_col).alias("lang"), F.col(id_col).alias("id"),
-                                                        F.substring(F.col(text_col), 1, share).alias("text"))
-             .orderBy("lang", F.xxhash64("id"), "text").limit(MAX_LANGUAGES * sample_docs * 4).collect())
+    most = 2 * sample_chars  # normalised, pieces get shorter
+    texts = (rows.where(F.col(id_col).isin(ids)).select(F.col(lang_col).alias("lang"), F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+             .where(F.length("text") > 0))
+    numbers = F.sequence(F.lit(0), F.floor((F.length("text") - 1) / PIECE).cast("int"))
+    order = F.array_sort(F.transform(numbers, lambda k: F.struct(F.xxhash64("id", k).alias("h"), k.alias("k"))))
+    pieces = (texts.select("lang", "id", "text", F.posexplode(F.slice(order, 1, -(-most // PIECE))).alias("turn", "p"))
+              .select("lang", "id", "turn", "p.h", "p.k", F.substring("text", F.col("p.k") * PIECE + 1, F.lit(PIECE)).alias("piece")))
+    turns = Window.partitionBy("lang").orderBy("turn", "h", "piece").rowsBetween(Window.unboundedPreceding, -1)
+    taken = (pieces.withColumn("before", F.coalesce(F.sum(F.length("piece")).over(turns), F.lit(0))).where(F.col("before") < most)
+             .orderBy("lang", "before").collect())
+    # Full in the order of the turns, then put in the order of the texts.
+    chosen: dict[str, list] = {}
+    held: dict[str, int] = {}
+    for r in taken:
+        more = normalised(r["piece"])
+        if more and held.get(r["lang"], 0) < sample_chars:
+            held[r["lang"]] = held.get(r["lang"], -1) + 1 + len(more)
+            chosen.setdefault(r["lang"], []).append((r["id"], r["k"], more))
     out: dict[str, str] = {}
-    for r in texts:
-        more = normalised(r["text"])
-        held = out.get(r["lang"], "")
-        if more and len(held) < sample_chars:
-            out[r["lang"]] = (held + " " + more if held else more)[:sample_chars]
+    for lang, found in chosen.items():
+        places = {i: n for n, i in enumerate(dict.fromkeys(i for i, _, _ in found))}
+        out[lang] = " ".join(more for _, _, more in sorted(found, key=lambda f: (places[f[0]], f[1])))[:sample_chars]
     return out
 
 

@@ -87,3 +87,14 @@ def test_keep_identified(spark, labelled):
     kept = li.keep_identified(docs)
     ids = {r.doc_id for r in kept.collect()}
     assert kept.columns == docs.columns and ids == set(range(180)) | {9002}
+
+
+def test_every_label_is_learned_from_whole_texts(spark):
+    rows = [(i, f"{text('xa', i, 20)} l{chr(97 + i // 26)}{chr(97 + i % 26)}", f"lang{i:02d}") for i in range(70)]
+    rows += [(100 + i, "head " * 2000 + text("xb", i, 4000), "long") for i in range(3)]
+    samples = li.labelled_sample(frame(spark, rows))
+    assert len(samples) == 71 and len(samples["long"]) > 0.95 * li.SAMPLE_CHARS
+    assert samples["long"].count("head") < 0.5 * len(samples["long"].split())
+    parser = li.CrossParser({lang: samples[lang] for lang in sorted(samples)})
+    assert len(parser.tables) == 71
+    assert parser.predict([text("xb", 77, 300)])[0] == ["long"]
