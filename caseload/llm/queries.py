@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -16,10 +16,13 @@ from caseload.llm.language_id import held_out_fold, identify_languages
 from caseload.llm.line_dedup import line_report
 from caseload.llm.lm_score import score_documents
 from caseload.llm.packing import pack_documents
+from caseload.llm.periodic_runs import periodic_runs
 from caseload.llm.simhash import near_duplicates
+from caseload.llm.spelling import spelling_variants
 from caseload.llm.storage import shared_folder
 from caseload.llm.token_counts import count_tokens
 from caseload.llm.token_files import token_file_digests, write_token_files
+from caseload.llm.toxicity import toxicity_scores
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -76,6 +79,45 @@ def html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_text(_table(spark, sf_dir, "pages"))
 
 
+def toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = toxicity_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"), learn_from=~held_out_fold())
+    return found.select("doc_id", held_out_fold().alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+#: The words of a text; of every tenth document by the hash h of its id, a tail made periodic by g = floor(h / 10): word i from
+#: a = g % n on is the original word a + (i - a) % p.
+REPEATED_TAIL = """CASE WHEN crc32(CAST(CAST(doc_id AS STRING) AS BINARY)) % 10 = 0 THEN
+ transform(array(named_struct('ws', filter(split(text, r'[\\x20\\x09-\\x0D]+'), w -> w <> ''),
+  'g', crc32(CAST(CAST(doc_id AS STRING) AS BINARY)) DIV 10)), d -> CASE WHEN size(d.ws) = 0 THEN '' ELSE
+ transform(array(named_struct('ws', d.ws, 'a', CAST(d.g % size(d.ws) AS INT),
+  'p', CAST(1 + (size(d.ws) - d.g % size(d.ws)) DIV (3 + d.g % 8) AS INT))), t ->
+ array_join(transform(sequence(0, size(t.ws) - 1), i -> CASE WHEN i < t.a THEN t.ws[i] ELSE t.ws[t.a + (i - t.a) % t.p] END), ' '))[0]
+ END)[0] ELSE text END"""
+
+
+def runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", F.expr(REPEATED_TAIL).alias("text"))
+    # The longest run; of equally long ones the first, then that of the smallest period.
+    best = F.array_max(F.transform("runs", lambda r: F.struct(r["length"], (-r["start"]).alias("start"), (-r["period"]).alias("period"))))
+    listed = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    found = periodic_runs(docs).withColumns({"best": best, "listed": F.array_join(listed, "")})
+    return found.select("doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("best.start")).alias("start"), "best.length",
+                        (-F.col("best.period")).alias("period"), F.expr("1000 * best.length DIV -best.period").alias("exponent_milli"),
+                        F.sha2("listed", 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+def _letter_dropped(doc_id: Column, word: Column) -> Column:
+    """The word without one letter where the hash of `id:word` is divisible by 199."""
+    h = F.crc32(F.concat(doc_id.cast("string"), F.lit(":"), word).cast("binary"))
+    place = (h % F.length(word)).cast("int")
+    return F.when(h % 199 == 0, F.concat(word.substr(F.lit(1), place), word.substr(place + 2, F.length(word)))).otherwise(word)
+
+
+def spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = spelling_variants(_table(spark, sf_dir, "documents"), rewrite=_letter_dropped)
+    return found.select("word", "form", "root", "n", "n_near", "form_n")
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_simhash": simhash,
@@ -88,6 +130,9 @@ def queries() -> dict[str, Query]:
         "op8_line_dedup": line_dedup,
         "op9_token_counts": token_counts,
         "op10_html_text": html_text,
+        "op11_toxicity": toxicity,
+        "op12_periodic_runs": runs,
+        "op13_spelling_variants": spelling,
         "pipeline": corpus_pipeline.run,
     }
 
