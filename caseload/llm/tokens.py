@@ -31,6 +31,8 @@ from caseload.llm.worker import kept
 CACHED_CHUNKS = 80_000
 
 _ODD_SPACE = re.compile(r"[\x0b\x0c\x1c-\x1f\x85]")
+#: All white space but the space and the line feed.
+_OTHER_SPACE = [chr(c) for c in range(0x110000) if chr(c).isspace() and chr(c) not in " \n"]
 
 
 def tokenizer_version(content: str) -> str:
@@ -117,7 +119,7 @@ class Encoder:
         if any(s in text for s in self.special):
             return False
         if self.kind == "spaced":  # all white space is single spaces and line feeds between other characters
-            return len(text.split()) == text.count(" ") + text.count("\n") + 1
+            return not any(c in text for c in _OTHER_SPACE) and len(text.split()) == text.count(" ") + text.count("\n") + 1
         return self.kind == "dropped" and not _ODD_SPACE.search(text)
 
     def encode(self, texts: list[str | None]) -> list[bytes]:

@@ -1,4 +1,5 @@
-from __future__ import annotations
+from __future__ import itertools
+import annotations
 
 import random
 import zlib
