@@ -166,16 +166,16 @@ def _spread(values: np.ndarray, begins: np.ndarray, most: int, least: float) ->
     return out
 
 
-def _solve(x: np.ndarray, y: np.ndarray, weight: np.ndarray, rounds: int = 30) -> tuple[np.ndarray, float]:
+def _solve(x: np.ndarray, y: np.ndarray, rounds: int = 30) -> tuple[np.ndarray, float]:
     """Squared-hinge machine on the rows of ``x``: Newton steps on the rows inside the margin."""
-    x = np.c_[x, np.ones(len(x))]
+    x = np.c_[x, np.ones(len(x), x.dtype)]
     ridge = np.eye(x.shape[1])
     ridge[-1, -1] = 1e-6
     v = np.zeros(x.shape[1])
     inside = np.ones(len(x), bool)
     for _ in range(rounds):
-        part, c = x[inside], COST * weight[inside]
-        v = np.linalg.solve(ridge + (part * c[:, None]).T @ part, (part * c[:, None]).T @ y[inside])
+        part = x[inside]
+        v = np.linalg.solve(ridge + COST * (part.T @ part).astype(np.float64), COST * (part.T.astype(np.float64) @ y[inside]))
         now = y * (x @ v) < 1
         if (now == inside).all():
             break
@@ -230,6 +230,17 @@ class Machine:
         return 1 / (1 + np.exp(-np.clip(self.slope * self.values(symbols, texts) + self.offset, -500, 500)))
 
 
+def _read_all(symbols: Symbols, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """The symbols of many texts, read a few at a time."""
+    read, begins, at = [], [], 0
+    for a, b in text_batches(texts, PIECE):
+        own, starts = symbols.read(texts[a:b])
+        read.append(own)
+        begins.append(starts + at)
+        at += len(own)
+    return np.concatenate(read), np.concatenate(begins)
+
+
 def _common_letters(texts: list[str]) -> str:
     counts = np.zeros(0x110000, np.int64)
     for text in texts:
@@ -300,13 +311,13 @@ def train(texts: list[str], labels: list[int], shares: tuple[float, float] | Non
     if min(toxic[apart].sum(), (~toxic[apart]).sum()) < 20:
         apart = np.zeros(len(toxic), bool)
     learned = np.flatnonzero(~apart)
-    read, begins = symbols.read([texts[i] for i in learned])
+    read, begins = _read_all(symbols, [texts[i] for i in learned])
     bad = toxic[learned]
 
-    values = _windows(_telling(read, begins, bad, size))
+    values = _windows(_telling(read, begins, bad, size)).astype(np.float32)
     highest = np.maximum.reduceat(values, begins)
     least = float(np.quantile(highest[~bad], 0.99))
-    basis = whitened = None
+    basis = whitened = used = row_of = None
     weights = np.zeros(size**3, np.float32)
     others = np.zeros(0, np.int64)  # windows of documents that are not toxic, of all rounds
     for _ in range(ROUNDS):
@@ -324,7 +335,12 @@ def train(texts: list[str], labels: list[int], shares: tuple[float, float] | Non
             taken = _landmarks(read, np.r_[hard, plain], size, rows, taken, taken + LANDMARKS[1])
             if not taken:
                 return Machine(share)
-            basis = np.ascontiguousarray(rows[:taken].T)
+            # Only the subsequences that some landmark has; the last row stands for all others.
+            used = np.flatnonzero(rows[:taken].any(0))
+            row_of = np.full(size**3, len(used), np.int32)
+            row_of[used] = np.arange(len(used))
+            basis = np.zeros((len(used) + 1, taken), np.float32)
+            basis[:-1] = rows[:taken, used].T
             del rows
             roots, axes = np.linalg.eigh((basis.T @ basis).astype(np.float64))
             whitened = (axes / np.sqrt(np.maximum(roots, 0) + 1e-3)) @ axes.T
@@ -334,10 +350,10 @@ def train(texts: list[str], labels: list[int], shares: tuple[float, float] | Non
         kernel = []
         for k in range(0, len(places), 500):
             numbers, w = _features(read, places[k:k + 500], size)
-            kernel.append(np.einsum("ij,ijk->ik", w, basis[numbers]))
-        v, offset = _solve(np.concatenate(kernel) @ whitened, y, np.ones(len(places)))
-        weights = (basis @ (whitened @ v)).astype(np.float32)
-        values = np.concatenate([window_scores(read[a:b], weights, size) for a, b in _cuts(begins, len(read))]) + offset
+            kernel.append(np.einsum("ij,ijk->ik", w, basis[row_of[numbers]]).astype(np.float32))
+        v, offset = _solve(np.concatenate(kernel) @ whitened.astype(np.float32), y)
+        weights[used] = basis[:-1] @ (whitened @ v).astype(np.float32)
+        values = np.concatenate([(window_scores(read[a:b], weights, size) + offset).astype(np.float32) for a, b in _cuts(begins, len(read))])
         least = 0.0
     out = Machine(share, symbols.letters, weights)
     curve = np.flatnonzero(apart) if apart.any() else np.arange(len(toxic))

@@ -1,6 +1,6 @@
-from __future__ import itertools
-import annotations
+from __future__ import annotations
 
+import itertools
 import random
 import zlib
 
