@@ -65,11 +65,43 @@ def seed_prefix_col(seed: Column) -> Column:
     return F.concat(seed.cast("string"), F.lit(SAMPLE_SEPARATOR))
 
 
-def sample_predicate_prepared(key: str | Column, seed_prefix: Column, threshold: Column) -> Column:
-    """Per-row test against a threshold and seed prefix computed once per request row. Like
-    :func:`sample_predicate`: rate 1 keeps every row, below it a row with a NULL key is not kept."""
-    key_col = F.col(key) if isinstance(key, str) else key
-    return (threshold == _ALL) | (F.substring(F.md5(F.concat(seed_prefix, key_col.cast("string"))), 1, 8) < threshold)
+def threshold_index(requests: DataFrame, within: Sequence[str], blocks: int = 1) -> DataFrame:
+    """The samples that ``requests`` (request_id, seed, sample_rate) ask for, one row per distinct ``within`` and seed:
+    ``_seed_prefix`` and ``_samples``, the requests with their thresholds in ascending order. A row of data is hashed once per
+    seed and finds its requests as the end of that list (:func:`sampled_requests`). ``blocks`` deals the requests of
+    a seed over that many rows by a hash of their ids."""
+    samples = F.array_sort(F.collect_list(F.struct(sample_threshold_col(F.col("sample_rate")).alias("threshold"), "request_id")))
+    block = F.pmod(F.xxhash64("request_id"), F.lit(blocks)) if blocks > 1 else F.lit(0)
+    return (requests.groupBy(*within, seed_prefix_col(F.col("seed")).alias("_seed_prefix"), block.alias("_block"))
+            .agg(samples.alias("_samples")).drop("_block"))
+
+
+def _first_above(samples: Column, value: Column) -> Column:
+    """Number of the first sample whose threshold is above ``value``, by binary search; the length if there is none."""
+    start = F.struct(F.lit(0).alias("low"), F.size(samples).alias("high"))
+
+    def halve(s: Column, _step: Column) -> Column:
+        middle = F.floor((s["low"] + s["high"]) / 2).cast("int")
+        above = F.get(samples, middle)["threshold"] > value
+        return F.when(s["low"] >= s["high"], s).otherwise(F.struct(
+            F.when(above, s["low"]).otherwise(middle + 1).alias("low"), F.when(above, middle).otherwise(s["high"]).alias("high")))
+
+    steps = F.sequence(F.lit(1), F.ceil(F.log2(F.size(samples) + F.lit(1))).cast("int"))
+    return F.aggregate(steps, start, halve, lambda s: s["low"])
+
+
+def sampled_requests(key: str, seed_prefix: Column, samples: Column) -> Column:
+    """The ids of the requests of a :func:`threshold_index` row that keep a row of data, in an array of one array; an empty array
+    if none does (so that ``explode`` drops the row). Decided like :func:`sample_predicate`: one hash per row and seed; a rate of 1
+    keeps every row, below it a row with a NULL key is not kept."""
+    # Sorts above every threshold but that of a sample that keeps everything.
+    no_hash = F.lit("f" * 9)
+    hashed = F.coalesce(F.substring(F.md5(F.concat(seed_prefix, F.col(key).cast("string"))), 1, 8), no_hash)
+    # Bound to a variable: the hash is made once, however often the search looks at it.
+    found = F.transform(F.array(hashed), lambda h: F.transform(
+        F.array(_first_above(samples, h)), lambda first: F.transform(
+            F.slice(samples, first + 1, F.size(samples) - first), lambda s: s["request_id"]))[0])
+    return F.filter(found, lambda ids: F.size(ids) > 0)
 
 
 def sample_rows(df: DataFrame, rate: float, seed: int, key: str = "rn", method: str = "hash") -> DataFrame:

@@ -17,7 +17,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from caseload.functions.rows import dense_id, sample_predicate_prepared, sample_threshold_col, seed_prefix_col, stable_id
+from caseload.functions.rows import dense_id, sampled_requests, stable_id, threshold_index
 from caseload.functions.scope import (
     NATION,
     PROVIDER,
@@ -48,7 +48,7 @@ from caseload.sources.dataset import Dataset
 KINDS = ("ip", "strategies_activity_avoidance", "strategies_efficiencies", "op", "aae", "birth_factors",
          "demographic_factors", "hsa_activity", "inequalities")
 _SCOPE_COLUMN = {PROVIDER: "dataset", REGION: "icb"}
-NATIONAL_REQUEST_COLUMNS = ("sample_rate", "seed", "_seed_prefix", "_threshold")
+NATIONAL_REQUEST_COLUMNS = ("sample_rate", "seed")
 # Scope objects only used for their level in relabel().
 _LEVEL_SCOPE = {PROVIDER: Scope.provider("-"), REGION: Scope.region("-"), NATION: Scope.national()}
 
@@ -73,10 +73,6 @@ class RequestBatch:
         self.id_method = id_method
         cols = ["request_id", "fyear"] + (["sample_rate", "seed"] if level == NATION else ["code"])
         req = requests.select(*cols)
-        if level == NATION:
-            # Per-request sampling constants, computed once per request rather than per data row.
-            req = req.withColumns({"_seed_prefix": seed_prefix_col(F.col("seed")),
-                                   "_threshold": sample_threshold_col(F.col("sample_rate"))})
         if level == NATION and len(self.keys) != 1:
             raise ValueError("hash sampling needs a single episode key")
         # One bounded job: at most max_requests + 1 rows are counted and their distinct years kept.
@@ -139,30 +135,53 @@ class RequestBatch:
         code = F.col("icb") if self.level == REGION else None
         return relabel(df, _LEVEL_SCOPE[self.level], include_icb=include_icb, code=code)
 
+    def _sampled(self, table: DataFrame) -> DataFrame:
+        """Rows of the requested years that a national request samples, with ``_requests``, the ids of those that do: one row
+        per seed that keeps it. The years' seeds and thresholds meet the rows, not the requests."""
+        table = self._in_years(table)
+        index = threshold_index(self.requests, ["fyear"], 1 if self.small else self.salt_buckets)
+        index = F.broadcast(index) if self.small else index
+        kept = F.explode(sampled_requests(self.keys[0], F.col("_seed_prefix"), F.col("_samples")))
+        return self._spread(table, index, ["fyear"]).select(*[F.col(f"`{c}`") for c in table.columns], kept.alias("_requests"))
+
     # ---- extracts ------------------------------------------------------------------------------------
     def ip(self) -> DataFrame:
-        df = self._scoped(self.data.table(names.IP))
         if self.level == NATION:
-            keep = sample_predicate_prepared(self.keys[0], F.col("_seed_prefix"), F.col("_threshold"))
-            df = df.filter(keep).drop(*NATIONAL_REQUEST_COLUMNS)
-        return self._relabel(df)
+            rows = self._sampled(self.data.table(names.IP)).withColumn("request_id", F.explode("_requests"))
+            return self._relabel(rows.drop("_requests"))
+        return self._relabel(self._scoped(self.data.table(names.IP)))
 
     def strategies(self, kind: str, cohort: DataFrame | None = None) -> DataFrame:
-        # Cohort membership as distinct (request, key) pairs, then an equi-join: the same rows as a
-        # semi join per request, without fanning every strategy out to every request of its year.
-        keys = cohort if cohort is not None else self.cohort_keys()
-        table = self._in_years(self.data.table(names.STRATEGY_TABLES[kind]))
-        return table.join(keys, self._match())
+        """Strategy rows of the requests' episodes: the same rows as a semi join per request.
 
-    def _match(self) -> list[str]:
-        return ["fyear", *self.keys] + (["dataset"] if self.level == PROVIDER else [])
+        The join is on the episode key alone, one row per key on the cohort side, so tables bucketed by the key meet
+        without a shuffle on either side; requests are added to what it leaves."""
+        keys = cohort if cohort is not None else self.cohort_keys()
+        table = self.data.table(names.STRATEGY_TABLES[kind])
+        if self.level == NATION:  # the sample is a function of the key: it prunes the strategies before the join
+            rows = self._sampled(table).join(keys, self.keys)
+            rows = rows.where(F.exists("_cohorts", lambda c: c["fyear"] == F.col("fyear")))
+            return rows.withColumn("request_id", F.explode("_requests")).drop("_requests", "_cohorts")
+        rows = self._in_years(table).join(keys, self.keys)
+        of_year = F.filter("_cohorts", lambda c: c["fyear"] == F.col("fyear"))
+        if self.level == PROVIDER:  # strategies name their provider
+            rows = rows.where(F.exists(of_year, lambda c: c["code"] == F.col("dataset"))).drop("_cohorts")
+            return self._spread(rows, self._req("dataset"), ["dataset", "fyear"])
+        rows = rows.withColumn("_code", F.explode(F.transform(of_year, lambda c: c["code"]))).drop("_cohorts")
+        return self._spread(rows, self._req("_code"), ["_code", "fyear"]).drop("_code")
 
     def cohort_keys(self) -> DataFrame:
-        """Distinct (request, episode key) pairs of the cohorts, hash-partitioned on the join keys
-        so the de-duplication and the strategy join share one shuffle. Persist it to serve both
+        """One row per episode key of the requested cohorts, with ``_cohorts``, the sorted set of those it is in (year and, below
+        the nation, code). Grouped by the key alone: inside the bucket, for bucketed episodes. Persist it to serve both
         strategy tables from one scan of the episodes."""
-        match = self._match()
-        return self.ip().select("request_id", *match).repartition(*match).dropDuplicates()
+        episodes = self.data.table(names.IP)
+        code = _SCOPE_COLUMN.get(self.level)
+        if code:
+            rows = self._scoped(episodes, cohorts=True)
+            entry = F.struct("fyear", F.col(code).alias("code"))
+        else:
+            rows, entry = self._in_years(episodes), F.struct("fyear")
+        return rows.groupBy(*self.keys).agg(F.array_sort(F.collect_set(entry)).alias("_cohorts"))
 
     def activity(self, table_name: str, measures: Sequence[str], national_collapse: dict | None) -> DataFrame:
         source = self.data.table(table_name)

@@ -275,3 +275,26 @@ def test_duplicate_episode_keys(spark):
                                "rn long, fyear int, dataset string, sitetret string, icb string")
     got = Cohorts(Dataset(spark, tables={"ip": ip}), Scope.region("R"), 2000).duplicate_episode_keys().collect()
     assert [(r["rn"], r["rows"]) for r in got] == [(1, 2)]
+
+
+def test_threshold_index_is_the_sample_of_every_request(spark):
+    """Requests of one seed share a hash per row; each gets the rows of its own sample, at the bounds too."""
+    from caseload.functions.rows import sampled_requests, threshold_index
+
+    rates = [-1.0, 0.0, 1e-9, 0.01, 0.1, 0.25, 0.25, 0.5, 0.5 + 2.0**-32, 0.999, 1.0, 2.0]
+    requests = spark.createDataFrame([(f"{seed}-{k}", seed, r) for seed in (1, 7) for k, r in enumerate(rates)],
+                                     "request_id string, seed long, sample_rate double")
+    data = spark.range(2_000).select(F.when(F.col("id") != 5, F.col("id")).alias("rn"))
+    want = {}
+    for r in requests.collect():
+        kept = sample_rows(data, r["sample_rate"], r["seed"]).collect() if r["sample_rate"] > 0 else []
+        want[r["request_id"]] = sorted((x["rn"] is None, x["rn"] or 0) for x in kept)
+    for blocks in (1, 3):
+        index = threshold_index(requests, [], blocks)
+        found = (data.crossJoin(F.broadcast(index)).select("rn", F.explode(sampled_requests("rn", F.col("_seed_prefix"), F.col("_samples"))).alias("ids"))
+                 .select("rn", F.explode("ids").alias("request_id")).collect())
+        got = {k: [] for k in want}
+        for r in found:
+            got[r["request_id"]].append((r["rn"] is None, r["rn"] or 0))
+        assert {k: sorted(v) for k, v in got.items()} == want
+    assert len(want["1-10"]) == len(want["1-11"]) == 2_000 and want["1-0"] == want["1-1"] == []

@@ -79,3 +79,43 @@ def test_bucketed_episode_tables_join_without_shuffle(spark, tmp_path):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", previous)
         for name in names.values():
             spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+@pytest.fixture(scope="module")
+def bucketed(spark, tmp_path_factory):
+    """Episodes and strategies bucketed by the episode key, and no broadcast but those that are asked for."""
+    from caseload.sources.layout import write_episode_tables
+
+    src = mapped_dataset(spark, SF_SMALL)
+    tables = {n: src.table(n) for n in ("ip", "ip_activity_avoidance_strategies", "ip_efficiencies_strategies")}
+    names = write_episode_tables(tables, str(tmp_path_factory.mktemp("bucketed")), buckets=4)
+    previous = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield Dataset(spark, tables=names)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", previous)
+    for name in names.values():
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+@pytest.mark.parametrize("level", ["provider", "region", "national"])
+def test_batch_strategies_on_buckets_join_without_shuffle(spark, bucketed, level):
+    from .test_batch import _requests
+
+    src = mapped_dataset(spark, SF_SMALL)
+    for kind in ("strategies_activity_avoidance", "strategies_efficiencies"):
+        df = extract_all(bucketed, _requests(spark, level), kind, level)
+        plan = _plan(df)
+        below = plan[plan.index("SortMergeJoin [rn"):]  # both sides of the join on the episode key
+        assert below.count("FileScan parquet") == 2 and "Exchange hashpartitioning(rn" not in plan
+        shuffles = [line for line in below.splitlines() if "Exchange" in line and "BroadcastExchange" not in line]
+        # What is shuffled is the requests alone (their distinct cohorts, or their thresholds), for a broadcast.
+        assert all("request" in line or "hashpartitioning(dataset" in line or "hashpartitioning(icb" in line or "hashpartitioning(fyear" in line
+                   or "_seed_prefix" in line for line in shuffles), shuffles
+        assert df.count() == extract_all(src, _requests(spark, level), kind, level).count() > 0
+
+
+def test_one_hash_per_row_and_seed(spark):
+    from .test_batch import _requests
+
+    df = extract_all(mapped_dataset(spark, SF_SMALL), _requests(spark, "national"), "ip", "national")
+    assert _plan(df).count("md5(") == 1
