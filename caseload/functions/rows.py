@@ -67,13 +67,13 @@ def seed_prefix_col(seed: Column) -> Column:
 
 def threshold_index(requests: DataFrame, within: Sequence[str], blocks: int = 1) -> DataFrame:
     """The samples that ``requests`` (request_id, seed, sample_rate) ask for, one row per distinct ``within`` and seed:
-    ``_seed_prefix`` and ``_samples``, the requests with their thresholds in ascending order. A row of data is hashed once per
-    seed and finds its requests as the end of that list (:func:`sampled_requests`). ``blocks`` deals the requests of
-    a seed over that many rows by a hash of their ids."""
+    ``_seed_prefix``, ``_samples``, the requests with their thresholds in ascending order, and ``_highest``, the last threshold.
+    A row of data is hashed once per seed and finds its requests as the end of that list (:func:`sampled_requests`).
+    ``blocks`` deals the requests of a seed over that many rows by a hash of their ids."""
     samples = F.array_sort(F.collect_list(F.struct(sample_threshold_col(F.col("sample_rate")).alias("threshold"), "request_id")))
     block = F.pmod(F.xxhash64("request_id"), F.lit(blocks)) if blocks > 1 else F.lit(0)
     return (requests.groupBy(*within, seed_prefix_col(F.col("seed")).alias("_seed_prefix"), block.alias("_block"))
-            .agg(samples.alias("_samples")).drop("_block"))
+            .agg(samples.alias("_samples"), F.max(sample_threshold_col(F.col("sample_rate"))).alias("_highest")).drop("_block"))
 
 
 def _first_above(samples: Column, value: Column) -> Column:
@@ -90,18 +90,19 @@ def _first_above(samples: Column, value: Column) -> Column:
     return F.aggregate(steps, start, halve, lambda s: s["low"])
 
 
-def sampled_requests(key: str, seed_prefix: Column, samples: Column) -> Column:
-    """The ids of the requests of a :func:`threshold_index` row that keep a row of data, in an array of one array; an empty array
-    if none does (so that ``explode`` drops the row). Decided like :func:`sample_predicate`: one hash per row and seed; a rate of 1
-    keeps every row, below it a row with a NULL key is not kept."""
+def sampled_requests(rows: DataFrame, key: str) -> DataFrame:
+    """Of ``rows`` joined to a :func:`threshold_index`, those that some request keeps, with ``_requests``, the ids of all that do, in
+    place of the index's columns. Decided like :func:`sample_predicate`: a rate of 1 keeps every row, below it a row with a
+    NULL key is not kept."""
     # Sorts above every threshold but that of a sample that keeps everything.
     no_hash = F.lit("f" * 9)
-    hashed = F.coalesce(F.substring(F.md5(F.concat(seed_prefix, F.col(key).cast("string"))), 1, 8), no_hash)
-    # Bound to a variable: the hash is made once, however often the search looks at it.
-    found = F.transform(F.array(hashed), lambda h: F.transform(
-        F.array(_first_above(samples, h)), lambda first: F.transform(
-            F.slice(samples, first + 1, F.size(samples) - first), lambda s: s["request_id"]))[0])
-    return F.filter(found, lambda ids: F.size(ids) > 0)
+    hashed = F.coalesce(F.substring(F.md5(F.concat("_seed_prefix", F.col(key).cast("string"))), 1, 8), no_hash)
+    # Exploded, as the optimizer would otherwise copy the hash into the filter and the search.
+    rows = rows.withColumn("_hash", F.explode(F.array(hashed))).where(F.col("_hash") < F.col("_highest"))
+    several = F.transform(F.array(_first_above(F.col("_samples"), F.col("_hash"))), lambda first: F.transform(
+        F.slice("_samples", first + 1, F.size("_samples") - first), lambda s: s["request_id"]))[0]
+    one = F.array(F.col("_samples")[0]["request_id"])  # its threshold is the highest
+    return rows.withColumn("_requests", F.when(F.size("_samples") == 1, one).otherwise(several)).drop("_hash", "_highest", "_samples", "_seed_prefix")
 
 
 def sample_rows(df: DataFrame, rate: float, seed: int, key: str = "rn", method: str = "hash") -> DataFrame:

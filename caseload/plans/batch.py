@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from caseload.functions.rows import dense_id, sampled_requests, stable_id, threshold_index
@@ -53,6 +53,11 @@ NATIONAL_REQUEST_COLUMNS = ("sample_rate", "seed")
 _LEVEL_SCOPE = {PROVIDER: Scope.provider("-"), REGION: Scope.region("-"), NATION: Scope.national()}
 
 
+def _beside(one: Column, other: Column) -> Column:
+    """Equality that is tested on the rows of a join and does not become one of its keys."""
+    return F.array_contains(F.array(other), one)
+
+
 class RequestBatch:
     """The extracts of every request in a request table, one plan per extract kind.
 
@@ -141,8 +146,7 @@ class RequestBatch:
         table = self._in_years(table)
         index = threshold_index(self.requests, ["fyear"], 1 if self.small else self.salt_buckets)
         index = F.broadcast(index) if self.small else index
-        kept = F.explode(sampled_requests(self.keys[0], F.col("_seed_prefix"), F.col("_samples")))
-        return self._spread(table, index, ["fyear"]).select(*[F.col(f"`{c}`") for c in table.columns], kept.alias("_requests"))
+        return sampled_requests(self._spread(table, index, ["fyear"]), self.keys[0])
 
     # ---- extracts ------------------------------------------------------------------------------------
     def ip(self) -> DataFrame:
@@ -154,34 +158,27 @@ class RequestBatch:
     def strategies(self, kind: str, cohort: DataFrame | None = None) -> DataFrame:
         """Strategy rows of the requests' episodes: the same rows as a semi join per request.
 
-        The join is on the episode key alone, one row per key on the cohort side, so tables bucketed by the key meet
-        without a shuffle on either side; requests are added to what it leaves."""
+        Shuffled, if at all, on the episode key alone: tables bucketed by it meet without a shuffle on either side. Years
+        and codes are compared beside the join, and requests are added to what it leaves."""
         keys = cohort if cohort is not None else self.cohort_keys()
         table = self.data.table(names.STRATEGY_TABLES[kind])
-        if self.level == NATION:  # the sample is a function of the key: it prunes the strategies before the join
-            rows = self._sampled(table).join(keys, self.keys)
-            rows = rows.where(F.exists("_cohorts", lambda c: c["fyear"] == F.col("fyear")))
-            return rows.withColumn("request_id", F.explode("_requests")).drop("_requests", "_cohorts")
-        rows = self._in_years(table).join(keys, self.keys)
-        of_year = F.filter("_cohorts", lambda c: c["fyear"] == F.col("fyear"))
+        rows = self._sampled(table) if self.level == NATION else self._in_years(table)
+        rows = rows.join(keys, self.keys).where(_beside(F.col("fyear"), F.col("_fyear"))).drop("_fyear")
+        if self.level == NATION:  # the sample is a function of the key: it has pruned the strategies before the join
+            return rows.withColumn("request_id", F.explode("_requests")).drop("_requests")
         if self.level == PROVIDER:  # strategies name their provider
-            rows = rows.where(F.exists(of_year, lambda c: c["code"] == F.col("dataset"))).drop("_cohorts")
+            rows = rows.where(_beside(F.col("dataset"), F.col("_code"))).drop("_code")
             return self._spread(rows, self._req("dataset"), ["dataset", "fyear"])
-        rows = rows.withColumn("_code", F.explode(F.transform(of_year, lambda c: c["code"]))).drop("_cohorts")
         return self._spread(rows, self._req("_code"), ["_code", "fyear"]).drop("_code")
 
     def cohort_keys(self) -> DataFrame:
-        """One row per episode key of the requested cohorts, with ``_cohorts``, the sorted set of those it is in (year and, below
-        the nation, code). Grouped by the key alone: inside the bucket, for bucketed episodes. Persist it to serve both
-        strategy tables from one scan of the episodes."""
+        """The distinct episode keys of the requested cohorts, with the cohorts they are in (``_fyear`` and, below the nation,
+        ``_code``). Persist it to serve both strategy tables from one scan of the episodes."""
         episodes = self.data.table(names.IP)
         code = _SCOPE_COLUMN.get(self.level)
-        if code:
-            rows = self._scoped(episodes, cohorts=True)
-            entry = F.struct("fyear", F.col(code).alias("code"))
-        else:
-            rows, entry = self._in_years(episodes), F.struct("fyear")
-        return rows.groupBy(*self.keys).agg(F.array_sort(F.collect_set(entry)).alias("_cohorts"))
+        rows = self._scoped(episodes, cohorts=True) if code else self._in_years(episodes)
+        cohort = [F.col("fyear").alias("_fyear"), *([F.col(code).alias("_code")] if code else [])]
+        return rows.select(*self.keys, *cohort).dropDuplicates()
 
     def activity(self, table_name: str, measures: Sequence[str], national_collapse: dict | None) -> DataFrame:
         source = self.data.table(table_name)

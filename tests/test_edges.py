@@ -291,8 +291,7 @@ def test_threshold_index_is_the_sample_of_every_request(spark):
         want[r["request_id"]] = sorted((x["rn"] is None, x["rn"] or 0) for x in kept)
     for blocks in (1, 3):
         index = threshold_index(requests, [], blocks)
-        found = (data.crossJoin(F.broadcast(index)).select("rn", F.explode(sampled_requests("rn", F.col("_seed_prefix"), F.col("_samples"))).alias("ids"))
-                 .select("rn", F.explode("ids").alias("request_id")).collect())
+        found = sampled_requests(data.crossJoin(F.broadcast(index)), "rn").select("rn", F.explode("_requests").alias("request_id")).collect()
         got = {k: [] for k in want}
         for r in found:
             got[r["request_id"]].append((r["rn"] is None, r["rn"] or 0))
