@@ -9,7 +9,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from caseload.operators.joins import small_side
@@ -21,6 +21,9 @@ NULL_MARK = "N"  # token of a NULL value
 SAMPLE_SEPARATOR = "|"  # between seed and key in the sample hash
 
 _TWO_32 = 4294967296  # 2**32
+# Rows that one task puts in order, and sampled places per range of the order.
+RANGE_ROWS = 1_000_000
+SAMPLES = 20
 # Hex digits sort below this: the threshold of a sample that keeps everything.
 _ALL = "g"
 
@@ -168,12 +171,11 @@ def dense_id(
     restarting for each value of ``within`` (e.g. a request id).
 
     ``method="range"`` (``"auto"`` is the same): the input, usually a small aggregate over a large
-    scan, is checkpointed once; its rows are range-partitioned on (``within``, keys) into
-    ``partitions`` (default ``spark.sql.shuffle.partitions``), sorted inside each partition and
-    checkpointed again (range bounds are sampled, so the layout is fixed once before it is counted).
-    Each row's position is its offset inside its partition plus the number of rows of the same
-    ``within`` group in earlier partitions. No task ever holds more than one range partition, even
-    when one group has most of the rows; nothing depends on the size of the input.
+    scan, is checkpointed once and counted on the way. Its order is cut into ``partitions`` ranges (default: one for
+    every ``RANGE_ROWS`` rows) at explicit splitters, keys taken from the rows themselves (:func:`_splitters`), so which
+    range a row is in depends on the row alone. A row's position is its place in its range plus the rows of the same
+    ``within`` group in earlier ranges. No task holds more than one range of one group, even when one
+    group has most of the rows; a single range needs neither splitters nor offsets.
 
     ``method="window"`` is ``row_number()`` over one window; without ``within`` that runs in a
     single task, so it is only for results known to be small.
@@ -184,7 +186,12 @@ def dense_id(
         return _window_ids(df, sort_keys, within, name)
     if method not in ("auto", "range"):
         raise ValueError(f"unknown dense id method {method!r}")
-    return _range_ids(df.checkpoint(eager=True), sort_keys, within, name, partitions)
+    counted = Observation()
+    rows = df.observe(counted, F.count(F.lit(1)).alias("rows")).checkpoint(eager=True)
+    ranges = partitions or -(-counted.get["rows"] // RANGE_ROWS)
+    if ranges <= 1:
+        return _window_ids(rows, sort_keys, within, name)
+    return _range_ids(rows, sort_keys, within, name, ranges)
 
 
 def _window_ids(df: DataFrame, sort_keys: list[str], within: list[str], name: str) -> DataFrame:
@@ -193,25 +200,52 @@ def _window_ids(df: DataFrame, sort_keys: list[str], within: list[str], name: st
     return df.withColumn(name, (F.row_number().over(spec) - 1).cast("long"))
 
 
-def _range_ids(df: DataFrame, sort_keys: list[str], within: list[str], name: str, partitions: int | None) -> DataFrame:
-    lead = _order(within + sort_keys)
-    ranged = (
-        (df.repartitionByRange(partitions, *lead) if partitions else df.repartitionByRange(*lead))
-        .sortWithinPartitions(*lead)
-        .select("*", F.spark_partition_id().alias("_part"), F.monotonically_increasing_id().alias("_pos"))
-        .checkpoint(eager=True)
-    )
-    group = ["_part", *within]
-    runs = ranged.groupBy(*group).agg(F.count(F.lit(1)).alias("_rows"), F.min("_pos").alias("_first"))
+def _place(keys: Sequence[str]) -> Column:
+    """A struct that compares as rows are ordered: NULLs last."""
+    return F.struct(*[c for i, k in enumerate(keys) for c in (F.col(k).isNull().alias(f"n{i}"), F.col(k).alias(f"k{i}"))])
+
+
+def _splitters(df: DataFrame, keys: Sequence[str], ranges: int) -> Column:
+    """``ranges - 1`` places (fewer, for few rows) that cut the order of ``df`` into ranges of about equal size, as a literal array.
+
+    Of every hash class of the rows the least place is a sample of the order; there are ``SAMPLES`` classes per range. Only
+    the splitters leave the executors."""
+    place = _place(keys)
+    classes = F.pmod(F.xxhash64(place), F.lit(ranges * SAMPLES))
+    sample = df.groupBy(classes.alias("c")).agg(F.min_by(place, F.xxhash64(place, F.lit(1))).alias("place"))
+    ordered = sample.agg(F.array_sort(F.collect_list("place")).alias("places"))
+    step = F.size("places") / ranges
+    cuts = F.transform(F.sequence(F.lit(1), F.lit(ranges - 1)), lambda i: F.get("places", F.floor(i * step).cast("int")))
+    found = ordered.select(F.to_json(F.array_distinct(cuts), {"ignoreNullFields": "false"}).alias("cuts"))
+    kind = ordered.schema["places"].dataType
+    return F.from_json(F.lit(found.first()["cuts"]), kind, {"allowNonNumericNumbers": "true"})
+
+
+def _range_of(place: Column, splitters: Column) -> Column:
+    """How many splitters are at or before ``place``, by binary search."""
+    def halve(s: Column, _step: Column) -> Column:
+        middle = F.floor((s["low"] + s["high"]) / 2).cast("int")
+        after = F.get(splitters, middle) > place
+        return F.when(s["low"] >= s["high"], s).otherwise(F.struct(
+            F.when(after, s["low"]).otherwise(middle + 1).alias("low"), F.when(after, middle).otherwise(s["high"]).alias("high")))
+
+    start = F.struct(F.lit(0).alias("low"), F.size(splitters).alias("high"))
+    steps = F.sequence(F.lit(1), F.ceil(F.log2(F.size(splitters) + F.lit(1))).cast("int"))
+    return F.aggregate(steps, start, halve, lambda s: s["low"])
+
+
+def _range_ids(df: DataFrame, sort_keys: list[str], within: list[str], name: str, ranges: int) -> DataFrame:
+    lead = within + sort_keys
+    ranged = df.withColumn("_part", _range_of(_place(lead), _splitters(df, lead, ranges)))
+    runs = ranged.groupBy("_part", *within).agg(F.count(F.lit(1)).alias("_rows"))
     earlier = (Window.partitionBy(*within) if within else Window.partitionBy()).orderBy("_part")
-    runs = runs.withColumn(
-        "_offset",
-        F.coalesce(F.sum("_rows").over(earlier.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
-    ).select(*group, "_first", "_offset")
-    # One row per partition, or per (partition, group): broadcast after a bounded count.
-    runs = small_side(runs)
-    join_cond = [ranged["_part"] == runs["_part"]] + [ranged[c].eqNullSafe(runs[c]) for c in within]
-    out = ranged.join(runs, join_cond, "inner").select(
-        ranged["*"], (ranged["_pos"] - runs["_first"] + runs["_offset"]).cast("long").alias(name)
+    offset = F.coalesce(F.sum("_rows").over(earlier.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    # One row per range, or per (range, group): broadcast after a bounded count.
+    runs = small_side(runs.select("_part", *within, offset.alias("_offset")))
+    spec = Window.partitionBy("_part", *within).orderBy(*_order(sort_keys))
+    placed = ranged.withColumn("_pos", F.row_number().over(spec) - 1)
+    join_cond = [placed["_part"] == runs["_part"]] + [placed[c].eqNullSafe(runs[c]) for c in within]
+    out = placed.join(runs, join_cond, "inner").select(
+        placed["*"], (placed["_pos"] + runs["_offset"]).cast("long").alias(name)
     )
     return out.drop("_part", "_pos")
