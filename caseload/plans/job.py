@@ -6,6 +6,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark import StorageLevel
@@ -18,7 +19,7 @@ from caseload.plans.batch import RequestBatch
 from caseload.plans.cohorts import FACTOR_IDS
 from caseload.sources.dataset import Dataset
 from caseload.session import ensure_checkpoint_dir
-from caseload.sources.sinks import RUN_PARTITIONS, write_extracts, write_json
+from caseload.sources.sinks import RUN_PARTITIONS, commit_attempt, write_extracts, write_json
 from caseload.streaming.intake import DEFAULT_YEAR_FIELD, drain_queue, quarantined, request_table
 
 AGGREGATE_KINDS = ("op", "aae", "birth_factors", "demographic_factors", "hsa_activity", "inequalities")
@@ -35,12 +36,14 @@ def run_requests(
     kinds: Sequence[str] | None = None,
     **extract_options,
 ) -> list[str]:
-    """Write the extracts of every request to ``{out_path}/{kind}``, partitioned by run, and the
-    run metadata to ``{out_path}/_runs`` (gzipped JSON). Row-level extracts only when ``full``.
-    Returns the kinds written."""
+    """Write the extracts of every request to ``{out_path}/{kind}/attempt=<id>``, partitioned by run, and one gzipped JSON
+    document per run (its metadata and whole params) to ``{out_path}/_runs``; then commit the attempt, which makes all kinds
+    of all its runs visible to ``read_extracts`` at once. Row-level extracts only when ``full``. Returns the kinds written."""
     kinds = list(kinds) if kinds else [*AGGREGATE_KINDS, *(ROW_KINDS if full else ())]
     runs = small_side(requests.select(
         "request_id", "app_version", F.col("code").alias("run_dataset"), "scenario", "create_datetime"))
+    attempt = uuid.uuid4().hex
+    schemas = {}
     batch = RequestBatch(data, requests, level, **extract_options)
     # Both strategy tables join the same cohort keys: compute them from one scan of the episodes.
     shared = batch.cohort_keys() if sum(k.startswith("strategies_") for k in kinds) > 1 else None
@@ -50,14 +53,17 @@ def run_requests(
         for kind in kinds:
             extract = batch.extract(kind, shared if kind.startswith("strategies_") else None)
             order = FACTOR_IDS if kind.endswith("factors") and level == NATION else None
-            write_extracts(extract.join(runs, "request_id"), f"{out_path}/{kind}", order_by=order)
+            rows = extract.join(runs, "request_id")
+            schemas[kind] = rows.schema
+            write_extracts(rows, f"{out_path}/{kind}/attempt={attempt}", order_by=order)
     finally:
         if shared is not None:
             shared.unpersist()
-    write_json(requests.select("params_path", "fyear", "seed", "sample_rate", "metadata",
+    write_json(requests.select("params_path", "fyear", "seed", "sample_rate", "metadata", *[c for c in ("params",) if c in requests.columns],
                                *[F.col(c).alias(c) for c in RUN_PARTITIONS if c != "run_dataset"],
                                F.col("code").alias("run_dataset")),
                f"{out_path}/_runs", partition_by=RUN_PARTITIONS)
+    commit_attempt(requests, out_path, attempt, schemas)
     return kinds
 
 
@@ -79,15 +85,17 @@ def serve_queue(
 ) -> int:
     """Drain the queue once; returns the number of files taken. Files that are not JSON, or lack a needed
     field, go to ``quarantine_path`` (default ``{out_path}/_quarantine``) with the reason, one partition per
-    request. Every write replaces the partitions of its own requests only, so a batch replayed after a
-    failure (same file versions, same ids and stamps) gives the same output."""
+    request. A batch replayed after a failure (same file versions, same ids and stamps) is a new attempt at the same
+    requests and takes the place of what it finds."""
     ensure_checkpoint_dir(spark)  # before anything is written
 
     def handle(raw: DataFrame) -> None:
         (quarantined(raw, level, year_field)
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("request_id").parquet(quarantine_path or f"{out_path}/_quarantine"))
-        requests = request_table(raw, level=level, year_field=year_field, sample_rate=sample_rate)
+        requests = request_table(raw, level=level, year_field=year_field, sample_rate=sample_rate, stamp_from=F.col("taken_at"))
+        if requests.isEmpty():
+            return
         run_requests(data, requests, level, out_path, full=full, **extract_options)
 
     return drain_queue(spark, queue_path, ledger, handle, clean_source=clean_source, archive_dir=archive_dir)
