@@ -29,9 +29,12 @@ from caseload.operators.joins import duplicate_keys  # noqa: E402
 from caseload.operators.shape import wide_to_long  # noqa: E402
 from caseload.plans.batch import extract_all  # noqa: E402
 from caseload.plans.cohorts import Cohorts  # noqa: E402
+from caseload.plans.job import run_requests  # noqa: E402
 from caseload.session import ensure_checkpoint_dir  # noqa: E402
 from caseload.sources import dataset as names  # noqa: E402
 from caseload.sources.dataset import Dataset  # noqa: E402
+from caseload.sources.layout import write_table  # noqa: E402
+from caseload.sources.sinks import read_extracts  # noqa: E402
 from caseload.sources.testdata import FACTOR_YEARS, raw, mapped_dataset  # noqa: E402
 from caseload.streaming.intake import request_table  # noqa: E402
 
@@ -52,6 +55,7 @@ SEED = 42
 RATE = 0.25
 GIVEN_FACTOR_YEARS = (1999, 2000)
 BATCH_YEARS = (1999, 2000)
+RUN_LABELS = {"app_version": "v1", "scenario": "base", "create_datetime": "20240101_090000"}
 REQUEST_YEARS = (1999, 2000, 2024)
 BATCH_KINDS = ("ip", "strategies_activity_avoidance", "strategies_efficiencies", "op", "aae", "birth_factors",
                "demographic_factors", "hsa_activity", "inequalities")
@@ -112,27 +116,51 @@ def _by_path(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _by_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A region's inequalities from a table that the session's catalog names."""
-    mapped_dataset(spark, sf_dir).table(names.INEQUALITIES).createOrReplaceTempView("caseload_inequalities")
-    data = Dataset(spark, tables={names.INEQUALITIES: "caseload_inequalities"})
+    """A region's inequalities from a table of the session's catalog, stored by year and with collected statistics."""
+    place = f"{ensure_checkpoint_dir(spark)}/catalog-{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS spark_catalog.caseload_tables LOCATION '{place}'")
+    table = f"spark_catalog.caseload_tables.inequalities_{uuid.uuid4().hex}"
+    write_table(mapped_dataset(spark, sf_dir).table(names.INEQUALITIES), table, f"{place}/inequalities")
+    data = Dataset(spark, tables={names.INEQUALITIES: table})
     return Cohorts(data, _scope(spark, sf_dir, "region"), YEAR).inequalities()
 
 
 def _request_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Params files made of the nation table, read as typed requests with their scalar metadata, a row per entry."""
-    nation = raw(spark, sf_dir, "nation")
+    """Params texts made of the orders, read as typed requests with their scalar metadata, a row per entry."""
+    order, day = F.col("o_orderkey"), F.col("o_orderdate")
     text = F.to_json(F.struct(
-        F.lit("v1").alias("app_version"), F.col("n_name").alias("dataset"), F.lit("base").alias("scenario"),
-        F.col("n_nationkey").alias("seed"), F.lit(YEAR).alias("start_year"), (F.col("n_regionkey") > 2).alias("late"),
-        F.struct(F.col("n_regionkey").alias("x")).alias("nested"), F.array("n_regionkey").alias("list")))
-    files = nation.select(
-        F.col("n_name").alias("params_path"), F.col("n_name").alias("request_id"), text.alias("params_text"),
-        F.make_timestamp(F.lit(2024), (F.col("n_regionkey") + 1).cast("int"), (F.col("n_nationkey") + 1).cast("int"), F.lit(9),
-                         F.col("n_nationkey").cast("int"), F.lit(7)).alias("params_modified"))
+        F.lit("v1").alias("app_version"), F.col("o_orderpriority").alias("dataset"), F.lit("base").alias("scenario"),
+        F.col("o_custkey").alias("seed"), F.lit(YEAR).alias("start_year"), (F.col("o_orderstatus") == "F").alias("late"),
+        F.struct(order.alias("x")).alias("nested"), F.array("o_custkey").alias("list")))
+    files = raw(spark, sf_dir, "orders").select(
+        order.cast("string").alias("params_path"), order.cast("string").alias("request_id"), text.alias("params_text"),
+        F.make_timestamp(F.lit(2024), F.month(day), F.day(day), F.lit(9), (order % 60).cast("int"), F.lit(7)).alias("params_modified"))
     requests = request_table(files.withColumn("params", F.try_parse_json("params_text")), level="region")
     return requests.select("request_id", "code", "fyear", "seed", "create_datetime", F.explode("metadata").alias("key", "value"))
 
 
+def _duplicate_composite_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Episodes keyed by several columns that do not name them: most keys repeat."""
+    data = mapped_dataset(spark, sf_dir)
+    return Cohorts(data, Scope.national(RATE, SEED), YEAR, keys=("dataset", "sitetret", "admigroup")).duplicate_episode_keys()
+
+
+def _sink(level: str, kind: str, full: bool = False) -> Callable[[SparkSession, str], DataFrame]:
+    """Runs of all requests of a level written through the sinks (with another kind beside it), and one kind read back."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        out = f"{ensure_checkpoint_dir(spark)}/runs-{uuid.uuid4().hex}"
+        requests = _level_requests(spark, sf_dir, level)
+        missing = {"code": F.lit("NATIONAL"), "seed": F.lit(None).cast("long"), "sample_rate": F.lit(None).cast("double")}
+        requests = requests.withColumns({
+            **{c: v for c, v in missing.items() if c not in requests.columns}, **{c: F.lit(v) for c, v in RUN_LABELS.items()},
+            "params_path": F.col("request_id"), "metadata": F.create_map(F.lit("scenario"), F.lit(RUN_LABELS["scenario"]))})
+        kinds = ["strategies_activity_avoidance", "strategies_efficiencies"] if full else [kind, "inequalities"]
+        run_requests(mapped_dataset(spark, sf_dir), requests, level, out, full=full, kinds=kinds)
+        df = read_extracts(spark, out, kind)
+        return _as_double(df, [c for c in df.columns if c.isdigit()])
+    return run
+
+
 def _duplicate_strategy_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = mapped_dataset(spark, sf_dir).table(names.STRATEGY_TABLES["activity_avoidance"])
     return duplicate_keys(table, ["rn", "strategy"])
@@ -197,6 +225,14 @@ def _batch_level(kind: str, level: str) -> Callable[[SparkSession, str], DataFra
     return run
 
 
+#: Runs that are written and read back.
+SINKS = {
+    "sink_provider_strategies_full": ("provider", "strategies_efficiencies"),
+    "sink_region_op": ("region", "op"),
+    "sink_national_demographic_factors": ("national", "demographic_factors"),
+}
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
     for level in ("provider", "region", "national"):
@@ -217,6 +253,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q["request_metadata"] = _request_metadata
     q["duplicate_strategy_keys"] = _duplicate_strategy_keys
     q["duplicate_episode_keys"] = _extract("national", "duplicate_episode_keys")
+    q["duplicate_composite_keys"] = _duplicate_composite_keys
+    for name, (level, kind) in SINKS.items():
+        q[name] = _sink(level, kind, full=kind.startswith("strategies_"))
     q["stable_row_id"] = _stable_row_id
     q["batch_provider_ip"] = _batch("ip")
     q["wide_to_long"] = _wide_to_long
@@ -328,10 +367,13 @@ QUERIES["region_demographic_factors"] = QUERIES["region_demographic_factors_all_
 QUERIES["source_by_path_provider_ip"] = QUERIES["provider_ip"]
 QUERIES["source_by_catalog_region_inequalities"] = QUERIES["region_inequalities"]
 QUERIES["duplicate_strategy_keys"] = "SELECT rn, strategy, count(*) AS \"rows\" FROM ip_activity_avoidance_strategies GROUP BY rn, strategy HAVING count(*) > 1"
-QUERIES["request_metadata"] = f"""WITH r AS (SELECT *, strftime(make_timestamp(2024, n_regionkey+1, n_nationkey+1, 9, n_nationkey, 7), '%Y%m%d_%H%M%S') AS stamp FROM nation)
-SELECT n_name AS request_id, n_name AS code, CAST({YEAR} AS INT) AS fyear, CAST(n_nationkey AS BIGINT) AS seed, stamp AS create_datetime, key, value
-FROM r, LATERAL (VALUES ('app_version','v1'),('dataset',n_name),('scenario','base'),('seed',CAST(n_nationkey AS VARCHAR)),('start_year','{YEAR}'),
- ('late',CASE WHEN n_regionkey>2 THEN 'true' ELSE 'false' END),('create_datetime',stamp)) AS e(key, value)"""
+QUERIES["duplicate_composite_keys"] = """SELECT dataset, sitetret, admigroup, count(*) AS "rows" FROM ip
+WHERE fyear=2000 AND dataset IS NOT NULL AND sitetret IS NOT NULL AND admigroup IS NOT NULL GROUP BY 1, 2, 3 HAVING count(*) > 1"""
+QUERIES["request_metadata"] = f"""WITH r AS (SELECT *, CAST(o_orderkey AS VARCHAR) AS id,
+ strftime(make_timestamp(2024, month(o_orderdate), day(o_orderdate), 9, o_orderkey % 60, 7), '%Y%m%d_%H%M%S') AS stamp FROM orders)
+SELECT id AS request_id, o_orderpriority AS code, CAST({YEAR} AS INT) AS fyear, CAST(o_custkey AS BIGINT) AS seed, stamp AS create_datetime, key, value
+FROM r, LATERAL (VALUES ('app_version','v1'),('dataset',o_orderpriority),('scenario','base'),('seed',CAST(o_custkey AS VARCHAR)),('start_year','{YEAR}'),
+ ('late',CASE WHEN o_orderstatus='F' THEN 'true' ELSE 'false' END),('create_datetime',stamp)) AS e(key, value)"""
 for _level, (_where, _cohort) in _COHORT.items():
     for _kind, _table in _TABLES.items():
         QUERIES[f"{_level}_strategies_{_kind}"] = _STRATEGY.format(table=_table, where=_where, cohort=_cohort)
@@ -439,12 +481,18 @@ for _level in ("provider", "region", "national"):
         QUERIES[f"batch_{_level}_requests_{_kind}"] = _batch_sql(_level, _kind)
 
 
+for _name, (_level, _kind) in SINKS.items():
+    _code = "'NATIONAL'" if _level == "national" else "runs.code"
+    _labels = ", ".join(f"'{v}' AS {c}" for c, v in RUN_LABELS.items())
+    QUERIES[_name] = f"SELECT b.*, {_code} AS run_dataset, {_labels} FROM ({_batch_sql(_level, _kind)}) b JOIN q runs ON runs.request_id=b.request_id"
+
+
 def oracle_sql() -> dict[str, str]:
     out = {}
     for name, sql in QUERIES.items():
         if name not in queries():
             continue
-        if name.startswith("batch_") and "_requests_" in name:
+        if name in SINKS or name.startswith("batch_") and "_requests_" in name:
             level = name.split("_")[1]
             out[name] = _with_views(sql, extra={"q": _REQ_SQL[level]})
         else:

@@ -29,7 +29,7 @@ from caseload.functions.scope import (
     fyear_code_col,
     relabel,
 )
-from caseload.operators.joins import DEFAULT_BROADCAST_ROWS, small_side
+from caseload.operators.joins import DEFAULT_BROADCAST_BYTES, DEFAULT_BROADCAST_ROWS, small_side, value_bytes
 from caseload.operators.measure import mean_by, roll_up, sum_factors
 from caseload.operators.shape import keys_except, long_to_wide, year_columns
 from caseload.plans.cohorts import (
@@ -81,9 +81,9 @@ class RequestBatch:
         if level == NATION and len(self.keys) != 1:
             raise ValueError("hash sampling needs a single episode key")
         # One bounded job: at most max_requests + 1 rows are counted and their distinct years kept.
-        probe = req.limit(max_requests + 1).agg(F.count(F.lit(1)).alias("n"),
-                                                  F.collect_set("fyear").alias("years")).first()
-        small = probe["n"] <= max_requests
+        seen = req.limit(max_requests + 1)
+        probe = seen.agg(F.count(F.lit(1)).alias("n"), value_bytes(seen).alias("bytes"), F.collect_set("fyear").alias("years")).first()
+        small = probe["n"] <= max_requests and probe["bytes"] <= DEFAULT_BROADCAST_BYTES
         self.small = small
         self.salt_buckets = salt_buckets or int(requests.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         self.requests = F.broadcast(req) if small else req

@@ -35,9 +35,13 @@ def write_table(
     bucket_by: Sequence[str] | None = None,
     buckets: int | None = None,
     mode: str = "overwrite",
+    statistics: bool = True,
 ) -> None:
     """Save ``df`` as a catalog table ``name`` stored at ``path`` (parquet), partitioned by
-    ``partition_by`` and, when ``bucket_by`` is given, bucketed (and sorted) into ``buckets``."""
+    ``partition_by`` and, when ``bucket_by`` is given, bucketed (and sorted) into ``buckets``.
+
+    With ``statistics`` the catalog then holds the table's bytes and rows, by which Catalyst decides on broadcasts; without
+    them it goes by the size of the compressed files."""
     if bucket_by:
         if not buckets:
             raise ValueError("bucketing needs a bucket count")
@@ -50,6 +54,8 @@ def write_table(
     if bucket_by:
         writer = writer.bucketBy(buckets, *bucket_by).sortBy(*bucket_by)
     writer.saveAsTable(name)
+    if statistics:
+        df.sparkSession.sql(f"ANALYZE TABLE {name} COMPUTE STATISTICS")
 
 
 def write_episode_tables(tables: dict[str, DataFrame], root: str, database: str | None = None,
