@@ -1,10 +1,15 @@
 """Main text of HTML pages from flat text blocks.
 
 A page is cut into a flat list of text blocks at block-level tags. Every block gets its number of words, its link
-density (share of its words inside links), the same of the block before and after, and what encloses it (article,
-boilerplate element, boilerplate name, heading, list; of article, element and name the nearest counts). A decision tree, trained by :func:`train_tree` on the small labelled table
+density (share of its words inside links), the same of the block before and after, how far the nearest running text before and
+after it is, and what encloses it (article, boilerplate element, boilerplate name, heading, list; of article, element and name the
+nearest counts). A decision tree, trained by :func:`train_tree` on the small labelled table
 :data:`LABELLED`, tells main text from the rest; the blocks it keeps are joined in page order.
 
+Reader comments, adverts, notices, newsletter, sharing and related boxes are told by any word of a class, id or role and go whatever
+their length, comments that are article elements too. A header inside an article holds its headline and stays. Other names
+(sidebar, legal) do not outweigh long text without links. An article's own class does not count.
+
 Character references are decoded, white space inside a block becomes one space, blocks are joined by one space. Text
 of scripts, styles, comments, titles and the like is never a block; that of formulas (but for their source in an annotation) and
 the content of objects is. Null and empty pages give an empty text; broken or
@@ -49,47 +54,70 @@ _NAMES = frozenset("ad ads adv advert advertisement advertising adbox sponsor sp
                    "recommendations more share sharing social footer header masthead copyright legal comment comments reply "
                    "replies discussion disqus respond form search pagination pager toolbar contentinfo complementary dialog "
                    "skip hidden".split())
+#: Words of a class, id or role that name something apart wherever they stand in it, and those that make it the name of a state.
+_ALWAYS = frozenset("ad ads adv advert adverts advertisement advertisements advertising adsbygoogle adbox adslot sponsor sponsored promo promos "
+                    "promotion cookie cookies consent gdpr newsletter subscribe signup comment comments commentlist reply replies disqus respond "
+                    "related recommended recommendations share sharing social".split())
+_REMARKS = frozenset("comment comments commentlist reply replies disqus respond".split())
+_STATES = frozenset("has have no not non with without is are open opened closed enabled disabled off on allowed free count single hide".split())
 #: Words of :data:`_NAMES` that also name a paragraph or heading of an article.
 _SOFT = frozenset("alert comment legal more notice notices privacy recommended reply search warning".split())
 #: Words that may stand before the last one of a name, as in site-footer.
 _WHERE = frozenset("site page main global top bottom left right primary secondary post article entry".split())
 _ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|$)|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.I)
-_SPLIT = re.compile(r"[^a-z0-9]+")
+_SPLIT = re.compile(r"[^a-z]+")
+_CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
 
 class Block(NamedTuple):
     text: str
     words: int
     link_words: int
-    apart: int  # inside an element (2) or name (1) that is not the article's, with no article or main element nearer
+    apart: int  # inside an element or box (2) or name (1) that is not the article's, with no article or main element nearer
     article: int  # inside an article or main element
     heading: int
     listed: int
 
 
 FEATURES = ("words", "link density", "words before", "link density before", "words after", "link density after", "apart",
-            "article", "heading", "listed")
+            "article", "heading", "listed", "to text before", "to text after")
+#: Words and link density of a block of running text, and the blocks beyond which there is none near.
+TEXT_WORDS, TEXT_LINKS, FAR = 15, 0.35, 6
 
 
 def _is_name(token: str, soft: bool) -> bool:
     """Whether a class, id or role as a whole names something apart: no-sidebar and has-comments do not."""
-    words = [w for w in _SPLIT.split(token.lower()) if w and not w.isdigit()]
+    words = [w for w in _SPLIT.split(token.lower()) if w]
     while len(words) > 1 and words[0] in _WHERE:
         words = words[1:]
     return bool(words) and _NAMES.issuperset(words) and not (soft and _SOFT.issuperset(words))
 
 
-def _apart(tag: str, attributes: str) -> int:
-    """2 for an element that is apart or hidden, 1 for one that is only named so, else 0."""
-    if tag in _APART:
+def _named(attributes: str) -> Iterator[tuple[str, set[str]]]:
+    """The classes, ids and roles, each with its words (``adSlot`` has two)."""
+    for _, a, b, c in _ATTRIBUTE.findall(attributes):
+        for token in (a or b or c).split():
+            yield token, {w for w in _SPLIT.split(_CAMEL.sub("-", token).lower()) if w}
+
+
+def _apart(tag: str, attributes: str, inside: bool = False) -> int:
+    """3 for reader comments, 2 for another element or box that is apart or hidden, 1 for one that is only named so, else 0. ``inside``: within
+    an article or main element, whose header is its own."""
+    if tag in _APART and not (tag == "header" and inside):
         return 2
     if not attributes or attributes.isspace():
         return 0
     if _HIDDEN.search(attributes):
         return 2
     soft = tag == "p" or tag in _HEADINGS
-    return int(any(_is_name(token, soft) for _, a, b, c in _ATTRIBUTE.findall(attributes) for token in (a or b or c).split()))
+    most = 0
+    for token, words in _named(attributes):
+        if words & _ALWAYS and not words & _STATES and not (soft and words <= _SOFT):
+            most = max(most, 3 if words & _REMARKS else 2)
+        elif _is_name(token, soft):
+            most = max(most, 1)
+    return most if tag not in _MAIN or most == 3 else 0
 
 
 def _nearest(stack: list[tuple[str, int, bool]]) -> int:
@@ -99,7 +127,7 @@ def _nearest(stack: list[tuple[str, int, bool]]) -> int:
         most = max(most, apart)
         if main:
             break
-    return most
+    return min(most, 2)
 
 
 def blocks(page: str | None) -> list[Block]:
@@ -152,13 +180,22 @@ def blocks(page: str | None) -> list[Block]:
             if stack and (stack[-1][0] == "p" or tag == "li" and stack[-1][0] == "li"):
                 stack.pop()  # these end where a block begins
             if tag not in ("html", "body"):
-                stack.append((tag, _apart(tag, attributes), tag in _MAIN))
+                apart = _apart(tag, attributes, any(m for _, _, m in stack))
+                # An article among the reader comments is one of them.
+                stack.append((tag, apart, tag in _MAIN and apart < 3 and all(a < 3 for _, a, _ in stack)))
     if at < len(page):
         parts.append((html.unescape(page[at:]), links > 0))
     flush()
     return out
 
 
+def _distances(text: np.ndarray) -> np.ndarray:
+    """Blocks from each one back to the last one of running text before it, :data:`FAR` at most."""
+    at = np.arange(len(text))
+    last = np.maximum.accumulate(np.where(text, at, -FAR))
+    return np.minimum(at - np.r_[-FAR, last[:-1]][:len(text)], FAR)
+
+
 def features(found: list[Block]) -> np.ndarray:
     """One row of :data:`FEATURES` for each block."""
     n = len(found)
@@ -166,7 +203,8 @@ def features(found: list[Block]) -> np.ndarray:
     edge = np.zeros((1, 2))
     before, after = np.r_[edge, own[:-1]][:n], np.r_[own[1:], edge][:n]
     context = np.array([(b.apart, b.article, b.heading, b.listed) for b in found], float).reshape(n, 4)
-    return np.hstack([own, before, after, context])
+    text = (own[:, 0] >= TEXT_WORDS) & (own[:, 1] < TEXT_LINKS) & (context[:, 0] == 0)
+    return np.hstack([own, before, after, context, np.c_[_distances(text), _distances(text[::-1])[::-1]]])
 
 
 # The labelled table: pages as runs of blocks (keep, words, words in links, apart, article, heading, listed).
@@ -183,14 +221,20 @@ _SHORT_ARTICLE = [(1, 3, 0, 0, 1, 1, 0), (1, 2, 0, 0, 1, 0, 0), (1, 1, 0, 0, 1,
 _LINKED_ARTICLE = [(1, 6, 0, 0, 1, 1, 0), (1, 4, 1, 0, 1, 0, 0), (1, 12, 7, 0, 1, 0, 0), (1, 3, 3, 0, 1, 0, 0), (1, 25, 9, 0, 1, 0, 0),
                    (1, 5, 4, 0, 1, 0, 1), (1, 9, 5, 0, 1, 0, 1), (1, 2, 2, 0, 1, 0, 1), (1, 7, 7, 0, 1, 0, 1), (1, 14, 14, 0, 1, 0, 0)]
 _IN_ARTICLE = [(0, 5, 5, 1, 1, 0, 0), (0, 9, 0, 1, 1, 0, 0), (0, 40, 0, 1, 1, 0, 0), (0, 3, 3, 1, 1, 0, 1)]
-_COMMENTS = [(0, 2, 0, 1, 0, 1, 0), (0, 30, 0, 1, 0, 0, 0), (0, 55, 1, 1, 0, 0, 0), (0, 4, 0, 1, 0, 0, 1)]
+_COMMENTS = [(0, 2, 0, 2, 0, 1, 0), (0, 30, 0, 2, 0, 0, 0), (0, 85, 1, 2, 0, 0, 0), (0, 4, 0, 2, 0, 0, 1), (0, 140, 0, 2, 0, 0, 0)]
+_BOX = [(0, 3, 0, 2, 1, 1, 0), (0, 90, 0, 2, 1, 0, 0), (0, 35, 2, 2, 1, 0, 0), (0, 7, 7, 2, 1, 0, 1)]
 _BODY = [(1, 8, 0, 0, 0, 1, 0), (1, 60, 0, 0, 0, 0, 0), (1, 45, 2, 0, 0, 0, 0), (1, 18, 0, 0, 0, 0, 0), (1, 90, 1, 0, 0, 0, 0),
          (1, 5, 0, 0, 0, 1, 0), (1, 33, 0, 0, 0, 0, 0), (1, 15, 0, 0, 0, 0, 1), (1, 70, 0, 0, 0, 0, 0)]
+# Without an article element: headline, byline, short paragraphs and lists near running text.
+_SPARSE_BODY = [(1, 7, 0, 0, 0, 1, 0), (1, 3, 0, 0, 0, 0, 0), (1, 4, 1, 0, 0, 0, 0), (1, 55, 0, 0, 0, 0, 0), (1, 2, 0, 0, 0, 0, 0), (1, 48, 1, 0, 0, 0, 0),
+                (1, 3, 0, 0, 0, 1, 0), (1, 4, 0, 0, 0, 0, 1), (1, 2, 0, 0, 0, 0, 1), (1, 9, 2, 0, 0, 0, 1), (1, 25, 0, 0, 0, 0, 0), (1, 1, 0, 0, 0, 0, 0),
+                (1, 64, 3, 0, 0, 0, 0)]
 _RELATED = [(0, 3, 0, 0, 0, 1, 0), (0, 7, 7, 0, 0, 0, 1), (0, 9, 9, 0, 0, 0, 1)]
-# A name alone does not outweigh long text without links, nor an article element a run of nothing but links.
+# A name that only sometimes means something apart does not outweigh long text without links.
 _NAMED_BODY = [(1, 75, 0, 1, 0, 0, 0), (1, 100, 2, 1, 0, 0, 0), (1, 140, 0, 1, 0, 0, 0), (1, 65, 1, 1, 0, 0, 0)]
 _NAMED_ARTICLE = [(1, 70, 0, 1, 1, 0, 0), (1, 90, 1, 1, 1, 0, 0), (1, 120, 0, 1, 1, 0, 0)]
-_LINK_RUN = [(0, 6, 6, 0, 1, 0, 1), (0, 8, 8, 0, 1, 0, 1), (0, 6, 6, 0, 1, 0, 1), (0, 8, 8, 0, 1, 0, 1), (0, 9, 9, 0, 1, 0, 1), (0, 8, 8, 0, 1, 0, 1)]
+# References at the end of an article.
+_REFERENCES = [(1, 1, 0, 0, 1, 1, 0), (1, 6, 6, 0, 1, 0, 1), (1, 8, 8, 0, 1, 0, 1), (1, 6, 6, 0, 1, 0, 1), (1, 8, 8, 0, 1, 0, 1), (1, 9, 9, 0, 1, 0, 1), (1, 8, 8, 0, 1, 0, 1)]
 LABELLED = [
     _NAV + _AD + _ARTICLE + _FOOT,
     _NAV + _LONG_AD + _ARTICLE[:3] + _IN_ARTICLE + _ARTICLE[3:] + _COMMENTS + _FOOT,
@@ -213,7 +257,10 @@ LABELLED = [
     _LINKED_ARTICLE[::-1],
     _NAV + _NAMED_BODY + _FOOT,
     _NAV + _ARTICLE[:2] + _NAMED_ARTICLE + _ARTICLE[3:5] + _FOOT,
-    _ARTICLE[:4] + _LINK_RUN,
+    _NAV + _ARTICLE[:4] + _REFERENCES + _COMMENTS + _FOOT,
+    _NAV + _ARTICLE[:4] + _BOX + _ARTICLE[4:] + _FOOT,
+    _PLAIN_NAV + _SPARSE_BODY + _RELATED + _PLAIN_FOOT,
+    _NAV + _SPARSE_BODY + _COMMENTS + _FOOT,
     _NAV + _ASIDE + _ARTICLE[:2] + _FOOT,
 ]
 
