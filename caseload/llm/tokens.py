@@ -27,10 +27,13 @@ import pyarrow.compute as pc
 
 from caseload.llm.worker import kept
 
-#: Distinct chunks that a worker keeps in each of two generations (about 15 MB).
-CACHED_CHUNKS = 80_000
+#: Distinct chunks that a worker keeps in each of two generations (about 25 MB).
+CACHED_CHUNKS = 120_000
 
 _ODD_SPACE = re.compile(r"[\x0b\x0c\x1c-\x1f\x85]")
+#: Chunks that both kinds of file split into one piece, or two: letters that neither case nor composition turns into anything but
+#: letters, and closing marks.
+_PLAIN = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([.,;:!?)\"]{0,3})").fullmatch
 #: All white space but the space and the line feed.
 _OTHER_SPACE = [chr(c) for c in range(0x110000) if chr(c).isspace() and chr(c) not in " \n"]
 
@@ -54,9 +57,9 @@ class _Recent:
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
-    def missing(self, wanted: set[str]) -> list[str]:
+    def missing(self, wanted: set[str], renew: bool = True) -> list[str]:
         """The chunks that are in neither generation; the others are in the young one afterwards."""
-        if len(self.young) > CACHED_CHUNKS:
+        if renew and len(self.young) > CACHED_CHUNKS:
             self.young, self.old = {}, self.young
         new, young, old = [], self.young, self.old
         for w in wanted.difference(young):
@@ -83,8 +86,14 @@ class Encoder:
         plain = [t for t in spec.get("added_tokens") or [] if t.get("special") and not (t.get("lstrip") or t.get("rstrip"))]
         self.mark, self.mark_id = (plain[0]["content"], plain[0]["id"]) if plain else ("", -1)
         self.kind = self._kind(spec) if plain else "whole"
+        # Of every id, whether a piece that a space goes before begins with it, or whether a piece ends with it.
+        suffix = spec["model"].get("end_of_word_suffix") or "\0"
+        vocabulary = self.library.get_vocab()
+        self.edge = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
+        self.edge[[i for t, i in vocabulary.items() if (t.startswith("\u0120") if self.kind == "spaced" else t.endswith(suffix))]] = True
         self.first = _Recent()  # chunks at the start of a line (or anywhere, if white space is dropped)
         self.after = _Recent()  # chunks that a single space goes before
+        self.marks: dict[str, bytes] = {}  # closing marks of plain chunks
 
     @staticmethod
     def _kind(spec: dict) -> str:
@@ -103,17 +112,48 @@ class Encoder:
         return [np.array(e.ids, "<u4").tobytes() for e in done]
 
     def _learn(self, wanted: set[str], known: _Recent, prefix: str) -> dict[str, bytes]:
-        """Ids of all ``wanted`` chunks. Unknown ones are encoded many to a call: a special string, which no chunk
-        holds, stands between them."""
+        """Ids of all ``wanted`` chunks. Unknown ones are encoded many to a call. Plain words, taken off their closing marks, stand
+        side by side there, as each is one piece that the vocabulary tells from the next; between others stands a special string,
+        which no chunk holds."""
         new = known.missing(wanted)
-        for k in range(0, len(new), 5_000):
-            part = new[k:k + 5_000]
+        other, marked = new, []
+        if self.kind == "dropped" or prefix:
+            other, words = [], set()
+            for w, m in zip(new, map(_PLAIN, new)):
+                if m is None:
+                    other.append(w)
+                else:
+                    words.add(m[1])
+                    if m[2]:
+                        marked.append((w, m[1], m[2]))
+            plain = known.missing(words, renew=False)
+            for k in range(0, len(plain), 5_000):
+                part = plain[k:k + 5_000]
+                ids = np.array(self.library.encode_batch_fast([prefix + " ".join(part)], add_special_tokens=False)[0].ids, "<u4")
+                at = np.flatnonzero(self.edge[ids])
+                if len(at) != len(part):  # not what such words are taken to be: the safe way
+                    other += part
+                elif self.kind == "spaced":
+                    self._keep(known, part, ids, at, np.r_[at[1:], len(ids)])
+                else:
+                    self._keep(known, part, ids, np.r_[0, at[:-1] + 1], at + 1)
+        for k in range(0, len(other), 5_000):
+            part = other[k:k + 5_000]
             joined = self.library.encode_batch_fast([self.mark.join([prefix + w for w in part])], add_special_tokens=False)
             ids = np.array(joined[0].ids, "<u4")
             ends = np.r_[np.flatnonzero(ids == self.mark_id), len(ids)]
-            raw, begins = ids.tobytes(), np.r_[0, ends[:-1] + 1]
-            known.young.update(zip(part, [raw[a:b] for a, b in zip((4 * begins).tolist(), (4 * ends).tolist())]))
-        return known.young
+            self._keep(known, part, ids, np.r_[0, ends[:-1] + 1], ends)
+        young, marks = known.young, self.marks
+        for w, word, mark in marked:
+            if mark not in marks:
+                marks[mark] = self._encode([mark])[0]
+            young[w] = young[word] + marks[mark]
+        return young
+
+    @staticmethod
+    def _keep(known: _Recent, chunks: list[str], ids: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> None:
+        raw = ids.tobytes()
+        known.young.update(zip(chunks, [raw[a:b] for a, b in zip((4 * begins).tolist(), (4 * ends).tolist())]))
 
     def _regular(self, text: str) -> bool:
         if any(s in text for s in self.special):
