@@ -212,24 +212,31 @@ def _anchored(max_edits: int) -> str:
 
 def _long_candidates(lines: DataFrame, max_edits: int) -> DataFrame:
     """Stored: pairs (probe, id) of lines that share the text at an anchor, the longer (or the one of smaller id) first."""
-    pattern = F.lit(_anchored(max_edits))
+    pattern = _anchored(max_edits)
     edits = allowed_edits(F.col("size"), max_edits)
     found = (lines.where(F.length("line") >= _long_from(max_edits) - (max_edits + 1))
              .select("id", "line", F.length("line").alias("size")))
     size = F.floor(F.col("size") / (edits + 1)).cast("int")
     segments = F.transform(F.sequence(F.lit(0), edits), lambda k: F.xxhash64(
-        F.regexp_extract(F.substring(F.col("line"), k * size + 1, size), _anchored(max_edits), 1)))
+        F.regexp_extract(F.substring(F.col("line"), k * size + 1, size), pattern, 1)))
     index = (found.where(F.col("size") >= _long_from(max_edits))
-             .select("id", "size", F.explode(F.array_distinct(segments)).alias("key")).alias("a"))
-    texts = F.array_distinct(F.regexp_extract_all("line", pattern, F.lit(1)))
-    probes = found.select("id", "size", F.explode(texts).alias("text")).select("id", "size", F.xxhash64("text").alias("key")).alias("b")
+             .select("id", "size", F.lit(True).alias("indexed"), F.explode(F.array_distinct(segments)).alias("key")))
+    texts = F.regexp_extract_all("line", F.lit(pattern), F.lit(1))
+    probes = (found.select("id", "size", F.explode(F.array_distinct(texts)).alias("text"))
+              .select("id", "size", F.lit(False).alias("indexed"), F.xxhash64("text").alias("key")))
+    # Every line is cut up once: the keys are written by part, and each part is read for its own join.
+    path = storage.shared_folder(lines.sparkSession, "line-keys")
+    keys = index.union(probes).withColumn("part", F.pmod("key", F.lit(PASSES)).cast("int"))
+    keys.write.option("compression", "zstd").partitionBy("part").parquet(path)
+    # Without keys there is no part on disk, and so no file to take the columns from.
+    keys = lines.sparkSession.read.schema(keys.schema).parquet(path)
     less = F.col("a.size") - F.col("b.size")
     near = (F.col("a.id") != F.col("b.id")) & (less >= 0) & (less <= allowed_edits(F.col("a.size"), max_edits))
     first = (less > 0) | (F.col("a.id") < F.col("b.id"))
     parts = []
     for part in range(PASSES):
-        both = (index.where(F.pmod("a.key", F.lit(PASSES)) == part)
-                .join(probes.where(F.pmod("b.key", F.lit(PASSES)) == part), (F.col("a.key") == F.col("b.key")) & near))
+        own = keys.where(F.col("part") == part)
+        both = own.where("indexed").alias("a").join(own.where("not indexed").alias("b"), (F.col("a.key") == F.col("b.key")) & near)
         parts.append(stored(both.select(F.when(first, F.col("a.id")).otherwise(F.col("b.id")).alias("probe"),
                                         F.when(first, F.col("b.id")).otherwise(F.col("a.id")).alias("id")).distinct(), "long-candidates"))
     return reduce(DataFrame.union, parts)
@@ -322,9 +329,12 @@ def line_report(docs: DataFrame, max_edits: int = MAX_EDITS, min_chars: int = MI
 def drop_repeated_lines(docs: DataFrame, max_edits: int = MAX_EDITS, min_chars: int = MIN_CHARS, id_col: str = "doc_id",
                         text_col: str = "text") -> DataFrame:
     """``docs`` with the dropped lines taken out of the text; its other columns are unchanged."""
-    report = line_report(docs, max_edits, min_chars, id_col, text_col).select(F.col("doc_id").alias("_doc"),
-                                                                            F.col("dropped_places").alias("_drop"))
-    joined = docs.join(report, docs[id_col].eqNullSafe(report["_doc"]), "left")
-    kept = F.filter(F.split(docs[text_col], "\n"), lambda x, k: ~F.array_contains("_drop", k.cast("int")))
-    text = F.when(F.size("_drop") > 0, F.array_join(kept, "\n")).otherwise(docs[text_col])
-    return joined.select(*[text.alias(c) if c == text_col else docs[c] for c in docs.columns])
+    places = (dropped_lines(docs, max_edits, min_chars, id_col, text_col)
+              .groupBy("doc_id").agg(F.collect_set("place").alias("places")))
+    # Both sides are renamed whole, as the table may have columns of any name.
+    table = docs.toDF(*[f"c{k}" for k in range(len(docs.columns))])
+    own_id, own_text = (table[f"c{docs.columns.index(c)}"] for c in (id_col, text_col))
+    joined = table.join(places, own_id.cast("long").eqNullSafe(places["doc_id"]), "left")
+    kept = F.filter(F.split(own_text, "\n"), lambda x, k: ~F.array_contains("places", k.cast("int")))
+    text = F.when(F.size("places") > 0, F.array_join(kept, "\n")).otherwise(own_text)
+    return joined.select(*[(text if c == text_col else table[f"c{k}"]).alias(c) for k, c in enumerate(docs.columns)])

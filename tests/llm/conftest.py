@@ -5,13 +5,13 @@ import random
 import pytest
 
 #: Columns whose names the operators use inside.
-CLASHING = "fp long, h string, key long, n string, word string, _drop_id long, kept string, line string, id long, start long"
+CLASHING = "_drop string, places string, c1 string, fp long, h string, key long, n string, word string, _drop_id long, kept string, line string, id long, start long"
 SCHEMA = f"doc_id long, text string, lang string, {CLASHING}"
 
 
 def frame(spark, rows, partitions=3):
     """A documents table from (doc_id, text[, lang]) rows, with columns of clashing names."""
-    full = [(*r, *([None] * (3 - len(r))), 1, "x", 2, "y", "z", 3, "k", "l", 4, 5) for r in rows]
+    full = [(*r, *([None] * (3 - len(r))), "d", "p", "c", 1, "x", 2, "y", "z", 3, "k", "l", 4, 5) for r in rows]
     return spark.createDataFrame(full, SCHEMA).repartition(partitions) if full else spark.createDataFrame([], SCHEMA)
 
 
