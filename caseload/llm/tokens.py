@@ -27,8 +27,8 @@ import pyarrow.compute as pc
 
 from caseload.llm.worker import kept
 
-#: Distinct chunks that a worker keeps in each of two generations (about 25 MB).
-CACHED_CHUNKS = 120_000
+#: Distinct chunks that a worker keeps in each of two generations (about 50 MB).
+CACHED_CHUNKS = 250_000
 
 _ODD_SPACE = re.compile(r"[\x0b\x0c\x1c-\x1f\x85]")
 #: Chunks that both kinds of file split into one piece, or two: letters that neither case nor composition turns into anything but

@@ -22,8 +22,8 @@ SF = "/root/testdata/sf0.001"
 
 def plain_pipeline(docs, items, samples):
     """Document ids that are left before packing, by the plain versions of the stages."""
-    langs, _ = language_id.CrossParser(samples).predict([t for _, t in docs])
-    docs = [d for d, lang in zip(docs, langs) if lang != "und"]
+    langs, scores = language_id.CrossParser(samples).predict([t for _, t in docs])
+    docs = [d for d, lang, score in zip(docs, langs, scores) if lang != "und" and score >= corpus_pipeline.MIN_LANGUAGE_SCORE]
     last = {}
     for i, t in docs:
         last[t] = max(i, last.get(t, i))
