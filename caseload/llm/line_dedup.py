@@ -272,7 +272,7 @@ def _before(doc: str, place: str, other_doc: str, other_place: str) -> Column:
 
 
 def _marked_lines(docs: DataFrame, max_edits: int, min_chars: int, id_col: str, text_col: str) -> DataFrame:
-    """(doc_id, place, dropped, near, class_id, n_links) of every line that is dropped or near another one.
+    """(doc_id, place, h, dropped, near, class_id, n_links) of every line that is dropped or near another one; h: its MD5.
 
     class_id: document and place where the class's first line first comes; null without links. n_links: distinct lines near it.
     """
@@ -299,7 +299,7 @@ def _marked_lines(docs: DataFrame, max_edits: int, min_chars: int, id_col: str,
     found = _lines(docs, id_col, text_col).select("doc_id", "place", F.unhex(F.md5("line")).alias("h")).join(known, "h")
     first = F.col("doc_id").eqNullSafe(F.col("first_doc")) & (F.col("place") == F.col("first_place"))
     return found.where(F.col("near") | ~first | (F.col("n_links") > 0)).select(
-        "doc_id", "place", (F.col("near") | ~first).alias("dropped"), (F.col("near") & first).alias("near"), "class_id", "n_links")
+        "doc_id", "place", "h", (F.col("near") | ~first).alias("dropped"), (F.col("near") & first).alias("near"), "class_id", "n_links")
 
 
 def dropped_lines(docs: DataFrame, max_edits: int = MAX_EDITS, min_chars: int = MIN_CHARS, id_col: str = "doc_id",
@@ -329,12 +329,14 @@ def line_report(docs: DataFrame, max_edits: int = MAX_EDITS, min_chars: int = MI
 def drop_repeated_lines(docs: DataFrame, max_edits: int = MAX_EDITS, min_chars: int = MIN_CHARS, id_col: str = "doc_id",
                         text_col: str = "text") -> DataFrame:
     """``docs`` with the dropped lines taken out of the text; its other columns are unchanged."""
-    places = (dropped_lines(docs, max_edits, min_chars, id_col, text_col)
-              .groupBy("doc_id").agg(F.collect_set("place").alias("places")))
+    drops = (_marked_lines(docs, max_edits, min_chars, id_col, text_col).where("dropped")
+             .groupBy("doc_id").agg(F.collect_set(F.struct("place", "h")).alias("drops")))
     # Both sides are renamed whole, as the table may have columns of any name.
     table = docs.toDF(*[f"c{k}" for k in range(len(docs.columns))])
     own_id, own_text = (table[f"c{docs.columns.index(c)}"] for c in (id_col, text_col))
-    joined = table.join(places, own_id.cast("long").eqNullSafe(places["doc_id"]), "left")
-    kept = F.filter(F.split(own_text, "\n"), lambda x, k: ~F.array_contains("places", k.cast("int")))
-    text = F.when(F.size("places") > 0, F.array_join(kept, "\n")).otherwise(own_text)
+    joined = table.join(drops, own_id.cast("long").eqNullSafe(drops["doc_id"]), "left")
+    # By place and line: rows that share an id have other lines at the same places.
+    kept = F.filter(F.split(own_text, "\n"), lambda x, k: ~F.array_contains(
+        "drops", F.struct(k.cast("int").alias("place"), F.unhex(F.md5(x)).alias("h"))))
+    text = F.when(F.size("drops") > 0, F.array_join(kept, "\n")).otherwise(own_text)
     return joined.select(*[(text if c == text_col else table[f"c{k}"]).alias(c) for k, c in enumerate(docs.columns)])

@@ -75,6 +75,14 @@ def test_drop_repeated_lines(spark):
     assert {r.doc_id: r.text for r in out.collect()} == {1: f"{line}\nkeep\n", 2: "own\n", 3: None}
 
 
+def test_rows_that_share_an_id_lose_only_their_own_repeats(spark):
+    line = "A line that is long enough to be near another one"
+    docs = frame(spark, [(None, "first of all\nown"), (None, f"{line}\nown two"), (3, f"three\n{line}"), (3, f"{line}s\nthree"), (3, "other\nmore")])
+    out = sorted((r.doc_id or 0, r.text) for r in ld.drop_repeated_lines(docs).collect())
+    # `three` first comes at place 0 of document 3, so that at place 1 goes; near lines of document 3 come after the row without id.
+    assert out == sorted([(0, "first of all\nown"), (0, f"{line}\nown two"), (3, "three"), (3, ""), (3, "other\nmore")])
+
+
 def test_line_edges(edge_docs, empty_docs):
     got = ld.line_report(edge_docs).collect()
     assert len(got) == 17  # ids 0 to 15 and the rows without an id together
