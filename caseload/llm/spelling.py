@@ -141,7 +141,9 @@ def near_pairs(words: DataFrame, ladder: tuple[int, ...] = LADDER, frequent: int
     """
     shortest = 2 * ladder[0] - 2
     tail = F.lit("$" * ladder[-1])
-    places = words.select("word", "n", F.concat(F.lit("^"), "word", tail).alias("padded"), F.length("word").alias("letters"))
+    # The words are few bytes, but each becomes some fifty rows: dealt out over all tasks first.
+    tasks = int(words.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    places = words.repartition(tasks, "word").select("word", "n", F.concat(F.lit("^"), "word", tail).alias("padded"), F.length("word").alias("letters"))
     # Where a gram of at least the shortest length still holds a letter or the first end mark.
     places = places.withColumn("at", F.explode(F.sequence(F.lit(0), F.col("letters") + 2 - ladder[0])))
     dictionary = stored(frequent_grams(places, ladder, frequent), "gram-dictionary")
