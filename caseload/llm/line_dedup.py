@@ -219,24 +219,18 @@ def _long_candidates(lines: DataFrame, max_edits: int) -> DataFrame:
     size = F.floor(F.col("size") / (edits + 1)).cast("int")
     segments = F.transform(F.sequence(F.lit(0), edits), lambda k: F.xxhash64(
         F.regexp_extract(F.substring(F.col("line"), k * size + 1, size), pattern, 1)))
-    index = (found.where(F.col("size") >= _long_from(max_edits))
-             .select("id", "size", F.lit(True).alias("indexed"), F.explode(F.array_distinct(segments)).alias("key")))
-    texts = F.regexp_extract_all("line", F.lit(pattern), F.lit(1))
-    probes = (found.select("id", "size", F.explode(F.array_distinct(texts)).alias("text"))
-              .select("id", "size", F.lit(False).alias("indexed"), F.xxhash64("text").alias("key")))
-    # Every line is cut up once: the keys are written by part, and each part is read for its own join.
-    path = storage.shared_folder(lines.sparkSession, "line-keys")
-    keys = index.union(probes).withColumn("part", F.pmod("key", F.lit(PASSES)).cast("int"))
-    keys.write.option("compression", "zstd").partitionBy("part").parquet(path)
-    # Without keys there is no part on disk, and so no file to take the columns from.
-    keys = lines.sparkSession.read.schema(keys.schema).parquet(path)
+    texts = F.array_distinct(F.regexp_extract_all("line", F.lit(pattern), F.lit(1)))
+    # Every line is cut up once: its keys are stored side by side, and each part takes its own of them.
+    keys = stored(found.select("id", "size", F.when(F.col("size") >= _long_from(max_edits), F.array_distinct(segments)).alias("indexed"),
+                               F.transform(texts, lambda t: F.xxhash64(t)).alias("probed")), "line-keys")
     less = F.col("a.size") - F.col("b.size")
     near = (F.col("a.id") != F.col("b.id")) & (less >= 0) & (less <= allowed_edits(F.col("a.size"), max_edits))
     first = (less > 0) | (F.col("a.id") < F.col("b.id"))
     parts = []
     for part in range(PASSES):
-        own = keys.where(F.col("part") == part)
-        both = own.where("indexed").alias("a").join(own.where("not indexed").alias("b"), (F.col("a.key") == F.col("b.key")) & near)
+        index, probes = (keys.select("id", "size", F.explode(F.filter(c, lambda key: F.pmod(key, F.lit(PASSES)) == part)).alias("key"))
+                         for c in ("indexed", "probed"))
+        both = index.alias("a").join(probes.alias("b"), (F.col("a.key") == F.col("b.key")) & near)
         parts.append(stored(both.select(F.when(first, F.col("a.id")).otherwise(F.col("b.id")).alias("probe"),
                                         F.when(first, F.col("b.id")).otherwise(F.col("a.id")).alias("id")).distinct(), "long-candidates"))
     return reduce(DataFrame.union, parts)
