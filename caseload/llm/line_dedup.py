@@ -43,7 +43,7 @@ MOST_EDITS = 40
 #: Long lines: characters without a space after which every place is an anchor.
 WORD = 12
 #: The keys of long lines are joined in this many parts, one after the other, so that only one part's rows are on disk.
-PASSES = 4
+PASSES = 8
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 #: Stands for a missing doc_id: below every 64-bit integer.
 NO_ID = -(1 << 63) - 1
