@@ -221,8 +221,12 @@ def _long_candidates(lines: DataFrame, max_edits: int) -> DataFrame:
         F.regexp_extract(F.substring(F.col("line"), k * size + 1, size), pattern, 1)))
     texts = F.array_distinct(F.regexp_extract_all("line", F.lit(pattern), F.lit(1)))
     # Every line is cut up once: its keys are stored side by side, and each part takes its own of them.
-    keys = stored(found.select("id", "size", F.when(F.col("size") >= _long_from(max_edits), F.array_distinct(segments)).alias("indexed"),
-                               F.transform(texts, lambda t: F.xxhash64(t)).alias("probed")), "line-keys")
+    spark = lines.sparkSession
+    path = storage.shared_folder(spark, "line-keys")
+    keys = found.select("id", "size", F.when(F.col("size") >= _long_from(max_edits), F.array_distinct(segments)).alias("indexed"),
+                               F.transform(texts, lambda t: F.xxhash64(t)).alias("probed"))
+    keys.write.option("compression", "zstd").parquet(path)
+    keys = spark.read.schema(keys.schema).parquet(path)
     less = F.col("a.size") - F.col("b.size")
     near = (F.col("a.id") != F.col("b.id")) & (less >= 0) & (less <= allowed_edits(F.col("a.size"), max_edits))
     first = (less > 0) | (F.col("a.id") < F.col("b.id"))
@@ -233,6 +237,7 @@ def _long_candidates(lines: DataFrame, max_edits: int) -> DataFrame:
         both = index.alias("a").join(probes.alias("b"), (F.col("a.key") == F.col("b.key")) & near)
         parts.append(stored(both.select(F.when(first, F.col("a.id")).otherwise(F.col("b.id")).alias("probe"),
                                         F.when(first, F.col("b.id")).otherwise(F.col("a.id")).alias("id")).distinct(), "long-candidates"))
+    storage.discard(spark, path)  # all parts are stored
     return reduce(DataFrame.union, parts)
 
 
