@@ -52,7 +52,7 @@ def lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 def decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", "n_items", F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
-                        "contaminated")
+                        "contaminated", "n_near")
 
 
 def exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -154,10 +154,21 @@ g AS (SELECT doc_id, n, i, array_to_string(ws[i:i+n-1], ' ') AS phrase
 m AS (SELECT g.doc_id, g.n, g.i, p.item_id FROM g JOIN p ON p.phrase = g.phrase AND p.n = g.n),
 h AS (SELECT doc_id, count(DISTINCT j) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS j FROM m) GROUP BY doc_id),
 it AS (SELECT doc_id, count(*) AS n_items, string_agg(k, ',' ORDER BY k) AS items
- FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS k FROM m) GROUP BY doc_id)
+ FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS k FROM m) GROUP BY doc_id),
+tk AS (SELECT doc_id, i AS pos, ws[i] AS term FROM (SELECT doc_id, ws, unnest(range(1, len(ws) + 1)) AS i FROM w)),
+f AS (SELECT term, count(*) AS f FROM tk GROUP BY term),
+pt AS (SELECT phrase, n, k, string_split(phrase, ' ')[k + 1] AS term
+ FROM (SELECT phrase, n, unnest(range(0, n)) AS k FROM (SELECT DISTINCT phrase, n FROM p))),
+ra AS (SELECT * FROM pt LEFT JOIN f USING (term) QUALIFY row_number() OVER (PARTITION BY phrase ORDER BY coalesce(f, 0), k) = 1),
+c AS (SELECT doc_id, phrase, n, pos - k AS start FROM tk JOIN ra USING (term)),
+cl AS (SELECT c.doc_id, c.phrase FROM c JOIN pt ON pt.phrase = c.phrase JOIN tk ON tk.doc_id = c.doc_id AND tk.term = pt.term
+  AND tk.pos BETWEEN c.start + pt.k - 3 AND c.start + pt.k + 3
+ GROUP BY c.doc_id, c.phrase, c.start, c.n HAVING count(DISTINCT pt.k) = c.n),
+nr AS (SELECT doc_id, count(*) AS n_near FROM (SELECT cl.doc_id, item_id FROM cl JOIN p USING (phrase)
+ EXCEPT SELECT doc_id, item_id FROM m) GROUP BY doc_id)
 SELECT w.doc_id, len(ws) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
- sha256(coalesce(items, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
-FROM w LEFT JOIN h USING (doc_id) LEFT JOIN it USING (doc_id)"""
+ sha256(coalesce(items, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated, coalesce(n_near, 0) AS n_near
+FROM w LEFT JOIN h USING (doc_id) LEFT JOIN it USING (doc_id) LEFT JOIN nr USING (doc_id)"""
 
 
 def oracle_sql() -> dict[str, str]:

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import random
 import re
+from collections import Counter
 
 import pytest
 
@@ -49,10 +50,10 @@ def case():
     return items, docs
 
 
-@pytest.mark.parametrize("block_words", [dc.BLOCK_WORDS, 40])
-def test_matches_plain_search(spark, case, block_words):
+@pytest.mark.parametrize("block_phrases, segment_words", [(dc.BLOCK_PHRASES, dc.SEGMENT_WORDS), (60, 200)])
+def test_matches_plain_search(spark, case, block_phrases, segment_words):
     items, docs = case
-    got = dc.contamination(frame(spark, docs), bench(spark, items), block_words=block_words).collect()
+    got = dc.contamination(frame(spark, docs), bench(spark, items), block_phrases=block_phrases, segment_words=segment_words).collect()
     assert len(got) == len(docs)
     texts = dict(docs)
     for r in got:
@@ -71,6 +72,47 @@ def test_positions_and_proximity(spark):
     assert all(got[k].hits == [] and got[k].near == [] for k in (3, 4))
 
 
+def plain_near(docs, items, window=10, slop=3):
+    """Items (by document) with a phrase whose terms all stand near their places, seen from the rarest one, but no hit."""
+    texts = {i: plain_words(t) for i, t in docs}
+    frequency = Counter(w for ws in texts.values() for w in ws)
+    out = {}
+    for doc_id, ws in texts.items():
+        at = {}
+        for i, w in enumerate(ws):
+            at.setdefault(w, []).append(i)
+        close = set()
+        for item_id, item in items:
+            iw = plain_words(item)
+            n = min(window, len(iw))
+            for s in range(len(iw) - n + 1 if n else 0):
+                phrase = iw[s:s + n]
+                k = min(range(n), key=lambda k: (frequency[phrase[k]], k))
+                if any(all(any(abs(q - (p - k + j)) <= slop for q in at.get(phrase[j], ())) for j in range(n)) for p in at.get(phrase[k], ())):
+                    close.add("" if item_id is None else str(item_id))
+        out[doc_id] = len(close - set(plain_search(" ".join(ws), items, window)[2]))
+    return out
+
+
+def test_near_matches_plain_search(spark, case):
+    items, docs = case
+    rng = random.Random(9)
+    moved = [(1000 + i, " ".join(w for w in plain_words(items[i % 25][1]) for w in ([w, "um"] if rng.random() < 0.15 else [w]))) for i in range(30)]
+    got = dc.contamination(frame(spark, docs + moved), bench(spark, items), segment_words=300).collect()
+    want = plain_near(docs + moved, items)
+    assert {r.doc_id: r.n_near for r in got} == want and sum(map(bool, want.values())) > 10
+
+
+def test_the_index_holds_every_token(spark, case, edge_docs):
+    _, docs = case
+    index = dc.build_index(frame(spark, docs), segment_words=100)
+    counts = Counter(w for _, t in docs for w in plain_words(t))
+    assert {r.term: r.n for r in index.postings.groupBy("term").agg({"n": "sum"}).toDF("term", "n").collect()} == counts
+    assert index.postings.where("n <> size(places) OR places <> array_sort(array_distinct(places))").count() == 0
+    assert index.postings.groupBy("term", "segment").count().where("count > 1").count() == 0
+    assert dc.build_index(edge_docs).documents.count() == len(EDGE_TEXTS) + 3
+
+
 def test_decontaminate_edges(spark, edge_docs, empty_docs):
     items = bench(spark, [(1, "same text"), (2, "word " * 30), (None, "😀 😀")])
     got = dc.contamination(edge_docs, items).collect()
