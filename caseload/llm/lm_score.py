@@ -1,35 +1,44 @@
 """Masked pseudo-likelihood of texts under a small bidirectional window network.
 
-Tokens are words: the most frequent words of the whole corpus have an id of their own, the others share ids by hash. The
-network predicts every token from the ``SIDE`` tokens on either side of it (the token itself is masked): one embedding per
-token and place, summed, a tanh layer, and a softmax over all ids. A text's score is the sum of the log-probabilities of all
-its tokens.
+Tokens are words, and every word of the corpus has a probability of its own. It is a product: the network predicts the class of
+each token from the classes of the ``SIDE`` tokens on either side of it (the token itself is masked): one embedding per class
+and place, summed, a tanh layer, and a softmax over all classes; within its class a word has its share of the class's tokens. The
+most frequent words are classes by themselves, the others share classes by hash. A text's score is the sum of the log-probabilities
+of all its tokens.
 
-Training runs where the data is. The words of all documents are counted; then, in each of ``ROUNDS`` rounds, every task trains
+The words of all documents are counted into a stored table, which grows with the corpus. Texts are read once more and stored as
+classes. On the way the shares of the ``KNOWN`` most frequent words are added up from a table of bounded size; each occurrence of
+any other word is kept beside the classes and meets its count in a join by word, so no word is dropped or merged.
+
+Training runs where the data is. In each of ``ROUNDS`` rounds, every task trains
 a copy of the network by mini-batch gradient descent on every ``STRIDE``-th token of its share of all documents, each round on the
-next phase of the stride, so that STRIDE rounds learn from every token once, and the copies are averaged, weighted by their tokens, in two levels of tasks. What is gathered grows with the corpus; the network that goes
-back is of fixed size.
+next phase of the stride, so that STRIDE rounds learn from every token once, and the copies are averaged, weighted by their tokens,
+in two levels of tasks. The network that goes back is of fixed size.
 
 Null and empty texts have no tokens: log-likelihood 0 and no mean. A corpus without words leaves the untrained network. Rows
 that repeat a doc_id get one result row each. An empty table gives no rows. Other columns of the input are ignored. Scores depend
-on how the input is partitioned, as the training order does; the same partitions give the same scores.
+on how the stored classes are partitioned, as the training order does; the same partitions give the same scores.
 """
 
 from __future__ import annotations
 
+import math
 import zlib
 from collections import Counter
 from collections.abc import Iterable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from caseload.llm.storage import stored
 from caseload.llm.tokens import slices
 from caseload.llm.worker import kept, map_batches
 
-#: Ids: 0 stands before and after a text, then FREQUENT words, then BUCKETS shared by the rest.
+#: Classes: 0 stands before and after a text, then FREQUENT words, then BUCKETS shared by the rest.
 FREQUENT = 63
 BUCKETS = 64
 IDS = 1 + FREQUENT + BUCKETS
@@ -37,6 +46,8 @@ SIDE = 2
 WIDTH = 24
 ROUNDS = 2
 STRIDE = 2
+#: Words whose shares every task holds (some 10 MB); occurrences of others are joined with the counts.
+KNOWN = 65_536
 BATCH = 512
 RATE = 0.4
 #: Tokens scored at once, and distinct words counted before they are handed on.
@@ -44,6 +55,7 @@ CHUNK = 1024
 COUNTED = 200_000
 
 _PLACES = [k for k in range(-SIDE, SIDE + 1) if k]
+_ONE_HOT = np.eye(IDS, dtype=np.float32)
 
 
 def words(text: str | None) -> list[str]:
@@ -66,34 +78,103 @@ def _count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield out(counts)
 
 
-def frequent_words(docs: DataFrame, text_col: str = "text", frequent: int = FREQUENT) -> list[str]:
-    """The most frequent words of all documents (ties alphabetically)."""
+def word_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """word, n: how often each word occurs in all documents, stored."""
     counts = map_batches(docs.select(F.col(text_col).alias("text")), _count, "word string, n long")
-    top = counts.groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(frequent)
-    return [r["word"] for r in top.collect()]
+    return stored(counts.groupBy("word").agg(F.sum("n").alias("n")), "word-counts")
+
+
+def _bucket(word: Column) -> Column:
+    """The shared class of a word, from 0."""
+    return (F.crc32(word.cast("binary")) % BUCKETS).cast("int")
+
+
+@dataclass(frozen=True)
+class Vocabulary:
+    """The words that are classes by themselves; tokens of the other words by shared class; log-shares of frequent words."""
+
+    frequent: list[str]
+    totals: list[int]
+    shares: dict[str, float]
+
+    @classmethod
+    def of(cls, counts: DataFrame, frequent: int = FREQUENT, known: int = KNOWN) -> Vocabulary:
+        """From word counts; ties of frequency are broken alphabetically."""
+        top = [(r["word"], r["n"]) for r in counts.orderBy(F.desc("n"), "word").limit(max(frequent, known)).collect()]
+        own = [w for w, _ in top[:frequent]]
+        totals = [0] * BUCKETS
+        for r in counts.groupBy(_bucket(F.col("word")).alias("b")).agg(F.sum("n").alias("n")).collect():
+            totals[r["b"]] = r["n"]
+        for word, n in top[:frequent]:
+            totals[_crc(word)] -= n
+        shares = {w: math.log(n / totals[_crc(w)]) for w, n in top[frequent:known]} | dict.fromkeys(own, 0.0)
+        return cls(own, totals, shares)
+
+    def log_share(self, word: Column, n: Column) -> Column:
+        """Log of the part of its shared class's tokens that are the word."""
+        return F.log(n / F.get(F.array(*(F.lit(t) for t in self.totals)), _bucket(word)))
+
+
+def _crc(word: str) -> int:
+    return zlib.crc32(word.encode("utf-8", "replace")) % BUCKETS
 
 
 class Ids(dict):
-    """Word -> id; words without an id of their own get a shared one."""
+    """Word -> class; words without a class of their own get a shared one."""
 
     def __init__(self, frequent: list[str]):
         super().__init__((w, k + 1) for k, w in enumerate(frequent))
         self.fixed = len(frequent)
 
     def __missing__(self, word: str) -> int:
-        found = 1 + FREQUENT + zlib.crc32(word.encode("utf-8", "replace")) % BUCKETS
+        found = 1 + FREQUENT + _crc(word)
         if len(self) < COUNTED:
             self[word] = found
         return found
 
-    def of(self, text: str | None) -> np.ndarray:
-        """Ids of a text, with SIDE boundary ids on either side."""
-        found = words(text)
+    def of(self, found: list[str]) -> np.ndarray:
+        """Ids of words, with SIDE boundary ids on either side."""
         out = np.zeros(len(found) + 2 * SIDE, np.int16)
         out[SIDE:SIDE + len(found)] = list(map(self.__getitem__, found))
         return out
 
 
+def _encoder(vocabulary: Vocabulary):
+    """Turns rows (doc_id, text) into key, doc_id, n_tokens, ids, the summed log-shares of known words, and the other words."""
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        look_up, shares, key = Ids(vocabulary.frequent), vocabulary.shares, TaskContext.get().partitionId() << 33
+        for batch in (part for whole in batches for part in slices(whole)):
+            sizes, ids, sums, rest = [], [], [], []
+            for text in batch.column("text").to_pylist():
+                found = words(text)
+                known = [shares.get(w) for w in found]
+                sizes.append(len(found))
+                ids.append(look_up.of(found).tobytes())
+                sums.append(math.fsum(x for x in known if x is not None))
+                rest.append([w for w, x in zip(found, known) if x is None])
+            keys = pa.array(np.arange(key, key + len(sizes)))
+            key += len(sizes)
+            yield pa.RecordBatch.from_arrays(
+                [keys, batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(ids, pa.binary()), pa.array(sums, pa.float64()),
+                 pa.array(rest, pa.list_(pa.string()))], ["key", "doc_id", "n_tokens", "ids", "known", "rest"])
+
+    return run
+
+
+def encode(docs: DataFrame, vocabulary: Vocabulary, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The stored classes of all texts: key (a row's own), doc_id, n_tokens, ids, known, rest."""
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    schema = f"key long, doc_id {dict(rows.dtypes)['doc_id']}, n_tokens long, ids binary, known double, rest array<string>"
+    return stored(map_batches(rows, _encoder(vocabulary), schema), "classes")
+
+
+def rest_shares(encoded: DataFrame, counts: DataFrame, vocabulary: Vocabulary) -> DataFrame:
+    """key, rest_sum: the summed log-shares of a row's words that are not among the known ones."""
+    shares = counts.select("word", vocabulary.log_share(F.col("word"), F.col("n")).alias("share"))
+    found = encoded.select("key", F.explode("rest").alias("word")).join(shares, "word")
+    return found.groupBy("key").agg(F.sum("share").alias("rest_sum"))
+
+
 class Network:
     """Parameters: embeddings (places x ids x width), hidden bias, output weights (width x ids), output bias."""
 
@@ -158,7 +239,7 @@ class Network:
         # A step per token, not per batch, for the embeddings: each is touched by few tokens of a batch.
         back *= np.float32(8)
         for table, place in zip(embed, _PLACES):
-            np.subtract.at(table, ids[at + place], back)
+            table -= _ONE_HOT.take(ids.take(at + place), axis=0).T @ back
 
 
 def _joined(parts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -173,13 +254,13 @@ def _joined(parts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray
     return ids, np.flatnonzero(inner), sizes
 
 
-def _trainer(frequent: list[str], raw: bytes, stride: int, phase: int = 0):
+def _trainer(raw: bytes, stride: int, phase: int = 0):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        network, look_up, seen, passed = Network.load(raw), Ids(frequent), 0, 0
+        network, seen, passed = Network.load(raw), 0, 0
         held, rest = [np.zeros(2 * SIDE, np.int16)], 0
         for batch in batches:
-            for text in batch.column("text"):
-                part = look_up.of(text.as_py())
+            for own in batch.column("ids"):
+                part = np.frombuffer(own.as_py(), np.int16)
                 if len(part) > 2 * SIDE:
                     held.append(part)
                     rest += len(part)
@@ -213,49 +294,48 @@ def _averager(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                          ["n", "raw"])
 
 
-def train(docs: DataFrame, text_col: str = "text", rounds: int = ROUNDS, stride: int = STRIDE) -> tuple[list[str], bytes]:
-    """The frequent words of ``docs`` and the parameters of a network trained on them."""
-    frequent = frequent_words(docs, text_col)
+def train(encoded: DataFrame, rounds: int = ROUNDS, stride: int = STRIDE) -> bytes:
+    """The parameters of a network trained on stored classes."""
     raw = Network.new().dump()
-    texts = docs.select(F.col(text_col).alias("text"))
     for k in range(rounds):
-        copies = map_batches(texts, _trainer(frequent, raw, stride, k % stride), "n long, raw binary")
+        copies = map_batches(encoded.select("ids"), _trainer(raw, stride, k % stride), "n long, raw binary")
         # Two levels, so that no task adds up the copies of all others.
         some = copies.repartition(F.pmod(F.xxhash64("raw"), F.lit(64))).mapInArrow(_averager, "n long, raw binary")
         whole = some.repartition(1).mapInArrow(_averager, "n long, raw binary").first()
         raw = bytes(whole["raw"]) if whole else raw
-    return frequent, raw
+    return raw
 
 
-def score_texts(texts: list[str | None], frequent: list[str], raw: bytes) -> tuple[list[int], list[float]]:
-    """Number of tokens and summed log-probability of each text."""
-    look_up, network = kept(("network", raw), lambda: (Ids(frequent), Network.load(raw)))
-    if not texts:
-        return [], []
-    ids, at, sizes = _joined([look_up.of(t) for t in texts])
-    sums = np.add.reduceat(np.r_[network.log_likelihood(ids, at), 0.0], np.r_[0, np.cumsum(sizes)[:-1]])
-    return sizes.tolist(), np.where(sizes > 0, sums, 0.0).tolist()
+def class_likelihoods(ids: list[np.ndarray], raw: bytes) -> list[float]:
+    """Summed log-probability of the classes of each text."""
+    if not ids:
+        return []
+    network = kept(("network", raw), lambda: Network.load(raw))
+    joined, at, sizes = _joined(ids)
+    sums = np.add.reduceat(np.r_[network.log_likelihood(joined, at), 0.0], np.r_[0, np.cumsum(sizes)[:-1]])
+    return np.where(sizes > 0, sums, 0.0).tolist()
 
 
-def _scorer(frequent: list[str], raw: bytes):
+def _scorer(raw: bytes):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            counts, sums = [], []
-            for part in slices(batch):
-                n, s = score_texts(part.column("text").to_pylist(), frequent, raw)
-                counts += n
-                sums += s
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(counts, pa.int64()), pa.array(sums, pa.float64())],
-                                             ["doc_id", "n_tokens", "log_likelihood"])
+            sums = class_likelihoods([np.frombuffer(x.as_py(), np.int16) for x in batch.column("ids")], raw)
+            columns = [batch.column(c) for c in ("key", "doc_id", "n_tokens", "known")]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(sums, pa.float64())], ["key", "doc_id", "n_tokens", "known", "classes"])
 
     return run
 
 
 def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rounds: int = ROUNDS,
-                    stride: int = STRIDE) -> DataFrame:
+                    stride: int = STRIDE, known: int = KNOWN) -> DataFrame:
     """One row per input row: doc_id, n_tokens, log_likelihood, mean_log_likelihood (null without tokens)."""
-    frequent, raw = train(docs, text_col, rounds, stride)
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    kind = dict(rows.dtypes)["doc_id"]
-    scored = map_batches(rows, _scorer(frequent, raw), f"doc_id {kind}, n_tokens long, log_likelihood double")
-    return scored.withColumn("mean_log_likelihood", F.when(F.col("n_tokens") > 0, F.col("log_likelihood") / F.col("n_tokens")))
+    counts = word_counts(docs, text_col)
+    vocabulary = Vocabulary.of(counts, known=known)
+    encoded = encode(docs, vocabulary, id_col, text_col)
+    raw = train(encoded, rounds, stride)
+    kind = dict(encoded.dtypes)["doc_id"]
+    scored = map_batches(encoded.drop("rest"), _scorer(raw), f"key long, doc_id {kind}, n_tokens long, known double, classes double")
+    scored = scored.join(rest_shares(encoded, counts, vocabulary), "key", "left")
+    total = F.col("classes") + F.col("known") + F.coalesce("rest_sum", F.lit(0.0))
+    return scored.select("doc_id", "n_tokens", total.alias("log_likelihood"),
+                         F.when(F.col("n_tokens") > 0, total / F.col("n_tokens")).alias("mean_log_likelihood"))
