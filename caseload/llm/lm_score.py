@@ -99,20 +99,26 @@ class Vocabulary:
 
     @classmethod
     def of(cls, counts: DataFrame, frequent: int = FREQUENT, known: int = KNOWN) -> Vocabulary:
-        """From word counts; ties of frequency are broken alphabetically."""
-        top = [(r["word"], r["n"]) for r in counts.orderBy(F.desc("n"), "word").limit(max(frequent, known)).collect()]
-        own = [w for w, _ in top[:frequent]]
+        """From word counts; ties among the ``frequent`` ones are broken alphabetically. Known are the words of the highest
+        eighths of a power of two that hold at most ``known`` words together."""
+        top = [(r["word"], r["n"]) for r in counts.orderBy(F.desc("n"), "word").limit(frequent).collect()]
+        own = [w for w, _ in top]
+        height = F.floor(F.log2("n") * 8)
+        heights = sorted(((r["h"], r["count"]) for r in counts.groupBy(height.alias("h")).count().collect()), reverse=True)
+        inside = [h for (h, _), held in zip(heights, np.cumsum([k for _, k in heights])) if held <= known]
+        common = {r["word"]: r["n"] for r in counts.where(height >= inside[-1]).collect()} if inside else {}
         totals = [0] * BUCKETS
         for r in counts.groupBy(_bucket(F.col("word")).alias("b")).agg(F.sum("n").alias("n")).collect():
             totals[r["b"]] = r["n"]
-        for word, n in top[:frequent]:
+        for word, n in top:
             totals[_crc(word)] -= n
-        shares = {w: math.log(n / totals[_crc(w)]) for w, n in top[frequent:known]} | dict.fromkeys(own, 0.0)
+            common.pop(word, None)
+        shares = {w: math.log(n / totals[_crc(w)]) for w, n in common.items()} | dict.fromkeys(own, 0.0)
         return cls(own, totals, shares)
 
     def log_share(self, word: Column, n: Column) -> Column:
-        """Log of the part of its shared class's tokens that are the word."""
-        return F.log(n / F.get(F.array(*(F.lit(t) for t in self.totals)), _bucket(word)))
+        """Log of the part of its shared class's tokens that are the word (a class may hold no word but frequent ones)."""
+        return F.log(F.try_divide(n, F.get(F.array(*(F.lit(t) for t in self.totals)), _bucket(word))))
 
 
 def _crc(word: str) -> int:
