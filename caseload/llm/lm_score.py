@@ -145,19 +145,32 @@ class Ids(dict):
         return out
 
 
+class _Codes(dict):
+    """Known word -> number from 0; any other word -> -1 - its shared class."""
+
+    def __missing__(self, word: str) -> int:
+        return -1 - _crc(word)
+
+
 def _encoder(vocabulary: Vocabulary):
     """Turns rows (doc_id, text) into key, doc_id, n_tokens, ids, the summed log-shares of known words, and the other words."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        look_up, shares, key = Ids(vocabulary.frequent), vocabulary.shares, TaskContext.get().partitionId() << 33
+        key, own = TaskContext.get().partitionId() << 33, Ids(vocabulary.frequent)
+        codes = _Codes((w, k) for k, w in enumerate(vocabulary.shares))
+        classes = np.array([own[w] for w in codes] or [0], np.int16)
+        shares = np.array(list(vocabulary.shares.values()) or [0.0])
         for batch in (part for whole in batches for part in slices(whole)):
             sizes, ids, sums, rest = [], [], [], []
             for text in batch.column("text").to_pylist():
                 found = words(text)
-                known = [shares.get(w) for w in found]
+                code = np.fromiter(map(codes.__getitem__, found), np.int32, len(found))
+                known = code >= 0
+                out = np.zeros(len(found) + 2 * SIDE, np.int16)
+                out[SIDE:SIDE + len(found)] = np.where(known, classes.take(np.maximum(code, 0)), FREQUENT - code)
                 sizes.append(len(found))
-                ids.append(look_up.of(found).tobytes())
-                sums.append(math.fsum(x for x in known if x is not None))
-                rest.append([w for w, x in zip(found, known) if x is None])
+                ids.append(out.tobytes())
+                sums.append(float(shares.take(code[known]).sum()))
+                rest.append([found[k] for k in np.flatnonzero(~known).tolist()])
             keys = pa.array(np.arange(key, key + len(sizes)))
             key += len(sizes)
             yield pa.RecordBatch.from_arrays(
@@ -235,9 +248,9 @@ class Network:
         embed, bias, weights, out_bias = self.parameters
         hidden, error = self.logits(ids, at)
         np.exp(error, out=error)
-        error /= error.sum(axis=1, keepdims=True)
-        error[np.arange(len(at)), ids[at]] -= 1
-        error *= np.float32(RATE / len(at))
+        step = np.float32(RATE / len(at))
+        error *= step / error.sum(axis=1, keepdims=True)
+        error[np.arange(len(at)), ids[at]] -= step
         back = (error @ weights.T) * (1 - hidden * hidden)
         weights -= hidden.T @ error
         out_bias -= error.sum(axis=0)
