@@ -8,9 +8,9 @@ each segment's exact value and probes it under every value of the segment's Hamm
 meet under one key are verified over all 64 bits.
 
 Within a key only links that connect something are emitted (a spanning forest for crowded keys), never all
-pairs. A key that holds more than ``bucket_rows`` fingerprints is dealt out in blocks: its table rows meet its
-probing rows in block pairs of bounded size, so the work is split without losing a pair. Copies have one
-fingerprint and enter once.
+pairs. A key that may be met by more than 2 * ``bucket_rows`` fingerprints, stored there or probing from a
+neighbouring value, is dealt out in blocks: its table rows meet its probing rows in block pairs of bounded size,
+so the work is split without losing a pair. Copies have one fingerprint and enter once.
 
 A null or empty text, or one of white space only, has fingerprint zero and links like any other. Rows
 without doc_id get a component like the others but never name it. An empty table gives no rows. Other columns
@@ -39,7 +39,7 @@ SEGMENTS = ((22, 1), (21, 1), (21, 0))
 MAX_BITS = 4
 SHINGLE = 4
 SEED = 42
-#: Members of one key that a task compares at once.
+#: Table and probing rows of one key that a task compares at once: this many of each.
 BUCKET_ROWS = 20_000
 #: Keys with up to this many table rows are verified pair by pair, larger ones as a forest.
 SMALL_TABLE = 16
@@ -99,6 +99,26 @@ def _keys(fp: Column, segments) -> Column:
     return F.array(*entries)
 
 
+def _around(key: Column, segments) -> Column:
+    """The keys under which the rows of a table key probe: its own and those of its ball."""
+    balls = [F.array(*[key.bitwiseXOR(F.lit(m).cast("long")) for m in _masks(bits, tolerance)]) for bits, tolerance in segments]
+    return F.get(F.array(*balls), F.shiftright(key, 32).cast("int"))
+
+
+def crowded_keys(fps: DataFrame, segments=SEGMENTS, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+    """(key, blocks) of the keys that more than ``bucket_rows`` rows may meet beside ``bucket_rows`` of light values.
+
+    A value's rows are counted where they are stored and then added to every key that they probe. Values too light to
+    fill a bucket even if all values around a key were like them are left out of the sums: together they add less than
+    ``bucket_rows`` to a key, which the number of blocks allows for.
+    """
+    values = F.explode(F.filter(_keys(F.col("fp"), segments), lambda e: e["table"])).alias("e")
+    ball = max(len(_masks(*s)) for s in segments)
+    heavy = fps.select(values).groupBy("e.key").count().where(F.col("count") * ball > bucket_rows)
+    met = heavy.select(F.explode(_around(F.col("key"), segments)).alias("key"), "count").groupBy("key").agg(F.sum("count").alias("rows"))
+    return met.where(F.col("rows") > bucket_rows).select("key", (F.ceil(F.col("rows") / bucket_rows) + 1).cast("int").alias("blocks"))
+
+
 def _forest(members: np.ndarray, max_bits: int) -> tuple[np.ndarray, np.ndarray]:
     """Links that connect all members within ``max_bits`` of one another, one per newly reached member."""
     rest = np.unique(members)
@@ -176,13 +196,12 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS, segments=SEGMENTS, bucket_ro
     """Links (u, v) that connect every two of the distinct fingerprints ``fps`` (column fp) within ``max_bits``."""
     if sum(t + 1 for _, t in segments) != max_bits + 1 or sum(b for b, _ in segments) != 64:
         raise ValueError("segments must cover 64 bits and their tolerances must sum to max_bits + 1 - segments")
+    # A fingerprint is 8 bytes, but becomes 46 rows: dealt out over all tasks first. By a hash of its own, as a
+    # repartition by the column that the fingerprints were grouped by is optimised away.
+    fps = fps.repartition(int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions")), F.xxhash64("fp"))
     entries = fps.select("fp", F.explode(_keys(F.col("fp"), segments)).alias("e")).select("fp", "e.key", "e.table")
-    # Keys with more table rows than a task should compare, and the number of blocks they are cut into.
-    crowded = (fps.select(F.explode(F.filter(_keys(F.col("fp"), segments), lambda e: e["table"])).alias("e"))
-               .groupBy("e.key").count().where(F.col("count") > bucket_rows)
-               .select("key", F.ceil(F.col("count") / bucket_rows).cast("int").alias("blocks")))
-    # At most 3 / bucket_rows of the fingerprints: broadcast when that is small, else joined by a shuffle.
-    crowded = stored(crowded, "crowded-keys")
+    # Fewer than one for every bucket_rows of the entries: broadcast when that is small, else joined by a shuffle.
+    crowded = stored(crowded_keys(fps, segments, bucket_rows), "crowded-keys")
     crowded = crowded.hint("broadcast") if crowded.count() <= BROADCAST_IDS else crowded
     entries = entries.join(crowded, "key", "left")
     blocks = F.coalesce("blocks", F.lit(1))

@@ -146,6 +146,36 @@ def test_links_of_crowded_keys(spark):
         assert roots_of(found, fps) == expected
 
 
+def test_probes_of_neighbouring_values_make_a_key_crowded(spark):
+    """Keys that hold one table row each, or none, but are probed by the rows of very many values around them."""
+    values = [1 << b for b in range(22)]  # each one bit from 0 in the lowest segment
+    fps = sorted({v | other << 22 for v in values for other in range(1, 15)} | {3 << 43})
+    df = spark.createDataFrame([(f,) for f in fps], "fp long")
+    got = {r.key: r.blocks for r in simhash.crowded_keys(df, bucket_rows=100).collect()}
+    bits, masks = simhash.SEGMENTS, simhash._masks
+    met, low = Counter(), 0
+    for number, (size, tolerance) in enumerate(bits):
+        for f in fps:
+            for m in masks(size, tolerance):
+                met[(f >> low & (1 << size) - 1) ^ m | number << 32] += 1
+        low += size
+    assert got[0] * 100 >= met[0] > 300  # value 0 of the first segment: probed by all, stored for one
+    assert all(met[key] <= 200 for key in met if key not in got)
+    assert all(blocks * 100 >= met[key] for key, blocks in got.items())
+    found = [(r.u, r.v) for r in simhash.links(df, bucket_rows=100).distinct().collect()]
+    expected = roots_of([(a, b) for i, a in enumerate(fps) for b in fps[:i] if (a ^ b).bit_count() <= 4], fps)
+    assert roots_of(found, fps) == expected
+
+
+def test_links_use_all_tasks(spark):
+    """AQE would put the few bytes of the fingerprints in a task or two before they become 46 rows each."""
+    fps = spark.range(5000).select((F.col("id") * 7919).alias("fp")).distinct()
+    dealt = simhash.links(fps)
+    dealt.count()
+    plan = dealt._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION_BY_NUM" in plan
+
+
 def test_segments_must_cover():
     with pytest.raises(ValueError):
         simhash.links(None, max_bits=4, segments=((32, 0), (32, 0)))
