@@ -3,6 +3,7 @@ from __future__ import annotations
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from caseload.llm import line_dedup as ld
 
@@ -144,3 +145,64 @@ def test_common_opening_or_passage_at_other_places_makes_no_candidates(spark):
     # All pairs met before: the passage's keys did not tell at which place it stands.
     assert ld._long_candidates(df, 2).distinct().count() < 60 * 59 / 2 / 2
     assert ld.near_pairs(df).count() == 0
+
+
+def random_lines(seed, n, size):
+    rng = random.Random(seed)
+    return ["".join(rng.choice("abcdefgh  ") for _ in range(size)) for _ in range(n)]
+
+
+def test_keys_of_long_lines_are_not_kept_on_disk(spark, tmp_path, monkeypatch):
+    texts = random_lines(9, 1500, 360)
+    df = spark.createDataFrame(list(enumerate(texts)), "id long, line string")
+    monkeypatch.setattr(ld.storage, "shared_folder", lambda spark, name: f"{tmp_path}/{name}-{random.random()}")
+    kept, store = [], ld.storage.stored
+
+    def measured(*args):
+        out = store(*args)
+        kept.append(sum(f.stat().st_size for f in tmp_path.rglob("*") if f.is_file()))
+        return out
+
+    monkeypatch.setattr(ld.storage, "stored", measured)
+    assert ld.near_pairs(df).count() == 0
+    # Before, the keys of all segments lay there while they were joined, and took more than the lines themselves.
+    assert max(kept) < sum(map(len, texts)) / 4
+
+
+def test_candidates_verified_in_parts_are_the_same(spark, tmp_path, monkeypatch):
+    rng = random.Random(10)
+    lines = sorted({changed(b, rng.randint(0, 4), rng) for b in random_lines(10, 12, 200) for _ in range(8)})
+    df = spark.createDataFrame(list(enumerate(lines)), "id long, line string")
+    whole = {(r.a, r.b) for r in ld.near_pairs(df).collect()}
+    monkeypatch.setattr(ld, "PAIR_CHARS", 1)
+    names, store = [], ld.storage.stored
+    monkeypatch.setattr(ld.storage, "stored", lambda df, name, path=None: names.append(name) or store(df, name, path))
+    assert {(r.a, r.b) for r in ld.near_pairs(df).collect()} == whole and len(whole) > 100
+    assert names.count("near-pairs") > 1
+
+
+def test_long_lines_with_edits_gathered_at_class_borders(spark):
+    rng = random.Random(11)
+    lines, group = [], []
+    for k, size in enumerate((117, 119, 120, 159, 160, 199, 201, 399, 400, 1599, 1600, 1641)):
+        base = "".join(rng.choice("aaeéè 😀\t  日本") for _ in range(size))
+        for at in (0, size // 3, size - 41):
+            edit = base[at:at + 40]
+            for piece in (edit[min(2, size // 40):], edit[:20] + "x" * allowed(size) + edit[20:]):
+                lines.append(base[:at] + piece + base[at + 40:])
+                group.append(k)
+        lines.append(base)
+        group.append(k)
+    df = spark.createDataFrame(list(enumerate(lines)), "id long, line string")
+    got = {tuple(sorted((r.a, r.b))) for r in ld.near_pairs(df).collect()}
+    # The base and what it became are near; two of those may not be.
+    expected = {(j, i) for i, g in enumerate(group) for j in range(i) if group[j] == g and (i + 1 == len(group) or group[i + 1] != g)
+                and edits(lines[j], lines[i]) <= allowed(max(len(lines[j]), len(lines[i])))}
+    assert len(expected) > 50 and expected <= got
+
+
+def test_differing_parts_keep_characters_whole(spark):
+    pairs = [("aéb", "aèb"), ("é", "è"), ("x😀", "x😁"), ("日本", "日木"), ("abc", "abcabc"), ("ééé", "éééé"), ("ĀĀ", "Āā"), ("", "é"), ("aXbYc", "aZbVc")]
+    df = spark.createDataFrame(pairs, "a string, b string")
+    got = df.select(ld._differing(F.col("a"), F.col("b"), lambda a, b: F.concat_ws("|", a, b)).alias("x")).collect()
+    assert [r.x for r in got] == ["é|è", "é|è", "😀|😁", "本|木", "|abc", "|é", "Ā|ā", "|é", "XbY|ZbV"]
